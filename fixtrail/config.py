@@ -121,4 +121,4 @@ class ExperimentConfig:
     # scale settings
     max_rows_per_entity_task: int = 2_000_000
     max_one_hot_categories: int = 1_000
-    rows_per_training_shard: int = 8_192
+    rows_per_training_shard: int = 4_096

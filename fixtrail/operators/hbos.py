@@ -22,6 +22,26 @@ _SCHEMA = (
 )
 
 
+def contamination_labels(
+    df: DataFrame,
+    score: str,
+    contamination: float = 0.1,
+    train: DataFrame | None = None,
+    output: str = "label",
+) -> DataFrame:
+    """1 where the score is strictly above the contamination percentile of ``train``.
+
+    Without ``train`` the scores of ``df`` itself set the percentile.
+    """
+    base = df if train is None else train
+    cut = exact_percentiles(base, {score: F.col(score)}, [100 * (1 - contamination)])
+    if score not in cut:
+        raise ValueError("no scores to calibrate the labels on")
+    (limit,) = cut[score].values()
+    flag = F.coalesce(F.col(score) > F.lit(limit), F.lit(False))
+    return df.withColumn(output, flag.cast("int"))
+
+
 def value_ranges(df: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
     parts = []
     for i, f in enumerate(features):
@@ -56,33 +76,41 @@ class Histogram:
     def edge(self, i: int) -> float:
         return self.last if i == self.bins else i * self.step + self.first
 
-    def _edge_column(self, i: Column) -> Column:
-        inner = i.cast("double") * F.lit(self.step) + F.lit(self.first)
-        return F.when(i == self.bins, F.lit(self.last)).otherwise(inner)
+    def guess(self, value: Column, fitting: bool) -> Column:
+        """Bin by division; rounding can put it one off, which the next step corrects."""
+        place = (value - F.lit(self.first)) / F.lit(self.step)
+        if fitting:
+            return F.floor(F.greatest(F.lit(0.0), F.least(place, F.lit(self.bins - 1.0)))).cast("int")
+        return F.ceil(F.greatest(F.lit(1.0), F.least(place, F.lit(float(self.bins))))).cast("int")
+
+    def _inner_edge(self, i: Column) -> Column:
+        return i * F.lit(self.step) + F.lit(self.first)
 
-    def fit_bin(self, value: Column) -> Column:
+    def fit_bin(self, value: Column, guess: Column) -> Column:
         """0-based bin, closed on the left; the last bin is closed on both sides."""
-        guess = F.floor((value - F.lit(self.first)) / F.lit(self.step)).cast("int")
-        guess = F.greatest(F.lit(0), F.least(guess, F.lit(self.bins - 1)))
         return (
-            F.when(value < self._edge_column(guess), guess - 1)
-            .when((guess < self.bins - 1) & (value >= self._edge_column(guess + 1)), guess + 1)
+            F.when(value < self._inner_edge(guess), F.greatest(guess - 1, F.lit(0)))
+            .when((guess < self.bins - 1) & (value >= self._inner_edge(guess + 1)), guess + 1)
             .otherwise(guess)
         )
 
-    def edges_below(self, value: Column) -> Column:
-        """How many edges lie strictly below ``value``: 0 up to bins + 1."""
-        guess = F.ceil((value - F.lit(self.first)) / F.lit(self.step)).cast("int")
-        guess = F.greatest(F.lit(1), F.least(guess, F.lit(self.bins)))
-        inner = (
-            F.when(value <= self._edge_column(guess - 1), guess - 1)
-            .when(value > self._edge_column(guess), guess + 1)
-            .otherwise(guess)
-        )
+    def lookup(self, value: Column, guess: Column) -> Column:
+        """1-based place in ``score_table``: bins closed on the right, then far outside."""
+        first_width = self.edge(1) - self.first
+        last_width = self.last - self.edge(self.bins - 1)
+        far = self.bins + 1
         return (
-            F.when(value <= F.lit(self.first), F.lit(0))
-            .when(value > F.lit(self.last), F.lit(self.bins + 1))
-            .otherwise(inner)
+            F.when(
+                value <= F.lit(self.first),
+                F.when(F.lit(self.first) - value <= F.lit(first_width * EDGE_TOLERANCE), 1).otherwise(far),
+            )
+            .when(
+                value > F.lit(self.last),
+                F.when(value - F.lit(self.last) <= F.lit(last_width * EDGE_TOLERANCE), self.bins).otherwise(far),
+            )
+            .when(value <= self._inner_edge(guess - 1), guess - 1)
+            .when((guess < self.bins) & (value > self._inner_edge(guess)), guess + 1)
+            .otherwise(guess)
         )
 
     @property
@@ -94,24 +122,11 @@ class Histogram:
     def bin_scores(self) -> list[float]:
         return [math.log2(d + SMOOTHING) for d in self.densities]
 
-    def score(self, value: Column) -> Column:
-        """Log density of the bin, looked up with bins closed on the right."""
+    @property
+    def score_table(self) -> list[float]:
+        """Score of every bin and, last, of a value far outside the fitted range."""
         scores = self.bin_scores
-        worst = F.lit(min(scores))
-        near_first = (
-            F.lit(self.first) - value <= F.lit((self.edge(1) - self.first) * EDGE_TOLERANCE)
-        )
-        near_last = value - F.lit(self.last) <= F.lit(
-            (self.last - self.edge(self.bins - 1)) * EDGE_TOLERANCE
-        )
-        below = self.edges_below(value)
-        table = F.lit(scores)
-        return (
-            F.when(value.isNull(), F.lit(None).cast("double"))
-            .when(below == 0, F.when(near_first, F.lit(scores[0])).otherwise(worst))
-            .when(below == self.bins + 1, F.when(near_last, F.lit(scores[-1])).otherwise(worst))
-            .otherwise(F.element_at(table, below))
-        )
+        return [*scores, min(scores)]
 
 
 @dataclass(frozen=True)
@@ -119,24 +134,6 @@ class HbosModel:
     bins: int
     histograms: tuple[Histogram, ...]
 
-    def score(self) -> Column:
-        """Outlier score of a row: minus the sum of its log densities."""
-        total = None
-        for h in self.histograms:
-            part = h.score(F.col(f"`{h.feature}`").cast("double"))
-            total = part if total is None else total + part
-        return -total
-
-    def labels(
-        self, train: DataFrame, score: str, contamination: float = 0.1, output: str = "label"
-    ) -> DataFrame:
-        """1 where the score is strictly above the contamination percentile of ``train``."""
-        cut = exact_percentiles(train, {score: F.col(score)}, [100 * (1 - contamination)])
-        (limit,) = cut[score].values()
-        return train.withColumn(
-            output, F.coalesce(F.col(score) > F.lit(limit), F.lit(False)).cast("int")
-        )
-
     def rows(self) -> list[tuple]:
         return [
             (self.bins, p, h.feature, i, h.low, h.high, h.edge(i), h.edge(i + 1), c, d, s)
@@ -145,6 +142,41 @@ class HbosModel:
         ]
 
 
+def _value(histogram: Histogram) -> Column:
+    return F.col(f"`{histogram.feature}`").cast("double")
+
+
+def _with_guesses(df: DataFrame, histograms: Sequence[Histogram], fitting: bool) -> DataFrame:
+    """A projection of its own, so that each division is evaluated once per row."""
+    return df.withColumns(
+        {f"_g{i}": h.guess(_value(h), fitting) for i, h in enumerate(histograms)}
+    )
+
+
+def with_hbos_scores(
+    df: DataFrame, models: Mapping[int, HbosModel], outputs: Mapping[int, str]
+) -> DataFrame:
+    """Add one score column per bin count: minus the summed log densities of a row.
+
+    Three narrow projections (division, place, table lookup) without UDFs; NULL where a
+    feature is missing.
+    """
+    histograms = [h for b in outputs for h in models[b].histograms]
+    placed = _with_guesses(df, histograms, fitting=False).withColumns(
+        {f"_p{i}": h.lookup(_value(h), F.col(f"_g{i}")) for i, h in enumerate(histograms)}
+    )
+    scores, at = {}, 0
+    for b, name in outputs.items():
+        total = None
+        for h in models[b].histograms:
+            part = F.element_at(F.lit(h.score_table), F.col(f"_p{at}"))
+            total = part if total is None else total + part
+            at += 1
+        scores[name] = -total
+    helpers = [f"_{k}{i}" for i in range(len(histograms)) for k in "gp"]
+    return placed.withColumns(scores).drop(*helpers)
+
+
 def fit_hbos(
     train: DataFrame,
     features: Sequence[str],
@@ -164,17 +196,17 @@ def fit_hbos(
     if any(known[f][0] is None for f in features):
         raise ValueError("cannot fit histograms without training rows")
     plain = [Histogram(f, b, *known[f]) for b in bins for f in features]
+    binned = _with_guesses(train, plain, fitting=True)
     pairs = F.array(
         *[
             F.struct(
-                F.lit(i).alias("h"),
-                h.fit_bin(F.col(f"`{h.feature}`").cast("double")).alias("bin"),
+                F.lit(i).alias("h"), h.fit_bin(_value(h), F.col(f"_g{i}")).alias("bin")
             )
             for i, h in enumerate(plain)
         ]
     )
     counted = (
-        train.select(F.explode(pairs).alias("pair"))
+        binned.select(F.explode(pairs).alias("pair"))
         .groupBy("pair.h", "pair.bin")
         .count()
         .collect()  # at most features x bins rows

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fixtrail.config import ROW_ID
 from fixtrail.functions.numeric import nan_to_null
-from fixtrail.functions.quantiles import exact_percentiles
+from fixtrail.operators.hbos import contamination_labels
 
 # Fixed values of the published algorithm.
 SAMPLE_SIZE = 256
@@ -110,21 +110,26 @@ class IsolationForest:
             out.insert(0, "tree", tree)
             return out
 
+        # a fixed partition number: the trees stay spread out although their rows are few
+        spread = picked.repartition(min(trees, spark.sparkContext.defaultParallelism), "tree")
         # at most 2 x 256 nodes per tree
-        nodes = picked.groupBy("tree").applyInPandas(grow, _NODE_SCHEMA).toPandas()
+        nodes = spread.groupBy("tree").applyInPandas(grow, _NODE_SCHEMA).toPandas()
         nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
         return cls(tuple(features), size, trees, nodes)
 
     def _packed(self) -> tuple[np.ndarray, ...]:
-        """Node columns with tree-local links turned into positions in one array."""
-        starts = np.searchsorted(self.nodes["tree"].to_numpy(), np.arange(self.trees))
-        base = starts[self.nodes["tree"].to_numpy()]
+        """Node columns with tree-local links turned into positions in one array.
+
+        The children of node i are at 2i (left) and 2i + 1 (right).
+        """
+        tree = self.nodes["tree"].to_numpy()
+        starts = np.searchsorted(tree, np.arange(self.trees))
+        links = self.nodes[["left", "right"]].to_numpy(np.intp) + starts[tree][:, None]
         return (
-            starts.astype(np.int32),
-            self.nodes["feature"].to_numpy(np.int32),
+            starts,
+            self.nodes["feature"].to_numpy(np.intp),
             self.nodes["threshold"].to_numpy(np.float64),
-            (self.nodes["left"].to_numpy() + base).astype(np.int32),
-            (self.nodes["right"].to_numpy() + base).astype(np.int32),
+            links.ravel(),
             self.nodes["path"].to_numpy(np.float64),
         )
 
@@ -137,7 +142,7 @@ class IsolationForest:
         sizes = sorted(prefixes or [self.trees])
         if sizes[-1] > self.trees or sizes[0] < 1:
             raise ValueError(f"forest has {self.trees} trees, asked for {sizes}")
-        starts, feature, threshold, left, right, path = self._packed()
+        starts, feature, threshold, child, path = self._packed()
         expected = average_path(self.sample_size) or 1.0
         depth = math.ceil(math.log2(max(self.sample_size, 2)))
         schema = ", ".join(f"n{s} double" for s in sizes)
@@ -147,14 +152,14 @@ class IsolationForest:
             x = np.stack([c.to_numpy(np.float32) for c in columns])
             missing = np.isnan(x).any(axis=0)
             flat, count = x.ravel(), x.shape[1]
-            rows = np.arange(count)
+            row, column = np.arange(count), feature * count
             total = np.zeros(count)
             out = {}
             for tree in range(sizes[-1]):
                 at = np.full(count, starts[tree])
                 for _ in range(depth):
-                    goes_left = flat[feature[at] * count + rows] <= threshold[at]
-                    at = np.where(goes_left, left[at], right[at])
+                    value = flat.take(column.take(at) + row)
+                    at = child.take(2 * at + (value > threshold.take(at)))
                 total += path[at]
                 if tree + 1 in sizes:
                     score = np.exp2(-total / ((tree + 1) * expected))
@@ -197,11 +202,7 @@ def isolation_labels(
     output: str = "label",
 ) -> DataFrame:
     """1 for outliers: score above 0.5, or above the contamination percentile of ``train``."""
-    if contamination == "auto":
-        limit = 0.5
-    else:
-        base = df if train is None else train
-        cut = exact_percentiles(base, {score: F.col(score)}, [100 * (1 - contamination)])
-        (limit,) = cut[score].values()
-    flag = F.coalesce(F.col(score) > F.lit(limit), F.lit(False))
+    if contamination != "auto":
+        return contamination_labels(df, score, contamination, train, output)
+    flag = F.coalesce(F.col(score) > F.lit(0.5), F.lit(False))
     return df.withColumn(output, flag.cast("int"))

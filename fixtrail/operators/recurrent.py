@@ -25,7 +25,7 @@ from fixtrail.operators.recurrent_cells import Architecture, Autoencoder, Traini
 from fixtrail.operators.staging import stage
 
 _PATIENCE = 3
-_SCORE_CHUNK = 2_048
+_SCORE_CHUNK = 256  # keeps the activations in the processor cache
 _FILES_PER_CORE = 4
 # partial averages are merged in groups of this many tasks before the final merge
 _MERGE_GROUPS = 32
@@ -181,7 +181,7 @@ def train_autoencoders(
     epochs: int = 10,
     batch_size: int = 64,
     seed: int = 42,
-    rows_per_shard: int = 8_192,
+    rows_per_shard: int = 4_096,
     row_id: str = ROW_ID,
 ) -> dict[str, TrainedAutoencoder]:
     """Train a fresh model per scenario on the windows of its mask.

@@ -130,8 +130,10 @@ def base_scores(
         config.seed,
     )
     outputs = {n: score_column(f"ISO_n{n}") for n in config.isolation_trees}
-    scored = forest.with_scores(scaled, outputs).withColumns(
-        {score_column(f"HBOS_bins{b}"): m.score() for b, m in histograms.items()}
+    scored = hbos.with_hbos_scores(
+        forest.with_scores(scaled, outputs),
+        histograms,
+        {b: score_column(f"HBOS_bins{b}") for b in histograms},
     )
     if _SEQ in scored.columns:
         sequence = features_for_model(config.arch, features.columns)
