@@ -52,10 +52,11 @@ def build_features(
     order: Sequence[str] = (TIME,),
     max_rows_per_task: int = 2_000_000,
     holidays: DataFrame | None = None,
+    total_rows: int | None = None,
 ) -> DataFrame:
     """Feature table with one row per sighting; rows lacking a feature are dropped."""
     if ROW_ID in df.columns:
         order = (ROW_ID,)
-    frames = entity_frames(df, LOOKBACK, max_rows_per_task, ENTITY, order)
+    frames = entity_frames(df, LOOKBACK, max_rows_per_task, ENTITY, order, total_rows)
     out = frames.finish(apply_features(frames, region_values, holidays))
     return out.dropna(subset=[f"`{c}`" for c in scaled_features(out.columns)])

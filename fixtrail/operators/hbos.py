@@ -89,7 +89,8 @@ class Histogram:
     def fit_bin(self, value: Column, guess: Column) -> Column:
         """0-based bin, closed on the left; the last bin is closed on both sides."""
         return (
-            F.when(value < self._inner_edge(guess), F.greatest(guess - 1, F.lit(0)))
+            F.when(value.isNull(), F.lit(None))
+            .when(value < self._inner_edge(guess), F.greatest(guess - 1, F.lit(0)))
             .when((guess < self.bins - 1) & (value >= self._inner_edge(guess + 1)), guess + 1)
             .otherwise(guess)
         )
@@ -100,7 +101,8 @@ class Histogram:
         last_width = self.last - self.edge(self.bins - 1)
         far = self.bins + 1
         return (
-            F.when(
+            F.when(value.isNull(), F.lit(None))
+            .when(
                 value <= F.lit(self.first),
                 F.when(F.lit(self.first) - value <= F.lit(first_width * EDGE_TOLERANCE), 1).otherwise(far),
             )
@@ -169,7 +171,9 @@ def with_hbos_scores(
     for b, name in outputs.items():
         total = None
         for h in models[b].histograms:
-            part = F.element_at(F.lit(h.score_table), F.col(f"_p{at}"))
+            place = F.col(f"_p{at}")
+            # element_at over a literal array takes a NULL place for a value
+            part = F.when(place.isNotNull(), F.element_at(F.lit(h.score_table), place))
             total = part if total is None else total + part
             at += 1
         scores[name] = -total
@@ -197,17 +201,11 @@ def fit_hbos(
         raise ValueError("cannot fit histograms without training rows")
     plain = [Histogram(f, b, *known[f]) for b in bins for f in features]
     binned = _with_guesses(train, plain, fitting=True)
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("h"), h.fit_bin(_value(h), F.col(f"_g{i}")).alias("bin")
-            )
-            for i, h in enumerate(plain)
-        ]
-    )
+    places = [h.fit_bin(_value(h), F.col(f"_g{i}")) for i, h in enumerate(plain)]
     counted = (
-        binned.select(F.explode(pairs).alias("pair"))
-        .groupBy("pair.h", "pair.bin")
+        binned.select(F.posexplode(F.array(*places)).alias("h", "bin"))
+        .where("bin IS NOT NULL")
+        .groupBy("h", "bin")
         .count()
         .collect()  # at most features x bins rows
     )

@@ -52,8 +52,14 @@ def entity_frames(
     max_rows: int,
     entity: str = ENTITY,
     order: Sequence[str] = (ROW_ID,),
+    total_rows: int | None = None,
 ) -> EntityFrames:
-    """Prepare ``df`` for look-back windows; cut entities larger than ``max_rows``."""
+    """Prepare ``df`` for look-back windows; cut entities larger than ``max_rows``.
+
+    ``total_rows``, when known and small enough, saves counting the entities.
+    """
+    if total_rows is not None and total_rows <= max_rows:
+        return EntityFrames(df, (entity,), tuple(order), split=False)
     hot = df.groupBy(entity).count().where(F.col("count") > max_rows).select(entity)
     hot = hot.withColumn("_hot", F.lit(True))
     hot_count = hot.count()  # at most rows / max_rows entities

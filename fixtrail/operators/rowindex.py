@@ -68,24 +68,34 @@ def with_row_id(
 
 @dataclass(frozen=True)
 class TemporalSplit:
+    """Rows below ``cutoff`` are training rows, the rest test rows."""
+
+    table: IndexedTable
     cutoff: int
-    cutoff_time: object
-    train_size: int
-    test_size: int
     train_ratio: float
 
+    @property
+    def train_size(self) -> int:
+        return self.cutoff
+
+    @property
+    def test_size(self) -> int:
+        return self.table.count - self.cutoff
+
+    def cutoff_time(self, time: str = TIME) -> object:
+        """Time of the first test row; rows of the same instant may lie on both sides."""
+        return self.table.rows.where(F.col(ROW_ID) == self.cutoff).select(time).first()[0]
+
 
 def train_size(count: int, ratio: float = 0.7) -> int:
     """Rows before the cut; the product is truncated in double precision."""
     return int(count * ratio)
 
 
-def temporal_split(table: IndexedTable, ratio: float = 0.7, time: str = TIME) -> TemporalSplit:
+def temporal_split(table: IndexedTable, ratio: float = 0.7) -> TemporalSplit:
     if table.count == 0:
         raise ValueError("cannot split an empty table")
-    cutoff = train_size(table.count, ratio)
-    at = table.rows.where(F.col(ROW_ID) == cutoff).select(time).first()[0]
-    return TemporalSplit(cutoff, at, cutoff, table.count - cutoff, ratio)
+    return TemporalSplit(table, train_size(table.count, ratio), ratio)
 
 
 def is_train(cutoff: int, row_id: str = ROW_ID):

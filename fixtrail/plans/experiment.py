@@ -80,7 +80,9 @@ def feature_table(
         categories(rows, REGION, config.max_one_hot_categories) if REGION in rows.columns else ()
     )
     lookback = LOOKBACK + window_lookback(config.window_size)
-    frames = entity_frames(rows, lookback, config.max_rows_per_entity_task, ENTITY, (ROW_ID,))
+    frames = entity_frames(
+        rows, lookback, config.max_rows_per_entity_task, ENTITY, (ROW_ID,), indexed.count
+    )
     df = apply_features(frames, regions)
     df = with_window_flags(df, frames, config.window_size, config.max_gap_seconds)
     sequence = features_for_model(config.arch, df.columns)
@@ -199,7 +201,7 @@ def run_experiment(
         master = labelled.drop(_SEQ)
     if not thresholds:
         raise RuntimeError("no threshold metrics were produced")
-    master = master.withColumn("dia_semana", weekday_name(F.col(TIME)))
+    master = _arranged(master.withColumn("dia_semana", weekday_name(F.col(TIME))), thresholds)
     return ExperimentResult(
         master.drop(_TRAIN),
         threshold_metrics(master, thresholds),
@@ -214,6 +216,15 @@ def run_experiment(
     )
 
 
+def _arranged(df: DataFrame, thresholds: Sequence[Threshold]) -> DataFrame:
+    """Scores last, each followed by its labels."""
+    results = []
+    for t in thresholds:
+        results += [c for c in (score_column(t.model), t.label) if c not in results]
+    others = [c for c in df.columns if c not in results]
+    return df.select(*[f"`{c}`" for c in [*others, *results]])
+
+
 def _profile(features: DataFrame, split: TemporalSplit, config: ExperimentConfig) -> DataFrame:
     """Dataset profile with the feature lists and the split facts."""
     if has_coordinates(features):
@@ -230,7 +241,7 @@ def _profile(features: DataFrame, split: TemporalSplit, config: ExperimentConfig
         {
             **{name: F.lit(values) for name, values in lists.items()},
             "split_temporal": F.struct(
-                moment_text(F.lit(split.cutoff_time).cast("timestamp_ntz")).alias("cutoff_timestamp"),
+                moment_text(F.lit(split.cutoff_time()).cast("timestamp_ntz")).alias("cutoff_timestamp"),
                 F.lit(split.train_size).alias("train_size"),
                 F.lit(split.test_size).alias("test_size"),
                 F.lit(split.train_ratio).alias("train_ratio"),

@@ -184,14 +184,14 @@ def _share(numerator: str, denominator: str) -> str:
 
 def _windows(size: int, gap: int, span: bool) -> str:
     gaps = [
-        f"(back{j - 1} - back{j} <= {gap} * 1000000)" for j in range(1, size)
+        f"(back{j - 1} - back{j} <= {gap} * 1000000::BIGINT)" for j in range(1, size)
     ]
     backs = ", ".join(
         f'epoch_us(lag("timestamp", {j}) OVER w) AS back{j}' for j in range(size)
     )
     valid = " AND ".join(gaps)
     if span:
-        valid += f" AND fixes > {size} AND back0 - back{size - 1} <= {gap} * 1000000"
+        valid += f" AND fixes > {size} AND back0 - back{size - 1} <= {gap} * 1000000::BIGINT"
     return f"""tied AS (
   SELECT *, {backs}, row_number() OVER w AS pos, count(*) OVER (PARTITION BY placa) AS fixes
   FROM feat WINDOW w AS (PARTITION BY placa ORDER BY row_id)),
@@ -391,7 +391,7 @@ def statements() -> dict[str, str]:
         "window_payload": f"WITH {_PAY} SELECT event_id, {_rounded(_CELLS, 6)} FROM cells WHERE valid",
         "reconstruction_mse": f"WITH {_MSE} SELECT event_id, score FROM errors",
         "score_writeback": f"""WITH {_MSE} SELECT i.event_id, e.score,
-            CASE WHEN e.row_id IS NOT NULL THEN e.is_train END AS in_train
+            coalesce(CAST(e.is_train AS INTEGER), -1) AS in_train
             FROM idx i LEFT JOIN errors e USING (row_id)""",
         "threshold_labels": "WITH {} SELECT event_id, {} FROM labelled".format(
             _LABELLED, ", ".join(f'"{c}"' for c in _FLAGS)

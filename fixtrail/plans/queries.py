@@ -124,7 +124,8 @@ def _indexed_features(spark: SparkSession, folder: str, regions: bool = False):
     names = categories(df) if regions else ()
     table = with_row_id(df if regions else df.drop(REGION), ties=[EVENT])
     split = temporal_split(table)
-    rows = build_features(table.rows, names).withColumn("is_train", is_train(split.cutoff))
+    rows = build_features(table.rows, names, total_rows=table.count)
+    rows = rows.withColumn("is_train", is_train(split.cutoff))
     return stage(rows, "features", partition_by=["is_train"]), split
 
 
@@ -171,9 +172,10 @@ def _windows(
     features: Sequence[str] = SEQUENCE_FEATURES,
 ) -> DataFrame:
     """One row per fix with the flags and, where valid, the values of its window."""
-    df = with_row_id(sightings(spark, folder).drop(REGION), ties=[EVENT]).rows
+    table = with_row_id(sightings(spark, folder).drop(REGION), ties=[EVENT])
     lookback = LOOKBACK + window_lookback(WINDOW)
-    frames = entity_frames(df, lookback, CONFIG.max_rows_per_entity_task)
+    limit = CONFIG.max_rows_per_entity_task
+    frames = entity_frames(table.rows, lookback, limit, total_rows=table.count)
     df = with_calendar_features(with_kinematics(frames.rows, frames.window))
     df = with_window_flags(df, frames, WINDOW, GAP_SECONDS, rule)
     values = window_values(frames, WINDOW, features, F.col("window_valid"))
@@ -335,7 +337,7 @@ def split_by_time(spark, folder):
         EVENT,
         ROW_ID,
         is_train(split.cutoff).alias("is_train"),
-        F.lit(split.cutoff_time).cast("timestamp_ntz").alias("cutoff_timestamp"),
+        F.lit(split.cutoff_time()).cast("timestamp_ntz").alias("cutoff_timestamp"),
         F.lit(split.train_size).cast("long").alias("train_size"),
         F.lit(split.test_size).cast("long").alias("test_size"),
     )
@@ -487,7 +489,7 @@ def score_writeback(spark, folder):
     scored = _mean_errors(_windows(spark, folder)).select(ROW_ID, F.round("score", 3).alias("score"))
     ends = at_window_end(scored, masks, ROW_ID)
     return write_back(table.rows.select(ROW_ID, EVENT), ends, ROW_ID).select(
-        EVENT, "score", "in_train"
+        EVENT, "score", F.coalesce(F.col("in_train").cast("int"), F.lit(-1)).alias("in_train")
     )
 
 
@@ -558,13 +560,13 @@ def family_files_compiled(spark, folder):
     labelled, found = _labelled(spark, folder)
     root = f"{scratch_root(spark)}/reports-{spark.range(1).select(F.uuid()).first()[0]}"
     metrics = threshold_metrics(labelled, found)
-    write_csv(metrics.where("Model = 'HBOS_bins10'").coalesce(1), f"{root}/describe_HBOS_a")
+    write_csv(metrics.where("Model = 'HBOS_bins10'"), f"{root}/describe_HBOS_a.csv")
     slim = metrics.where("Model = 'HBOS_bins20'").drop("Pct_Dataset")
-    write_csv(slim.coalesce(1), f"{root}/describe_HBOS_b")
+    write_csv(slim, f"{root}/describe_HBOS_b.csv")
     write_family_metrics(metrics, root)
     parts = [
         df.select(F.lit(family).alias("family"), "Model", "Percentile", "Pct_Dataset")
-        for family, df in read_families(spark, f"{root}/describe_*/*.csv").items()
+        for family, df in read_families(spark, f"{root}/describe_*.csv").items()
     ]
     out = parts[0]
     for part in parts[1:]:

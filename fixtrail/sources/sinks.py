@@ -6,17 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fixtrail.config import ENTITY, LAT, LON, TIME
+from fixtrail.functions.calendar import moment_text
 
 # Name prefix of a family -> stem of its files.
 FAMILY_FILES = (("ISO", "iso"), ("HBOS", "hbos"), ("LSTM", "lstm"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option(
-        "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
-    ).csv(path)
+    """CSV with a header; times show microseconds only where there are any."""
+    times = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampNTZType)]
+    text = df.withColumns({c: moment_text(F.col(f"`{c}`")) for c in times}) if times else df
+    text.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -133,14 +133,18 @@ def family_of(name: Column) -> Column:
 def read_families(spark: SparkSession, glob: str) -> dict[str, DataFrame]:
     """Result CSVs matching ``glob``, stacked by column name per detector family.
 
-    There is one file (or folder of part files) per model, so the list is short. Files of
-    no known family are left out; a column that a file lacks is null there.
+    A result is one CSV file or one folder of part files, and there is one per model, so
+    the list is short. Results of no known family are left out; a column that a result
+    lacks is null there.
     """
+    whole = F.regexp_replace("path", r"(\.csv)/[^/]*$", "$1")  # folder of a part file
     listing = (
         spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.csv")
         .load(glob)
-        .select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
-        .select("path", family_of(F.col("name")).alias("family"))
+        .select(whole.alias("path"))
+        .distinct()
+        .withColumn("family", family_of(F.element_at(F.split("path", "/"), -1)))
         .where("family IS NOT NULL")
         .orderBy("path")
     )
