@@ -27,9 +27,8 @@ def dataset_profile(
     The busiest location comes from a pre-aggregated count per coordinate pair as a scalar
     subquery; ties go to the smallest coordinates. Without any located row it is NULL.
     """
-    per_place = (
-        df.dropna(subset=[lat, lon]).groupBy(lat, lon).agg(F.count(entity).alias("n"))
-    )
+    located = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    per_place = located.groupBy(lat, lon).agg(F.count(entity).alias("n"))
     busiest = per_place.agg(F.min(F.struct(-F.col("n"), F.col(lat), F.col(lon))).alias("b"))
     mean_speed = F.avg(speed) if speed in df.columns else F.lit(0.0)
     return (
@@ -66,7 +65,7 @@ def entities_per_region(df: DataFrame, region: str = REGION, entity: str = ENTIT
     if missing:
         raise ValueError(f"cannot count entities per region without the columns {missing}")
     return (
-        df.dropna(subset=[region])
+        df.where(F.col(region).isNotNull())
         .groupBy(region)
         .agg(F.count_distinct(entity).alias("veiculos"))
     )
@@ -141,7 +140,7 @@ def categorical_describe(df: DataFrame, columns: Sequence[str] | None = None) ->
         *[F.struct(F.lit(c).alias("coluna"), F.col(f"`{c}`").alias("value")) for c in columns]
     )
     per_value = (
-        df.select(F.inline(pairs)).dropna(subset=["value"]).groupBy("coluna", "value").count()
+        df.select(F.inline(pairs)).where("value IS NOT NULL").groupBy("coluna", "value").count()
     )
     best = F.min(F.struct((-F.col("count")).alias("n"), F.col("value").alias("value")))
     return (

@@ -116,7 +116,8 @@ def standardize(
         raise ValueError(f"input lacks the columns {missing} after renaming")
     typed = {time: _as_time(df, time)}
     typed |= {c: _as_double(df, c) for c in coordinates if c in df.columns}
-    return df.withColumns(typed).dropna(subset=[time, entity])
+    # plain predicates, because those reach a Parquet scan
+    return df.withColumns(typed).where(F.col(time).isNotNull() & F.col(entity).isNotNull())
 
 
 # Family of a result file, told by a part of its name, in order of preference.
