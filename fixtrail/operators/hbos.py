@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixtrail.functions.quantiles import exact_percentiles
@@ -76,44 +77,36 @@ class Histogram:
     def edge(self, i: int) -> float:
         return self.last if i == self.bins else i * self.step + self.first
 
-    def guess(self, value: Column, fitting: bool) -> Column:
-        """Bin by division; rounding can put it one off, which the next step corrects."""
-        place = (value - F.lit(self.first)) / F.lit(self.step)
-        if fitting:
-            return F.floor(F.greatest(F.lit(0.0), F.least(place, F.lit(self.bins - 1.0)))).cast("int")
-        return F.ceil(F.greatest(F.lit(1.0), F.least(place, F.lit(float(self.bins))))).cast("int")
-
-    def _inner_edge(self, i: Column) -> Column:
-        return i * F.lit(self.step) + F.lit(self.first)
-
-    def fit_bin(self, value: Column, guess: Column) -> Column:
-        """0-based bin, closed on the left; the last bin is closed on both sides."""
-        return (
-            F.when(value.isNull(), F.lit(None))
-            .when(value < self._inner_edge(guess), F.greatest(guess - 1, F.lit(0)))
-            .when((guess < self.bins - 1) & (value >= self._inner_edge(guess + 1)), guess + 1)
-            .otherwise(guess)
-        )
+    @property
+    def edges(self) -> list[float]:
+        return [self.edge(i) for i in range(self.bins + 1)]
 
-    def lookup(self, value: Column, guess: Column) -> Column:
-        """1-based place in ``score_table``: bins closed on the right, then far outside."""
-        first_width = self.edge(1) - self.first
-        last_width = self.last - self.edge(self.bins - 1)
-        far = self.bins + 1
-        return (
-            F.when(value.isNull(), F.lit(None))
-            .when(
-                value <= F.lit(self.first),
-                F.when(F.lit(self.first) - value <= F.lit(first_width * EDGE_TOLERANCE), 1).otherwise(far),
-            )
-            .when(
-                value > F.lit(self.last),
-                F.when(value - F.lit(self.last) <= F.lit(last_width * EDGE_TOLERANCE), self.bins).otherwise(far),
-            )
-            .when(value <= self._inner_edge(guess - 1), guess - 1)
-            .when((guess < self.bins) & (value > self._inner_edge(guess)), guess + 1)
-            .otherwise(guess)
-        )
+    @property
+    def fit_splits(self) -> list[float]:
+        """Bucket borders for counting: closed on the left, the last bin on both sides."""
+        inner = self.edges[1:-1] or [math.nextafter(self.last, math.inf)]
+        return [-math.inf, *inner, math.inf]
+
+    @property
+    def lookup_splits(self) -> list[float]:
+        """Bucket borders of the negated value, which turns bins to closed on the right.
+
+        The buckets run from far above the range over the bins in reverse to far below it.
+        """
+        edges = self.edges
+        first_reach = (edges[1] - edges[0]) * EDGE_TOLERANCE
+        last_reach = (edges[-1] - edges[-2]) * EDGE_TOLERANCE
+        lowest = _outermost(edges[0] - first_reach, lambda x: edges[0] - x <= first_reach, -math.inf)
+        highest = _outermost(edges[-1] + last_reach, lambda x: x - edges[-1] <= last_reach, math.inf)
+        inner = [-e for e in reversed(edges)]
+        return [-math.inf, -highest, *inner, math.nextafter(-lowest, math.inf), math.inf]
+
+    @property
+    def lookup_scores(self) -> list[float]:
+        """Scores in the order of ``lookup_splits``; just outside, the outermost bin counts."""
+        scores = self.bin_scores
+        worst = min(scores)
+        return [worst, scores[-1], *reversed(scores), scores[0], worst]
 
     @property
     def densities(self) -> list[float]:
@@ -124,12 +117,6 @@ class Histogram:
     def bin_scores(self) -> list[float]:
         return [math.log2(d + SMOOTHING) for d in self.densities]
 
-    @property
-    def score_table(self) -> list[float]:
-        """Score of every bin and, last, of a value far outside the fitted range."""
-        scores = self.bin_scores
-        return [*scores, min(scores)]
-
 
 @dataclass(frozen=True)
 class HbosModel:
@@ -144,15 +131,37 @@ class HbosModel:
         ]
 
 
-def _value(histogram: Histogram) -> Column:
-    return F.col(f"`{histogram.feature}`").cast("double")
+def _outermost(start: float, near: Callable[[float], bool], toward: float) -> float:
+    """The last double in direction ``toward`` that is still ``near``; rounding puts it at
+    most a few steps away from ``start``."""
+    x = start
+    while not near(x):
+        x = math.nextafter(x, -toward)
+    while near(math.nextafter(x, toward)):
+        x = math.nextafter(x, toward)
+    return x
+
 
+def _with_buckets(
+    df: DataFrame, histograms: Sequence[Histogram], splits: Sequence[list[float]], sign: int
+) -> DataFrame:
+    """Add the bucket number ``_b<i>`` of the (negated) feature of every histogram.
 
-def _with_guesses(df: DataFrame, histograms: Sequence[Histogram], fitting: bool) -> DataFrame:
-    """A projection of its own, so that each division is evaluated once per row."""
-    return df.withColumns(
-        {f"_g{i}": h.guess(_value(h), fitting) for i, h in enumerate(histograms)}
+    A binary search per value inside the JVM. Chains of comparisons for a dozen histograms
+    would exceed the method size the JVM compiles and cost ten times as much per row.
+    """
+    # adding 0.0 removes negative zeros, which the search would tell apart
+    values = {
+        f"_x{i}": F.col(f"`{h.feature}`").cast("double") * sign + F.lit(0.0)
+        for i, h in enumerate(histograms)
+    }
+    bucketizer = Bucketizer(
+        splitsArray=[[s + 0.0 for s in borders] for borders in splits],
+        inputCols=list(values),
+        outputCols=[f"_b{i}" for i in range(len(histograms))],
+        handleInvalid="keep",
     )
+    return bucketizer.transform(df.withColumns(values)).drop(*values)
 
 
 def with_hbos_scores(
@@ -160,25 +169,21 @@ def with_hbos_scores(
 ) -> DataFrame:
     """Add one score column per bin count: minus the summed log densities of a row.
 
-    Three narrow projections (division, place, table lookup) without UDFs; NULL where a
-    feature is missing.
+    NULL where a feature is missing.
     """
     histograms = [h for b in outputs for h in models[b].histograms]
-    placed = _with_guesses(df, histograms, fitting=False).withColumns(
-        {f"_p{i}": h.lookup(_value(h), F.col(f"_g{i}")) for i, h in enumerate(histograms)}
-    )
+    placed = _with_buckets(df, histograms, [h.lookup_splits for h in histograms], -1)
     scores, at = {}, 0
     for b, name in outputs.items():
         total = None
         for h in models[b].histograms:
-            place = F.col(f"_p{at}")
-            # element_at over a literal array takes a NULL place for a value
-            part = F.when(place.isNotNull(), F.element_at(F.lit(h.score_table), place))
+            # a NaN falls into one more bucket, which has no score
+            table = F.array(*[F.lit(v) for v in h.lookup_scores], F.lit(None).cast("double"))
+            part = F.get(table, F.col(f"_b{at}").cast("int"))
             total = part if total is None else total + part
             at += 1
         scores[name] = -total
-    helpers = [f"_{k}{i}" for i in range(len(histograms)) for k in "gp"]
-    return placed.withColumns(scores).drop(*helpers)
+    return placed.withColumns(scores).drop(*[f"_b{i}" for i in range(len(histograms))])
 
 
 def fit_hbos(
@@ -200,11 +205,10 @@ def fit_hbos(
     if any(known[f][0] is None for f in features):
         raise ValueError("cannot fit histograms without training rows")
     plain = [Histogram(f, b, *known[f]) for b in bins for f in features]
-    binned = _with_guesses(train, plain, fitting=True)
-    places = [h.fit_bin(_value(h), F.col(f"_g{i}")) for i, h in enumerate(plain)]
+    binned = _with_buckets(train, plain, [h.fit_splits for h in plain], 1)
+    places = F.array(*[F.col(f"_b{i}").cast("int") for i in range(len(plain))])
     counted = (
-        binned.select(F.posexplode(F.array(*places)).alias("h", "bin"))
-        .where("bin IS NOT NULL")
+        binned.select(F.posexplode(places).alias("h", "bin"))
         .groupBy("h", "bin")
         .count()
         .collect()  # at most features x bins rows

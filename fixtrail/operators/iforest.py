@@ -99,7 +99,7 @@ class IsolationForest:
             pd.DataFrame({"tree": np.repeat(np.arange(trees, dtype=np.int32), size), row_id: drawn})
         )
         values = F.array(*[F.col(f"`{f}`").cast("float") for f in features]).alias("x")
-        picked = train.select(row_id, values).join(F.broadcast(sample), row_id)
+        picked = train.join(F.broadcast(sample), row_id).select("tree", row_id, values)
 
         def grow(group: pd.DataFrame) -> pd.DataFrame:
             tree = int(group["tree"].iloc[0])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +67,15 @@ class StandardScaler:
             )
         )
 
+    def rounded(self, digits: int) -> StandardScaler:
+        """Means and deviations cut to some decimals, for results that must not hang on the
+        last bits of a floating-point sum."""
+        return StandardScaler(
+            tuple(
+                replace(s, mean=round(s.mean, digits), std=round(s.std, digits)) for s in self.stats
+            )
+        )
+
     @property
     def features(self) -> list[str]:
         return [s.feature for s in self.stats]

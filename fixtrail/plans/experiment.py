@@ -50,7 +50,7 @@ _SEQ = "seq"
 
 @dataclass(frozen=True)
 class ExperimentResult:
-    """Tables of one run; all are scans over staged results or small aggregates of them."""
+    """Tables of one run; all are scans over staged results."""
 
     master: DataFrame
     metrics: DataFrame
@@ -202,11 +202,13 @@ def run_experiment(
     if not thresholds:
         raise RuntimeError("no threshold metrics were produced")
     master = _arranged(master.withColumn("dia_semana", weekday_name(F.col(TIME))), thresholds)
+    # each report is one pass over the master table; staged, it is not repeated per output
+    comparison = compare_with_reference(master)
     return ExperimentResult(
         master.drop(_TRAIN),
-        threshold_metrics(master, thresholds),
-        compare_with_reference(master),
-        _profile(features, split, config),
+        stage(threshold_metrics(master, thresholds), "metrics"),
+        None if comparison is None else stage(comparison, "comparison"),
+        _profile(features, split),
         split,
         thresholds,
         scaler,
@@ -225,11 +227,17 @@ def _arranged(df: DataFrame, thresholds: Sequence[Threshold]) -> DataFrame:
     return df.select(*[f"`{c}`" for c in [*others, *results]])
 
 
-def _profile(features: DataFrame, split: TemporalSplit, config: ExperimentConfig) -> DataFrame:
-    """Dataset profile with the feature lists and the split facts."""
+def _profile(features: DataFrame, split: TemporalSplit) -> DataFrame:
+    """Dataset profile with the feature lists and the split facts.
+
+    Without any located row a note takes the place of the figures.
+    """
+    profile = None
     if has_coordinates(features):
-        profile = dataset_profile(features)
-    else:
+        profile = stage(dataset_profile(features), "profile")
+        if profile.where("fluxo_veiculos_local IS NOT NULL").isEmpty():
+            profile = None
+    if profile is None:
         note = F.lit("Base vazia ou sem agrupamento possível").alias("info")
         profile = features.agg(note)
     lists = {

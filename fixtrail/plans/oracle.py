@@ -82,22 +82,22 @@ _ONE_HOT = ", ".join(
 )
 
 
-def _scale(columns: tuple[str, ...], digits: int) -> str:
-    """Standardised columns; the spread of a constant column is replaced by 1."""
-    parts = []
+def _scale(columns: tuple[str, ...]) -> dict[str, str]:
+    """Expressions of standardised columns; the spread of a constant column counts as 1."""
+    parts = {}
     for c in columns:
-        mean = f"(SELECT avg(CAST({c} AS DOUBLE)) FROM wide WHERE is_train)"
-        std = f"(SELECT stddev_pop(CAST({c} AS DOUBLE)) FROM wide WHERE is_train)"
+        mean = f"(SELECT round(avg(CAST({c} AS DOUBLE)), 10) FROM wide WHERE is_train)"
+        std = f"(SELECT round(stddev_pop(CAST({c} AS DOUBLE)), 10) FROM wide WHERE is_train)"
         spread = f"CASE WHEN {std} < 1e-12 THEN 1e0 ELSE {std} END"
-        parts.append(f"round((CAST({c} AS DOUBLE) - {mean}) / ({spread}), {digits}) AS {c}")
-    return ", ".join(parts)
+        parts[c] = f"(CAST({c} AS DOUBLE) - {mean}) / ({spread})"
+    return parts
 
 
 _SCALED_CTE = f"""{_FEAT},
 wide AS (SELECT * FROM feat),
 scaled AS (
   SELECT event_id, row_id, placa, "timestamp", latitude, longitude, is_train,
-    CAST(hora AS DOUBLE) AS hora, {_scale(_SCALED, 9)}
+    CAST(hora AS DOUBLE) AS hora, {", ".join(f"{e} AS {c}" for c, e in _scale(_SCALED).items())}
   FROM wide)"""
 
 
@@ -314,6 +314,8 @@ def statements() -> dict[str, str]:
         for b in (10, 20)
     )
     others = [c for c in _FLAGS if c != _TRUTH]
+    every = (*_SCALED, *[f'"RA_{r}"' for r in _REGIONS])
+    scaled = ", ".join(f"round({e}, 6) AS {c}" for c, e in _scale(every).items())
     long_windows = _windows(60, 5 * GAP_SECONDS, False)
     return {
         "standardize_sightings": """SELECT event_id, user_id AS placa, ts AS "timestamp",
@@ -358,7 +360,7 @@ def statements() -> dict[str, str]:
             (SELECT "timestamp" FROM idx WHERE row_id = k) AS cutoff_timestamp,
             k AS train_size, n - k AS test_size FROM idx""",
         "standard_scale": f"""WITH {_FEAT}, wide AS (SELECT *, {_ONE_HOT} FROM feat)
-            SELECT event_id, {_scale((*_SCALED, *[f'"RA_{r}"' for r in _REGIONS]), 6)} FROM wide""",
+            SELECT event_id, {scaled} FROM wide""",
         "hbos_bins": f"""WITH {_SCALED_CTE}, {_hist_cte(10)}, {_hist_cte(20)},
             names(f, feature) AS (VALUES {names}), allbins AS ({hist_rows})
             SELECT bins, feature, CAST(bin AS INTEGER) AS bin, round(edge_low, 6) AS edge_low,

@@ -129,24 +129,35 @@ def _indexed_features(spark: SparkSession, folder: str, regions: bool = False):
     return stage(rows, "features", partition_by=["is_train"]), split
 
 
-def _scaled(spark: SparkSession, folder: str) -> DataFrame:
+def _scaled(spark: SparkSession, folder: str) -> tuple[DataFrame, StandardScaler]:
+    """Scaled features; statistics keep ten digits, so that no bin edge hangs on a last bit."""
     features, _ = _indexed_features(spark, folder)
-    wanted = scaled_features(features.columns)
-    scaled = StandardScaler.fit(features.where("is_train"), wanted).transform(features)
-    # nine digits, so that bin edges do not hang on the last bit of a deviation
-    return scaled.withColumns({c: F.round(f"`{c}`", 9) for c in wanted})
+    wanted = [*scaled_features(features.columns), "hora"]
+    fitted = StandardScaler.fit(features.where("is_train"), wanted).rounded(10)
+    return _without_hour(fitted).transform(features), fitted
 
 
-def _hbos(scaled: DataFrame, bins: Sequence[int] = CONFIG.histogram_bins):
-    return hbos.fit_hbos(
-        scaled.where("is_train"), features_for_model("hbos", scaled.columns), bins
-    )
+def _without_hour(fitted: StandardScaler) -> StandardScaler:
+    """The hour stays unscaled; its statistics only give the histogram range."""
+    return StandardScaler(tuple(s for s in fitted.stats if s.feature != "hora"))
+
+
+def _ranges(fitted: StandardScaler) -> dict[str, tuple[float, float]]:
+    raw = {s.feature: (float(s.low), float(s.high)) for s in fitted.stats if s.feature == "hora"}
+    return _without_hour(fitted).ranges() | raw
+
+
+def _hbos(
+    scaled: DataFrame, fitted: StandardScaler, bins: Sequence[int] = CONFIG.histogram_bins
+) -> dict[int, hbos.HbosModel]:
+    names = features_for_model("hbos", scaled.columns)
+    return hbos.fit_hbos(scaled.where("is_train"), names, bins, _ranges(fitted))
 
 
 def _hbos_scored(spark: SparkSession, folder: str) -> DataFrame:
-    scaled = _scaled(spark, folder)
+    scaled, fitted = _scaled(spark, folder)
     outputs = {b: score_column(f"HBOS_bins{b}") for b in CONFIG.histogram_bins}
-    return hbos.with_hbos_scores(scaled, _hbos(scaled), outputs).select(
+    return hbos.with_hbos_scores(scaled, _hbos(scaled, fitted), outputs).select(
         ROW_ID,
         EVENT,
         ENTITY,
@@ -347,7 +358,8 @@ def split_by_time(spark, folder):
 def standard_scale(spark, folder):
     features, _ = _indexed_features(spark, folder, regions=True)
     wanted = scaled_features(features.columns)
-    scaled = StandardScaler.fit(features.where("is_train"), wanted).transform(features)
+    fitted = StandardScaler.fit(features.where("is_train"), wanted).rounded(10)
+    scaled = fitted.transform(features)
     return scaled.select(EVENT, *[F.round(c, 6).alias(c) for c in wanted])
 
 
@@ -356,8 +368,8 @@ def standard_scale(spark, folder):
 
 @query
 def hbos_bins(spark, folder):
-    scaled = _scaled(spark, folder)
-    return hbos.models_to_df(spark, _hbos(scaled)).select(
+    scaled, fitted = _scaled(spark, folder)
+    return hbos.models_to_df(spark, _hbos(scaled, fitted)).select(
         "bins",
         "feature",
         "bin",
@@ -371,8 +383,8 @@ def hbos_bins(spark, folder):
 
 def _hbos_query(bins: int) -> Query:
     def run(spark, folder):
-        scaled = _scaled(spark, folder)
-        scored = hbos.with_hbos_scores(scaled, _hbos(scaled, [bins]), {bins: "score"})
+        scaled, fitted = _scaled(spark, folder)
+        scored = hbos.with_hbos_scores(scaled, _hbos(scaled, fitted, [bins]), {bins: "score"})
         return scored.select(EVENT, F.round("score", 6).alias("score"))
 
     run.__name__ = f"hbos_scores_{bins}"
@@ -393,12 +405,12 @@ def hbos_labels(spark, folder):
 def model_roundtrip(spark, folder):
     """Scaler and histograms saved as tables, loaded again, then used for scoring."""
     features, _ = _indexed_features(spark, folder)
-    wanted = scaled_features(features.columns)
+    wanted = [*scaled_features(features.columns), "hora"]
     root = f"{scratch_root(spark)}/models-{spark.range(1).select(F.uuid()).first()[0]}"
-    StandardScaler.fit(features.where("is_train"), wanted).save(spark, f"{root}/scaler")
-    scaled = StandardScaler.load(spark, f"{root}/scaler").transform(features)
-    scaled = scaled.withColumns({c: F.round(f"`{c}`", 9) for c in wanted})
-    hbos.save_models(spark, _hbos(scaled), f"{root}/hbos")
+    StandardScaler.fit(features.where("is_train"), wanted).rounded(10).save(spark, f"{root}/scaler")
+    fitted = StandardScaler.load(spark, f"{root}/scaler")
+    scaled = _without_hour(fitted).transform(features)
+    hbos.save_models(spark, _hbos(scaled, fitted), f"{root}/hbos")
     models = hbos.load_models(spark, f"{root}/hbos")
     outputs = {b: f"score_{b}" for b in models}
     return hbos.with_hbos_scores(scaled, models, outputs).select(
