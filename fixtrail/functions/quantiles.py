@@ -2,8 +2,8 @@
 
 ``percentile`` keeps every distinct value of a group in one buffer. Here a mergeable sketch
 brackets each wanted rank, one counting pass proves the bracket, and only the values
-strictly inside it take part in the next pass. Each pass narrows the bracket by about a
-thousand, so a trillion values need two or three narrow scans. The answer never depends on
+strictly inside it take part in the next pass. Each pass narrows the bracket by a factor
+of several hundred, so a trillion values need three narrow rounds. The answer never depends on
 the quality of the sketch: ranks are counted exactly.
 """
 
@@ -20,7 +20,7 @@ from fixtrail.functions.numeric import nan_to_null
 
 # values that may meet in one aggregation buffer
 DIRECT_LIMIT = 100_000
-_SKETCH_ACCURACY = 20_000
+_SKETCH_ACCURACY = 5_000
 # accuracy at which the sketch keeps every value and so selects ranks exactly
 _EXACT_ACCURACY = 2_147_483_647
 

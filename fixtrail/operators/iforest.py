@@ -117,21 +117,33 @@ class IsolationForest:
         nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
         return cls(tuple(features), size, trees, nodes)
 
-    def _packed(self) -> tuple[np.ndarray, ...]:
-        """Node columns with tree-local links turned into positions in one array.
+    @property
+    def depth(self) -> int:
+        return math.ceil(math.log2(max(self.sample_size, 2)))
 
-        The children of node i are at 2i (left) and 2i + 1 (right).
+    def _levels(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Features and thresholds by level, and path lengths at the last level.
+
+        Trees are spread to full depth (a leaf repeats itself), so that children follow
+        from the position: node i of a level leads to nodes 2i and 2i + 1 of the next. A
+        threshold is rounded down to single precision, which leaves the comparison with a
+        single-precision value unchanged.
         """
         tree = self.nodes["tree"].to_numpy()
         starts = np.searchsorted(tree, np.arange(self.trees))
         links = self.nodes[["left", "right"]].to_numpy(np.intp) + starts[tree][:, None]
-        return (
-            starts,
-            self.nodes["feature"].to_numpy(np.intp),
-            self.nodes["threshold"].to_numpy(np.float64),
-            links.ravel(),
-            self.nodes["path"].to_numpy(np.float64),
-        )
+        feature = self.nodes["feature"].to_numpy(np.intp)
+        exact = self.nodes["threshold"].to_numpy(np.float64)
+        threshold = exact.astype(np.float32)
+        too_high = threshold > exact
+        threshold[too_high] = np.nextafter(threshold[too_high], np.float32(-np.inf))
+        at = starts[:, None]
+        features, thresholds = [], []
+        for _ in range(self.depth):
+            features.append(feature[at])
+            thresholds.append(threshold[at])
+            at = links[at].reshape(self.trees, -1)
+        return np.hstack(features), np.hstack(thresholds), self.nodes["path"].to_numpy()[at]
 
     def score(self, prefixes: Sequence[int] | None = None):
         """Struct column with one score per forest size in ``prefixes``.
@@ -142,9 +154,9 @@ class IsolationForest:
         sizes = sorted(prefixes or [self.trees])
         if sizes[-1] > self.trees or sizes[0] < 1:
             raise ValueError(f"forest has {self.trees} trees, asked for {sizes}")
-        starts, feature, threshold, child, path = self._packed()
+        feature, threshold, path = self._levels()
+        depth = self.depth
         expected = average_path(self.sample_size) or 1.0
-        depth = math.ceil(math.log2(max(self.sample_size, 2)))
         schema = ", ".join(f"n{s} double" for s in sizes)
 
         @F.pandas_udf(schema)
@@ -156,11 +168,15 @@ class IsolationForest:
             total = np.zeros(count)
             out = {}
             for tree in range(sizes[-1]):
-                at = np.full(count, starts[tree])
-                for _ in range(depth):
-                    value = flat.take(column.take(at) + row)
-                    at = child.take(2 * at + (value > threshold.take(at)))
-                total += path[at]
+                at = np.zeros(count, np.intp)
+                for level in range(depth):
+                    nodes = slice((1 << level) - 1, (2 << level) - 1)
+                    place = column[tree, nodes].take(at)
+                    place += row
+                    goes_right = flat.take(place) > threshold[tree, nodes].take(at)
+                    at *= 2
+                    at += goes_right
+                total += path[tree].take(at)
                 if tree + 1 in sizes:
                     score = np.exp2(-total / ((tree + 1) * expected))
                     out[f"n{tree + 1}"] = np.where(missing, np.nan, score)

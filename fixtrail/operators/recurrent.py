@@ -27,6 +27,7 @@ from fixtrail.operators.staging import stage
 _PATIENCE = 3
 _SCORE_CHUNK = 256  # keeps the activations in the processor cache
 _FILES_PER_CORE = 4
+_SHARDS_PER_FILE = 512
 # partial averages are merged in groups of this many tasks before the final merge
 _MERGE_GROUPS = 32
 
@@ -165,11 +166,11 @@ def training_table(
     counts = {name: sizes[f"s{i}"] for i, name in enumerate(members)}
     shards = max(1, math.ceil(sizes["all"] / rows_per_shard))
     cores = windows.sparkSession.sparkContext.defaultParallelism
-    files = min(shards, max(cores * _FILES_PER_CORE, math.ceil(shards / 64)))
-    sharded = picked.withColumn("shard", F.pmod(F.xxhash64(row_id), F.lit(shards)).cast("int"))
-    table = stage(
-        sharded.repartitionByRange(files, "shard").sortWithinPartitions("shard", row_id), "training"
-    )
+    files = min(shards, max(cores * _FILES_PER_CORE, math.ceil(shards / _SHARDS_PER_FILE)))
+    sharded = picked.withColumn("shard", F.pmod(F.xxhash64(row_id), F.lit(shards)).cast("long"))
+    file = F.expr(f"cast(shard * {files} div {shards} as int)")
+    placed = sharded.repartitionById(files, file).sortWithinPartitions("shard", row_id)
+    table = stage(placed, "training")
     return table.select("shard", "members", "seq"), counts, shards
 
 

@@ -44,6 +44,9 @@ from fixtrail.sources.sinks import (
 )
 from fixtrail.sources.tables import read_first, standardize
 
+# Fixed value: the note in place of the figures of an empty profile.
+NOTHING_LOCATED = "Base vazia ou sem agrupamento possível"
+
 _TRAIN = "is_train"
 _SEQ = "seq"
 
@@ -238,8 +241,7 @@ def _profile(features: DataFrame, split: TemporalSplit) -> DataFrame:
         if profile.where("fluxo_veiculos_local IS NOT NULL").isEmpty():
             profile = None
     if profile is None:
-        note = F.lit("Base vazia ou sem agrupamento possível").alias("info")
-        profile = features.agg(note)
+        profile = features.agg(F.lit(NOTHING_LOCATED).alias("info"))
     lists = {
         "features_iso": features_for_model("isolation_forest", features.columns),
         "features_hbos": features_for_model("hbos", features.columns),

@@ -16,26 +16,36 @@ from fixtrail.operators.profile import (
     numeric_columns,
     numeric_describe,
 )
+from fixtrail.operators.staging import stage
 from fixtrail.sources.sinks import write_csv
 
+# Names of the report files.
+COLUMNS_FILE = "DescricaoInicial_BaseDados.csv"
+TEXTS_FILE = "EstatisticasIniciais_Categoricas.csv"
+NUMBERS_FILE = "EstatisticasIniciais_Numericas.csv"
+REGION_FILE = "quantidade_carros_por_ra.json"
+
 
 def write_base_report(df: DataFrame, folder: str) -> None:
     """Column profile, and numeric and text statistics where such columns exist."""
     write_csv(
         column_profile(df).select("Coluna", "Tipo", "Nulos"),
-        f"{folder}/DescricaoInicial_BaseDados.csv",
+        f"{folder}/{COLUMNS_FILE}",
     )
     if categorical_columns(df):
-        write_csv(categorical_describe(df), f"{folder}/EstatisticasIniciais_Categoricas.csv")
+        write_csv(categorical_describe(df), f"{folder}/{TEXTS_FILE}")
     if numeric_columns(df):
-        write_csv(numeric_describe(df), f"{folder}/EstatisticasIniciais_Numericas.csv")
+        write_csv(numeric_describe(df), f"{folder}/{NUMBERS_FILE}")
 
 
-def write_region_report(df: DataFrame, folder: str) -> None:
-    """One JSON object: region -> distinct entities. One entry per region."""
+def write_region_report(df: DataFrame, folder: str, limit: int = 10_000) -> None:
+    """One JSON object: region -> distinct entities. More than ``limit`` regions is an error."""
     if not {REGION, ENTITY} <= set(df.columns):
         warnings.warn(f"no report without the columns {REGION} and {ENTITY}", stacklevel=2)
         return
-    pairs = F.sort_array(F.collect_list(F.struct(REGION, "veiculos")))
-    counted = entities_per_region(df).agg(F.to_json(F.map_from_entries(pairs)).alias("value"))
-    counted.write.mode("overwrite").text(f"{folder}/quantidade_carros_por_ra.json")
+    counted = stage(entities_per_region(df), "regions")
+    if counted.count() > limit:
+        raise ValueError(f"{REGION} has more than {limit} distinct values")
+    pairs = F.sort_array(F.collect_list(F.struct(REGION, "veiculos")))  # at most ``limit``
+    document = counted.agg(F.to_json(F.map_from_entries(pairs)).alias("value"))
+    document.write.mode("overwrite").text(f"{folder}/{REGION_FILE}")
