@@ -39,7 +39,7 @@ def weekday_of(ts: Column) -> Column:
 
 
 def weekday_name(ts: Column) -> Column:
-    return F.date_format(ts, "EEEE")
+    return F.date_format(F.to_date(ts), "EEEE")
 
 
 def hour_cycle(hour: Column) -> tuple[Column, Column]:
@@ -55,12 +55,23 @@ def with_calendar_features(df: DataFrame, time: str = TIME) -> DataFrame:
     )
 
 
+def seconds_between(earlier: Column, later: Column) -> Column:
+    """Elapsed seconds of two zone-less timestamps, to the microsecond.
+
+    The difference is taken as an interval: ``timestampdiff`` would go through the session
+    time zone and be an hour off around a clock change.
+    """
+    return (later - earlier).cast("interval second").cast("decimal(20,6)").cast("double")
+
+
+def month_of(ts: Column) -> Column:
+    return F.trunc(F.to_date(ts), "month")
+
+
 def moment_text(ts: Column) -> Column:
-    """Timestamp as text; microseconds appear only when there are any."""
-    micros = F.date_format(ts, "SSSSSS")
-    return F.when(micros == "000000", F.date_format(ts, "yyyy-MM-dd HH:mm:ss")).otherwise(
-        F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    )
+    """Zone-less timestamp as text; six digits of microseconds where there are any."""
+    text = ts.cast("string")
+    return F.when(F.length(text) == 19, text).otherwise(F.rpad(text, 26, "0"))
 
 
 def _good_friday(year: Column) -> Column:

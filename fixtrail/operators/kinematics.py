@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from fixtrail.config import LAT, LON, TIME
+from fixtrail.functions.calendar import seconds_between
 from fixtrail.functions.geo import haversine_m
 from fixtrail.functions.numeric import nan_to_null
 
@@ -16,7 +17,7 @@ LOOKBACK = 2
 
 def elapsed_seconds(window: WindowSpec, time: str = TIME) -> Column:
     """Seconds since the previous fix, NULL on the first one."""
-    return F.timestamp_diff("MICROSECOND", F.lag(time).over(window), F.col(time)) / F.lit(1e6)
+    return seconds_between(F.lag(time).over(window), F.col(time))
 
 
 def with_kinematics(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fixtrail.config import ENTITY, LAT, LON, REGION, TIME
-from fixtrail.functions.calendar import moment_text
+from fixtrail.functions.calendar import moment_text, month_of
 from fixtrail.functions.numeric import nan_to_null
 from fixtrail.functions.quantiles import exact_percentiles
 
@@ -38,7 +38,7 @@ def dataset_profile(
             F.max(time).alias("_last"),
             mean_speed.alias("vel_media"),
             F.count_distinct(F.to_date(time)).cast("int").alias("dias_analise"),
-            F.count_distinct(F.date_trunc("month", time)).cast("int").alias("meses_analise"),
+            F.count_distinct(month_of(F.col(time))).cast("int").alias("meses_analise"),
         )
         .withColumn("_b", busiest.scalar())
         .select(

@@ -8,16 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fixtrail.config import ENTITY, TIME
+from fixtrail.functions.calendar import seconds_between
+from fixtrail.operators.kinematics import elapsed_seconds
 from fixtrail.operators.lookback import EntityFrames
 
 GAP = "gap"  # every consecutive gap within the limit
 SPAN = "span"  # the whole window within the limit as well, and more rows than one window
 
 
-def _micros(seconds: float) -> Column:
-    return F.lit(round(seconds * 1_000_000))
-
-
 def window_lookback(size: int) -> int:
     return max(size - 1, 0)
 
@@ -41,16 +39,15 @@ def with_window_flags(
     w = frames.window
     full = F.row_number().over(w) >= size
     valid = full
-    limit = _micros(max_gap_seconds)
+    limit = F.lit(float(max_gap_seconds))
     if size > 1:
-        gap = F.timestamp_diff("MICROSECOND", F.lag(time).over(w), F.col(time))
-        df = df.withColumn("_gap", gap)
+        df = df.withColumn("_gap", elapsed_seconds(w, time))
         widest = F.max("_gap").over(w.rowsBetween(2 - size, Window.currentRow))
         valid = valid & (widest <= limit)
     if rule == SPAN:
         fixes = F.count(F.lit(1)).over(Window.partitionBy(*frames.keys))
         valid = valid & (frames.is_split_entity() | (fixes > size))
-        span = F.timestamp_diff("MICROSECOND", F.lag(time, size - 1).over(w), F.col(time))
+        span = seconds_between(F.lag(time, size - 1).over(w), F.col(time))
         valid = valid & (span <= limit)
     elif rule != GAP:
         raise ValueError(f"unknown window rule {rule!r}")

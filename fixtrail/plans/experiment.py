@@ -19,7 +19,7 @@ from fixtrail.config import (
     features_for_model,
     score_column,
 )
-from fixtrail.functions.calendar import moment_text, weekday_name
+from fixtrail.functions.calendar import weekday_name
 from fixtrail.operators import hbos, recurrent
 from fixtrail.operators.evaluate import compare_with_reference
 from fixtrail.operators.features import apply_features, has_coordinates, scaled_features
@@ -251,7 +251,7 @@ def _profile(features: DataFrame, split: TemporalSplit) -> DataFrame:
         {
             **{name: F.lit(values) for name, values in lists.items()},
             "split_temporal": F.struct(
-                moment_text(F.lit(split.cutoff_time()).cast("timestamp_ntz")).alias("cutoff_timestamp"),
+                F.lit(str(split.cutoff_time())).alias("cutoff_timestamp"),
                 F.lit(split.train_size).alias("train_size"),
                 F.lit(split.test_size).alias("test_size"),
                 F.lit(split.train_ratio).alias("train_ratio"),

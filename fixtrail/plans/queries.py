@@ -24,6 +24,7 @@ from fixtrail.config import (
 )
 from fixtrail.functions.calendar import (
     moment_text,
+    month_of,
     weekday_name,
     with_calendar_features,
     with_holiday_flag,
@@ -237,7 +238,7 @@ def temporal_features(spark, folder):
         F.round("hora_cos", 6).alias("hora_cos"),
         weekday_name(F.col(TIME)).alias("dia_semana"),
         F.to_date(TIME).cast("string").alias("dia"),
-        F.to_date(F.date_trunc("month", TIME)).cast("string").alias("mes"),
+        month_of(F.col(TIME)).cast("string").alias("mes"),
         moment_text(F.col(TIME)).alias("momento"),
     )
 
@@ -348,7 +349,7 @@ def split_by_time(spark, folder):
         EVENT,
         ROW_ID,
         is_train(split.cutoff).alias("is_train"),
-        F.lit(split.cutoff_time()).cast("timestamp_ntz").alias("cutoff_timestamp"),
+        F.lit(str(split.cutoff_time())).cast("timestamp_ntz").alias("cutoff_timestamp"),
         F.lit(split.train_size).cast("long").alias("train_size"),
         F.lit(split.test_size).cast("long").alias("test_size"),
     )

@@ -3,7 +3,9 @@ from datetime import datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from fixtrail.functions.calendar import moment_text
 from fixtrail.operators.lookback import entity_frames
 from fixtrail.operators.rowindex import with_row_id
 from fixtrail.operators.windows import (
@@ -126,3 +128,26 @@ def test_bad_arguments(sample):
         flagged(sample, 0, 10)
     with pytest.raises(ValueError, match="unknown window rule"):
         flagged(sample, 2, 10, "other")
+
+
+def test_clock_changes_of_the_session_zone_do_not_matter(spark):
+    """Timestamps carry no zone; local midnight did not exist in this zone on that day."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        before = datetime(2018, 11, 3, 23, 50)
+        rows = [("A", before), ("A", before + timedelta(minutes=30))]
+        df = spark.createDataFrame(rows, "placa string, timestamp timestamp_ntz")
+        assert flagged(df, 2, 1800).where("window_valid").count() == 1
+        assert flagged(df, 2, 1799).where("window_valid").count() == 0
+        text = df.select(moment_text(F.col("timestamp"))).orderBy("timestamp").collect()
+        assert text[1][0] == "2018-11-04 00:20:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_moment_text(spark):
+    rows = [(T0,), (T0 + timedelta(microseconds=500_000),)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz").orderBy("t")
+    texts = [r[0] for r in df.select(moment_text(F.col("t"))).collect()]
+    assert texts == ["2025-01-01 00:00:00", "2025-01-01 00:00:00.500000"]
