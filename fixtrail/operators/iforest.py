@@ -220,5 +220,5 @@ def isolation_labels(
     """1 for outliers: score above 0.5, or above the contamination percentile of ``train``."""
     if contamination != "auto":
         return contamination_labels(df, score, contamination, train, output)
-    flag = F.coalesce(F.col(score) > F.lit(0.5), F.lit(False))
+    flag = F.coalesce(nan_to_null(F.col(score)) > F.lit(0.5), F.lit(False))
     return df.withColumn(output, flag.cast("int"))
