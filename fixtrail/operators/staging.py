@@ -1,38 +1,68 @@
 """Write an intermediate result once to shared storage and read it back.
 
 A staged table cuts lineage, survives the loss of executors, and gives later jobs column
-pruning and filter pushdown. Tables go below ``spark.checkpoint.dir`` of the session; only
-a local session without that setting falls back to a temporary folder.
+pruning and filter pushdown. Tables go below ``spark.checkpoint.dir`` of the session, or
+below the warehouse folder if that is unset; both are shared by the driver and the executors.
+They are removed by the scope they were made in, or else at the end of the application.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="fixtrail-")
-    return _local_roots[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The folder as a Hadoop path, and the file system it lies in."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name on shared storage, removed with its scope or the application."""
+    path = f"{scratch_root(spark)}/fixtrail/{uuid.uuid4().hex}/{name}"
+    if _scopes:
+        _scopes[-1].append(path)
+    target, system = _hadoop(spark, path)
+    system.deleteOnExit(target.getParent())
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``scratch_folder`` together with its own parent."""
+    target, system = _hadoop(spark, path)
+    system.delete(target.getParent(), True)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove every table staged inside the block when it ends; results must be stored by then."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            remove_folder(spark, path)
 
 
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Materialise ``df`` as Parquet and return a scan over the result."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/fixtrail/{uuid.uuid4().hex}/{name}"
+    path = scratch_folder(spark, name)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
