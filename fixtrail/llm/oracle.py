@@ -2,7 +2,48 @@
 
 from __future__ import annotations
 
-_STATEMENTS: dict[str, str] = {}
+# Sorted running sums give the same cut as the nested histograms.
+_MIX = r"""
+WITH sized AS (
+  SELECT doc_id, source,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')), 1, 15)
+              AS BIGINT) AS h
+  FROM documents),
+src AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+  FROM sized GROUP BY source),
+weighed AS (
+  SELECT source, source_size, CASE place % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0 ELSE 1.0 END AS w,
+         2.0::DOUBLE * source_size AS cap FROM src),
+filled AS (
+  SELECT *, coalesce(sum(cap) OVER below, 0) AS held, sum(w) OVER () - coalesce(sum(w) OVER below, 0) AS free
+  FROM weighed
+  WINDOW below AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+rate AS (
+  SELECT arg_min((1.5 * (SELECT sum(source_size) FROM src) - held) / free, cap / w) AS r FROM filled
+  WHERE cap / w >= (1.5 * (SELECT sum(source_size) FROM src) - held) / free),
+target AS (SELECT source, source_size, least(cap, w * r) AS target FROM weighed, rate),
+ordered AS (
+  SELECT s.*, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS whole,
+         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.h) AS upto,
+         sum(s.size) OVER (PARTITION BY s.source, s.h) AS at_hash,
+         count(CASE WHEN s.size > 0 THEN 1 END) OVER (PARTITION BY s.source, s.h) AS n
+  FROM sized s JOIN target t ON s.source IS NOT DISTINCT FROM t.source),
+cut AS (
+  SELECT *, floor(target) - whole * source_size AS budget, floor(target) - whole * source_size - (upto - at_hash) AS rest
+  FROM ordered)
+SELECT doc_id, size, source_size, target,
+       CAST(whole * size + CASE
+         WHEN size = 0 OR rest < 0 THEN 0
+         WHEN at_hash <= rest THEN size
+         WHEN n = 1 THEN CASE WHEN at_hash - rest < rest THEN size ELSE 0 END
+         ELSE least(size, floor(rest / n)) END AS BIGINT) AS taken
+FROM cut
+"""
+
+_STATEMENTS: dict[str, str] = {"op1_mix_sources": _MIX}
 
 
 def statements() -> dict[str, str]:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fixtrail.llm.mixing import mix
 from fixtrail.llm.packing import pack_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +17,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of each document a mix by source weights takes."""
+    return mix(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_pack_sum_of_squares(spark: SparkSession, folder: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of at most 2048 tokens."""
     return pack_documents(_table(spark, folder, "documents"), with_ids=False)
 
 
 def registered() -> dict[str, Query]:
-    return {"op6_pack_sum_of_squares": op6_pack_sum_of_squares}
+    return {"op1_mix_sources": op1_mix_sources, "op6_pack_sum_of_squares": op6_pack_sum_of_squares}
