@@ -43,7 +43,18 @@ SELECT doc_id, size, source_size, target,
 FROM cut
 """
 
-_STATEMENTS: dict[str, str] = {"op1_mix_sources": _MIX}
+_WARC = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM f
+"""
+
+_STATEMENTS: dict[str, str] = {"op1_mix_sources": _MIX, "op2_warc_round_trip": _WARC}
 
 
 def statements() -> dict[str, str]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fixtrail.llm.mixing import mix
 from fixtrail.llm.packing import pack_documents
+from fixtrail.llm.warc import read_archives, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,10 +23,24 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as WARC archives and read back."""
+    manifest = write_archives(_table(spark, folder, "pages"))
+    columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_archives(manifest, with_payload=False).select(*columns)
+
+
 def op6_pack_sum_of_squares(spark: SparkSession, folder: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of at most 2048 tokens."""
     return pack_documents(_table(spark, folder, "documents"), with_ids=False)
 
 
 def registered() -> dict[str, Query]:
-    return {"op1_mix_sources": op1_mix_sources, "op6_pack_sum_of_squares": op6_pack_sum_of_squares}
+    return {
+        f.__name__: f
+        for f in (
+            op1_mix_sources,
+            op2_warc_round_trip,
+            op6_pack_sum_of_squares,
+        )
+    }
