@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fixtrail.llm.line_crf import fit_line_field, judge_documents
 from fixtrail.llm.mixing import mix
 from fixtrail.llm.packing import pack_documents
 from fixtrail.llm.warc import read_archives, write_archives
@@ -30,6 +31,13 @@ def op2_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return read_archives(manifest, with_payload=False).select(*columns)
 
 
+def op3_line_field_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    docs = _table(spark, folder, "documents")
+    field = fit_line_field(docs, _table(spark, folder, "labels"))
+    return judge_documents(docs, field)
+
+
 def op6_pack_sum_of_squares(spark: SparkSession, folder: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of at most 2048 tokens."""
     return pack_documents(_table(spark, folder, "documents"), with_ids=False)
@@ -41,6 +49,7 @@ def registered() -> dict[str, Query]:
         for f in (
             op1_mix_sources,
             op2_warc_round_trip,
+            op3_line_field_quality,
             op6_pack_sum_of_squares,
         )
     }
