@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fixtrail.llm.html_trees import extract_text
 from fixtrail.llm.line_crf import fit_line_field, judge_documents
 from fixtrail.llm.mixing import mix
 from fixtrail.llm.packing import pack_documents
@@ -38,6 +39,12 @@ def op3_line_field_quality(spark: SparkSession, folder: str) -> DataFrame:
     return judge_documents(docs, field)
 
 
+def op5_html_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    texts = extract_text(_table(spark, folder, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_pack_sum_of_squares(spark: SparkSession, folder: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of at most 2048 tokens."""
     return pack_documents(_table(spark, folder, "documents"), with_ids=False)
@@ -50,6 +57,7 @@ def registered() -> dict[str, Query]:
             op1_mix_sources,
             op2_warc_round_trip,
             op3_line_field_quality,
+            op5_html_trees,
             op6_pack_sum_of_squares,
         )
     }
