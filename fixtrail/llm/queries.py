@@ -11,6 +11,7 @@ from fixtrail.llm.html_trees import extract_text
 from fixtrail.llm.line_crf import fit_line_field, judge_documents
 from fixtrail.llm.mixing import mix
 from fixtrail.llm.packing import pack_documents
+from fixtrail.llm.string_kernel import label_languages
 from fixtrail.llm.warc import read_archives, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +51,11 @@ def op6_pack_sum_of_squares(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(_table(spark, folder, "documents"), with_ids=False)
 
 
+def op8_string_kernel_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document."""
+    return label_languages(_table(spark, folder, "documents"))
+
+
 def registered() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -59,5 +65,6 @@ def registered() -> dict[str, Query]:
             op3_line_field_quality,
             op5_html_trees,
             op6_pack_sum_of_squares,
+            op8_string_kernel_languages,
         )
     }
