@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixtrail.llm.html_trees import extract_text
+from fixtrail.llm.lattice_lm import score_documents
 from fixtrail.llm.line_crf import fit_line_field, judge_documents
 from fixtrail.llm.mixing import mix
 from fixtrail.llm.packing import pack_documents
@@ -56,6 +57,11 @@ def op8_string_kernel_languages(spark: SparkSession, folder: str) -> DataFrame:
     return label_languages(_table(spark, folder, "documents"))
 
 
+def op10_lattice_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probability of every document."""
+    return score_documents(_table(spark, folder, "documents"))
+
+
 def registered() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -66,5 +72,6 @@ def registered() -> dict[str, Query]:
             op5_html_trees,
             op6_pack_sum_of_squares,
             op8_string_kernel_languages,
+            op10_lattice_scores,
         )
     }
