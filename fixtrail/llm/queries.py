@@ -12,6 +12,7 @@ from fixtrail.llm.lattice_lm import score_documents
 from fixtrail.llm.line_crf import fit_line_field, judge_documents
 from fixtrail.llm.mixing import mix
 from fixtrail.llm.packing import pack_documents
+from fixtrail.llm.permutation_index import search
 from fixtrail.llm.string_kernel import label_languages
 from fixtrail.llm.warc import read_archives, write_archives
 
@@ -52,6 +53,12 @@ def op6_pack_sum_of_squares(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(_table(spark, folder, "documents"), with_ids=False)
 
 
+def op7_permutation_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest rows of every row whose id is divisible by 20."""
+    table = _table(spark, folder, "embeddings")
+    return search(table, table.where(F.col("vec_id") % 20 == 0).select("vec_id"))
+
+
 def op8_string_kernel_languages(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document."""
     return label_languages(_table(spark, folder, "documents"))
@@ -71,6 +78,7 @@ def registered() -> dict[str, Query]:
             op3_line_field_quality,
             op5_html_trees,
             op6_pack_sum_of_squares,
+            op7_permutation_neighbours,
             op8_string_kernel_languages,
             op10_lattice_scores,
         )
