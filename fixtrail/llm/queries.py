@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fixtrail.llm.chunk_dedup import dedup_passages
 from fixtrail.llm.html_trees import extract_text
 from fixtrail.llm.lattice_lm import score_documents
 from fixtrail.llm.line_crf import fit_line_field, judge_documents
@@ -64,6 +65,13 @@ def op8_string_kernel_languages(spark: SparkSession, folder: str) -> DataFrame:
     return label_languages(_table(spark, folder, "documents"))
 
 
+def op9_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's text without passages that an earlier document has, and what was cut."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    words = F.aggregate("removed", F.lit(0).cast("long"), lambda total, x: total + x["words"])
+    return dedup_passages(docs).select("doc_id", "text", words.alias("removed_words"), "removed")
+
+
 def op10_lattice_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Log probability of every document."""
     return score_documents(_table(spark, folder, "documents"))
@@ -80,6 +88,7 @@ def registered() -> dict[str, Query]:
             op6_pack_sum_of_squares,
             op7_permutation_neighbours,
             op8_string_kernel_languages,
+            op9_chunk_dedup,
             op10_lattice_scores,
         )
     }
