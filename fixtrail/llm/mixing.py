@@ -106,6 +106,33 @@ def _thresholds(sizes: DataFrame, plan: DataFrame) -> DataFrame:
     return live
 
 
+def _words(size: Column | None) -> Column:
+    return n_words("text") if size is None else size
+
+
+def _taken() -> Column:
+    """Words taken of a row that has size, hash and the columns of its source's end."""
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    nearer = F.col("_size_at") - F.col("_rest") < F.col("_rest")
+    at_end = F.when(F.col("_n") == 1, F.when(nearer, F.col("size")).otherwise(0)).otherwise(
+        F.least(F.col("size"), F.floor(F.col("_rest") / F.col("_n")))
+    )
+    # without a boundary the whole repeats already meet the budget
+    more = F.when(F.col("hash") < F.col("_prefix"), F.col("size")).when(F.col("hash") == F.col("_prefix"), at_end)
+    return (whole * F.col("size") + F.coalesce(more, F.lit(0))).cast("long")
+
+
+def mix_plan(docs: DataFrame, weights: Sequence[float], share: float, most: float, seed: str, size: Column | None) -> tuple[DataFrame, DataFrame]:
+    """Sizes of all rows, and per source its size, target and threshold."""
+    sizes = stage(docs.select("doc_id", "source", document_hash(seed).alias("hash"), _words(size).alias("size")), "document_sizes")
+    plan = stage(targets(sizes, weights, share, most), "targets")
+    bound = _thresholds(sizes, plan).select(
+        F.col("source").alias("_s"), F.col("prefix").alias("_prefix"), F.col("rest").alias("_rest"), F.col("n").alias("_n"), F.col("size_at").alias("_size_at")
+    )
+    ends = plan.join(bound, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s").withColumnRenamed("source", "_of")
+    return sizes, stage(ends, "mix_plan")
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -115,25 +142,25 @@ def mix(
     size: Column | None = None,
 ) -> DataFrame:
     """doc_id, source, hash, size, source_size, target, taken for every row of ``docs``."""
-    sizes = stage(
-        docs.select(
-            "doc_id", "source", document_hash(seed).alias("hash"), (n_words("text") if size is None else size).alias("size")
-        ),
-        "document_sizes",
-    )
-    plan = stage(targets(sizes, weights, share, most), "targets")
-    bound = _thresholds(sizes, plan).select(F.col("source").alias("_s"), "prefix", "rest", "n", "size_at")
-    ends = plan.join(bound, F.col("source").eqNullSafe(F.col("_s")), "left").select(
-        F.col("source").alias("_of"), "source_size", "target", "prefix", "rest", "n", "size_at"
-    )
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    nearer = F.col("size_at") - F.col("rest") < F.col("rest")
-    at_end = F.when(F.col("n") == 1, F.when(nearer, F.col("size")).otherwise(0)).otherwise(
-        F.least(F.col("size"), F.floor(F.col("rest") / F.col("n")))
-    )
-    # without a boundary the whole repeats already meet the budget
-    more = F.when(F.col("hash") < F.col("prefix"), F.col("size")).when(F.col("hash") == F.col("prefix"), at_end).otherwise(0)
-    taken = (whole * F.col("size") + F.coalesce(more, F.lit(0))).cast("long")
+    sizes, ends = mix_plan(docs, weights, share, most, seed, size)
     return sizes.join(ends, F.col("source").eqNullSafe(F.col("_of"))).select(
-        "doc_id", "source", "hash", "size", "source_size", "target", taken.alias("taken")
+        "doc_id", "source", "hash", "size", "source_size", "target", _taken().alias("taken")
+    )
+
+
+def mixed_rows(
+    docs: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    share: float = SHARE,
+    most: float = MOST,
+    seed: str = SEED,
+) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with all columns; a cut repeat counts from a half on."""
+    _, ends = mix_plan(docs, weights, share, most, seed, None)
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = docs.select(own, "source", document_hash(seed).alias("hash"), _words(None).alias("size"))
+    taken = rows.where(F.col("size") > 0).join(ends, F.col("source").eqNullSafe(F.col("_of"))).withColumn(
+        "_times", F.round(_taken() / F.col("size")).cast("int")
     )
+    repeated = taken.where(F.col("_times") > 0).select("_row", F.explode(F.array_repeat(F.lit(1), F.col("_times"))))
+    return repeated.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

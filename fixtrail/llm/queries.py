@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fixtrail.llm.chunk_dedup import dedup_passages
 from fixtrail.llm.html_trees import extract_text
+from fixtrail.llm.jaccard_join import similar_groups
 from fixtrail.llm.lattice_lm import score_documents
 from fixtrail.llm.line_crf import fit_line_field, judge_documents
 from fixtrail.llm.mixing import mix
@@ -43,6 +44,11 @@ def op3_line_field_quality(spark: SparkSession, folder: str) -> DataFrame:
     return judge_documents(docs, field)
 
 
+def op4_jaccard_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents that are linked by shared four-word shingles."""
+    return similar_groups(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_html_trees(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     texts = extract_text(_table(spark, folder, "pages"))
@@ -78,17 +84,16 @@ def op10_lattice_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {
-        f.__name__: f
-        for f in (
-            op1_mix_sources,
-            op2_warc_round_trip,
-            op3_line_field_quality,
-            op5_html_trees,
-            op6_pack_sum_of_squares,
-            op7_permutation_neighbours,
-            op8_string_kernel_languages,
-            op9_chunk_dedup,
-            op10_lattice_scores,
-        )
-    }
+    found = (
+        op1_mix_sources,
+        op2_warc_round_trip,
+        op3_line_field_quality,
+        op4_jaccard_groups,
+        op5_html_trees,
+        op6_pack_sum_of_squares,
+        op7_permutation_neighbours,
+        op8_string_kernel_languages,
+        op9_chunk_dedup,
+        op10_lattice_scores,
+    )
+    return {f.__name__: f for f in found}
