@@ -6,12 +6,12 @@ and more the more candidates its prefix is expected to meet, so costly prefixes
 a pair has to share the smaller of both ``l`` before it is verified. Verification compares whole sets.
 
 1. Equal sets are one class; only classes are compared, and copies are members.
-2. Tokens that occur often are counted (exactly within partitions, summed over those where they repeat); of
-   n tokens in all at most ``HEAVY`` occur more than n / HEAVY times, and these are the only ones
-   broadcast. They come last in the order; any order the documents agree on is correct.
+2. All tokens are counted in a fixed number of cells by hash, which is what gives the order from rare to
+   frequent and what is broadcast. A cell is never below the count of its tokens, so the first
+   tokens of a set are rare ones however full the cells are. Any order all agree on is correct.
 3. Prefixes are posted by token. Tokens of a single class are dropped.
-4. Classes that share a token are first compared with a few pivots of its list, which is linear in its length;
-   the links found join most of a group of near copies into one component.
+4. Classes that share a token are first compared with a few pivots of its list, which is linear in its length,
+   in a few rounds; the links found join most of a group of near copies into one component.
 5. Lists that still hold several components give all pairs across components, each at the rarest token it
    shares, if enough prefix tokens are shared. So no link between components is missed, and pairs
    that are already connected are never made.
@@ -25,6 +25,7 @@ has a null name. Repeated rows are members of one class. An empty table gives an
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,12 +38,14 @@ from fixtrail.llm.components import components
 from fixtrail.llm.words import WordHashes, mixed, shingle_hashes, words_of
 from fixtrail.operators.staging import stage
 
-#: Most frequent tokens that are broadcast (16 bytes each), and the least count of a frequent token.
-HEAVY = 200_000
-HEAVY_FROM = 8
+#: Tokens are counted in 2^CELL_BITS cells by hash: 32 MB in all, sent in rows of CELLS_PER_ROW.
+CELL_BITS = 24
+CELLS_PER_ROW = 1 << 16
 #: Expected candidates of a prefix up to which one shared token is enough; twice as many ask for one more.
 CHEAP = 64
 PIVOTS = 3
+#: Rounds of comparing lists with pivots, by the number of pivot orders among the lists.
+SPREADS = (1, 4, 16)
 #: Tokens that a task counts at once.
 TOKENS_HELD = 8_000_000
 
@@ -52,25 +55,28 @@ def _ceil_share(n: np.ndarray | int, percent: int):
 
 
 class Order:
-    """From rare to frequent: tokens that aren't frequent by hash, then frequent ones by count."""
+    """From rare to frequent by the counts of hash cells, then by hash.
 
-    def __init__(self, tokens: np.ndarray, counts: np.ndarray) -> None:
-        by = np.argsort(tokens)
-        self.tokens, self.counts = tokens[by], counts[by]
+    A cell counts all tokens that fall into it, so no token is more frequent than its cell.
+    """
+
+    def __init__(self, levels: np.ndarray, total: int) -> None:
+        self._levels = levels
+        self._usual = total / len(levels)  # other tokens in a cell
+
+    @staticmethod
+    def level(counts: np.ndarray) -> np.ndarray:
+        return np.minimum(np.log2(1.0 + counts) * 2048, 65535).astype(np.uint16)
 
     def prefix(self, tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
         """The document's prefix and how many of its tokens a partner has to share."""
-        n = len(tokens)
-        count = np.zeros(n, np.int64)
-        if len(self.tokens):
-            at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
-            there = self.tokens[at] == tokens
-            count[there] = self.counts[at[there]]
-        order = np.lexsort((mixed(tokens), count))
-        least = int(_ceil_share(n, percent))
-        cost = int(count[order[: n - least + 1]].sum())
+        level = self._levels[tokens >> np.uint64(64 - CELL_BITS)]
+        order = np.lexsort((mixed(tokens), level))
+        least = int(_ceil_share(len(tokens), percent))
+        first = level[order[: len(tokens) - least + 1]]
+        cost = np.maximum(np.exp2(first / 2048.0) - 2.0 - self._usual, 0.0).sum()
         shared = min(1 + int(np.log2(1 + cost / CHEAP)), least)
-        return tokens[order[: n - least + shared]], shared
+        return tokens[order[: len(tokens) - least + shared]], shared
 
 
 def _row_key() -> Column:
@@ -112,53 +118,70 @@ def _each_set(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[in
                     yield name, tokens
 
 
-def _frequent(docs: DataFrame, size: int, total: int) -> Order:
-    """Tokens that occur in many sets: at most ``HEAVY`` of them."""
-    from_count = max(HEAVY_FROM, -(-total // HEAVY))
+def _token_order(docs: DataFrame, size: int, total: int) -> Order:
+    """Counts of all tokens of all sets in 2^CELL_BITS cells; what reaches the driver has this fixed size."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(1 << CELL_BITS, np.uint16)
         held: list[np.ndarray] = []
-        tokens_held = 0
+        n = 0
 
-        def repeated() -> pa.RecordBatch:
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            again = counts > 1
-            columns = [pa.array(tokens[again].view(np.int64)), pa.array(counts[again].astype(np.int64))]
-            return pa.record_batch(columns, ["token", "n"])
+        def add() -> None:
+            at, times = np.unique(np.concatenate(held) >> np.uint64(64 - CELL_BITS), return_counts=True)
+            cells[at] += np.minimum(times, 65535 - cells[at]).astype(np.uint16)
 
         for _, tokens in _each_set(batches, size):
             held.append(tokens)
-            tokens_held += len(tokens)
-            if tokens_held > TOKENS_HELD:
-                yield repeated()
-                held, tokens_held = [], 0
+            n += len(tokens)
+            if n > TOKENS_HELD:
+                add()
+                held, n = [], 0
         if held:
-            yield repeated()
-
-    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "token long, n long")
-    found = counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= from_count).toArrow()
-    return Order(found["token"].to_numpy().view(np.uint64), found["n"].to_numpy())
+            add()
+        blocks = [zlib.compress(x.tobytes(), 1) for x in cells.reshape(-1, CELLS_PER_ROW)]
+        for k in range(0, len(blocks), 32):
+            some = blocks[k : k + 32]
+            yield pa.record_batch([pa.array(range(k, k + len(some)), pa.int32()), pa.array(some, pa.binary())], ["block", "cells"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, cells in zip(batch["block"].to_pylist(), batch["cells"].to_pylist(), strict=True):
+                more = np.frombuffer(zlib.decompress(cells), np.uint16)
+                if block in sums:
+                    sums[block] += more
+                else:
+                    sums[block] = more.astype(np.int64)
+        columns = [pa.array(list(sums), pa.int32()), pa.array([Order.level(x).tobytes() for x in sums.values()], pa.binary())]
+        yield pa.record_batch(columns, ["block", "cells"])
+
+    parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "block int, cells binary")
+    found = parts.repartition("block").mapInArrow(add_up, "block int, cells binary").toArrow()
+    levels = np.zeros((-(-(1 << CELL_BITS) // CELLS_PER_ROW), CELLS_PER_ROW), np.uint16)
+    for block, cells in zip(found["block"].to_pylist(), found["cells"].to_pylist(), strict=True):
+        levels[block] = np.frombuffer(cells, np.uint16)
+    return Order(levels.ravel(), total)
 
 
 def _postings(docs: DataFrame, order: Order, size: int, percent: int) -> DataFrame:
-    """token, class, n, shared for every prefix token of every set (once a partition)."""
+    """token, class, n, shared, after (tokens behind the prefix) for every prefix token of every set (once a partition)."""
     shared_order = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, int, int, int]] = []
+        held: list[tuple[np.ndarray, int, int, int, int]] = []
         rows = 0
 
         def batch_of() -> pa.RecordBatch:
             lengths = [len(x[0]) for x in held]
             columns = [
                 pa.array(np.concatenate([x[0] for x in held]).view(np.int64)),
-                *[pa.array(np.repeat(np.array([x[k] for x in held], np.int64), lengths)) for k in (1, 2, 3)],
+                *[pa.array(np.repeat(np.array([x[k] for x in held], np.int64), lengths)) for k in (1, 2, 3, 4)],
             ]
-            return pa.record_batch(columns, ["token", "class", "n", "shared"])
+            return pa.record_batch(columns, ["token", "class", "n", "shared", "after"])
 
         for name, tokens in _each_set(batches, size):
             prefix, shared = shared_order.value.prefix(tokens, percent)
-            held.append((prefix, name, len(tokens), shared))
+            held.append((prefix, name, len(tokens), shared, len(tokens) - len(prefix)))
             rows += len(prefix)
             if rows > 100_000:
                 yield batch_of()
@@ -166,7 +189,7 @@ def _postings(docs: DataFrame, order: Order, size: int, percent: int) -> DataFra
         if held:
             yield batch_of()
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "token long, class long, n long, shared long")
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "token long, class long, n long, shared long, after long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -205,13 +228,13 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
     total, sets = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     if sets < 2:
         return None
-    postings = _postings(docs, _frequent(docs, size, total), size, percent)
+    postings = _postings(docs, _token_order(docs, size, total), size, percent)
     shared_tokens = (
         postings.groupBy("token").agg(F.min("class").alias("a"), F.max("class").alias("b")).where(F.col("a") != F.col("b"))
     )
     live = stage(postings.join(shared_tokens.select("token"), "token", "left_semi").distinct(), "live_postings")
     prefixes = stage(
-        live.groupBy("class").agg(F.collect_set("token").alias("tokens"), F.first("n").alias("n"), F.first("shared").alias("shared")),
+        live.groupBy("class").agg(F.collect_set("token").alias("tokens"), *[F.first(c).alias(c) for c in ("n", "shared", "after")]),
         "live_prefixes",
     )
     keys = classes.join(prefixes.select("class"), "class", "left_semi").select("class", "key")
@@ -221,44 +244,53 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
         "live_texts",
     )
 
-    # a few pivots of every list, by independent hashes of the class
-    by = [F.min(F.struct(F.xxhash64("class", F.lit(k)), "class")).getField("class").alias(f"p{k}") for k in range(PIVOTS)]
-    pivots = live.groupBy("token").agg(*by)
-    near = (
-        live.join(pivots, "token")
-        .select(F.col("class").alias("x"), F.array_distinct(F.array(*[f"p{k}" for k in range(PIVOTS)])).alias("ps"))
-        .distinct()
-        .select("x", F.explode("ps").alias("y"))
-        .where(F.col("x") != F.col("y"))
-        .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        .distinct()
-    )
-    a = prefixes.select(F.col("class").alias("x"), F.col("tokens").alias("tx"), F.col("n").alias("nx"), F.col("shared").alias("sx"))
-    b = prefixes.select(F.col("class").alias("y"), F.col("tokens").alias("ty"), F.col("n").alias("ny"), F.col("shared").alias("sy"))
-    alike = (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")) & (
-        F.size(F.array_intersect("tx", "ty")) >= F.least("sx", "sy")
-    )
-    first_links = stage(_verified(near.join(a, "x").join(b, "y").where(alike).select("x", "y"), texts, size, percent), "pivot_links")
-    groups = stage(components(first_links), "pivot_components")
-
-    # lists that hold several components still
-    rooted = live.join(groups.select(F.col("node").alias("class"), "root"), "class", "left").select(
-        "token", "class", F.coalesce("root", "class").alias("root")
-    )
-    open_tokens = rooted.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where(F.col("r") != F.col("s"))
-    rest = stage(
-        rooted.join(open_tokens.select("token"), "token", "left_semi").join(prefixes, "class"), "open_postings"
+    side = lambda v: [F.col(c).alias(f"{c}_{v}") for c in ("tokens", "n", "shared", "after")]
+    a = prefixes.select(F.col("class").alias("x"), *side("x"))
+    b = prefixes.select(F.col("class").alias("y"), *side("y"))
+    common = F.size(F.array_intersect("tokens_x", "tokens_y"))
+    # common tokens are in both prefixes or behind one of them, and have to make up the similarity
+    alike = (
+        (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
+        & (common >= F.least("shared_x", "shared_y"))
+        & ((100 + percent) * (common + F.greatest("after_x", "after_y")) >= percent * (F.col("n_x") + F.col("n_y")))
     )
-    left = rest.select("token", F.col("class").alias("x"), F.col("root").alias("rx"), F.col("tokens").alias("tx"), F.col("n").alias("nx"), F.col("shared").alias("sx"))
-    right = rest.select("token", F.col("class").alias("y"), F.col("root").alias("ry"), F.col("tokens").alias("ty"), F.col("n").alias("ny"), F.col("shared").alias("sy"))
-    once = F.array_min(F.array_intersect("tx", "ty")) == left["token"]
+    links, rooted = None, live.select("token", "class", F.col("class").alias("root"))
+    for spread in SPREADS:
+        # lists draw their pivots by one of ``spread`` orders, so a round tries a few pivots in all lists of a group
+        order = [F.xxhash64("class", F.pmod("token", F.lit(spread)), F.lit(k)) for k in range(PIVOTS)]
+        pivots = rooted.groupBy("token").agg(
+            *[F.min(F.struct(o, "class", "root")).getField(name).alias(f"{name}{k}") for k, o in enumerate(order) for name in ("class", "root")]
+        )
+        choices = F.array(*[F.struct(F.col(f"class{k}").alias("y"), F.col(f"root{k}").alias("s")) for k in range(PIVOTS)])
+        near = (
+            rooted.join(pivots, "token")
+            .select(F.col("class").alias("x"), F.filter(F.array_distinct(choices), lambda p: p["s"] != F.col("root")).alias("ps"))
+            .where(F.size("ps") > 0)
+            .distinct()
+            .select("x", F.explode("ps.y").alias("y"))
+            .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+            .distinct()
+        )
+        found = _verified(near.join(a, "x").join(b, "y").where(alike).select("x", "y"), texts, size, percent)
+        links = stage(found if links is None else links.unionAll(found), "pivot_links")
+        groups = stage(components(links), "pivot_components")
+        # only lists that hold several components go on
+        renamed = live.join(groups.select(F.col("node").alias("class"), "root"), "class", "left").select(
+            "token", "class", F.coalesce("root", "class").alias("root")
+        )
+        several = renamed.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where(F.col("r") != F.col("s"))
+        rooted = stage(renamed.join(several.select("token"), "token", "left_semi"), "open_postings")
+
+    rest = rooted.join(prefixes, "class")
+    left = rest.select("token", F.col("class").alias("x"), F.col("root").alias("root_x"), *side("x"))
+    right = rest.select("token", F.col("class").alias("y"), F.col("root").alias("root_y"), *side("y"))
+    once = F.array_min(F.array_intersect("tokens_x", "tokens_y")) == left["token"]
     # the shorter set on the left, so each pair is met in one direction
-    ahead = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
-    across = left.join(right, (left["token"] == right["token"]) & ahead & (F.col("rx") != F.col("ry")) & alike & once).select("x", "y")
+    ahead = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("x") < F.col("y")))
+    across = left.join(right, (left["token"] == right["token"]) & ahead & (F.col("root_x") != F.col("root_y")) & alike & once)
     across = across.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     last_links = _verified(across, texts, size, percent)
-    edges = first_links.unionAll(last_links)
-    return components(edges).select(F.col("node").alias("class"), "root")
+    return components(links.unionAll(last_links)).select(F.col("node").alias("class"), "root")
 
 
 def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
