@@ -12,9 +12,9 @@ a pair has to share the smaller of both ``l`` before it is verified. Verificatio
 3. Prefixes are posted by token. Tokens of a single class are dropped.
 4. Classes that share a token are first compared with a few pivots of its list, which is linear in its length,
    in a few rounds; the links found join most of a group of near copies into one component.
-5. Lists that still hold several components give all pairs across components, each at the rarest token it
-   shares, if enough prefix tokens are shared. So no link between components is missed, and pairs
-   that are already connected are never made.
+5. Lists that still hold several components give all pairs across components whose prefixes can share enough
+   tokens, by a bit map first and then exactly. So no link between components is missed, and
+   pairs that are already connected are never made.
 6. Components of all links; a component is named by its smallest doc_id.
 
 Sets are 64-bit hashes of the n-grams; a class is known by 64 bits of a hash of its set. Words are
@@ -38,14 +38,14 @@ from fixtrail.llm.components import components
 from fixtrail.llm.words import WordHashes, mixed, shingle_hashes, words_of
 from fixtrail.operators.staging import stage
 
-#: Tokens are counted in 2^CELL_BITS cells by hash: 32 MB in all, sent in rows of CELLS_PER_ROW.
-CELL_BITS = 24
+#: Tokens are counted in 2^CELL_BITS cells by hash: 16 MB in all, sent in rows of CELLS_PER_ROW.
+CELL_BITS = 23
 CELLS_PER_ROW = 1 << 16
 #: Expected candidates of a prefix up to which one shared token is enough; twice as many ask for one more.
 CHEAP = 64
 PIVOTS = 3
 #: Rounds of comparing lists with pivots, by the number of pivot orders among the lists.
-SPREADS = (1, 4, 16)
+SPREADS = (1, 8)
 #: Tokens that a task counts at once.
 TOKENS_HELD = 8_000_000
 
@@ -156,10 +156,10 @@ def _token_order(docs: DataFrame, size: int, total: int) -> Order:
         yield pa.record_batch(columns, ["block", "cells"])
 
     parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "block int, cells binary")
-    found = parts.repartition("block").mapInArrow(add_up, "block int, cells binary").toArrow()
+    found = parts.repartition("block").mapInArrow(add_up, "block int, cells binary")
     levels = np.zeros((-(-(1 << CELL_BITS) // CELLS_PER_ROW), CELLS_PER_ROW), np.uint16)
-    for block, cells in zip(found["block"].to_pylist(), found["cells"].to_pylist(), strict=True):
-        levels[block] = np.frombuffer(cells, np.uint16)
+    for row in stage(found, "token_cells").toLocalIterator():
+        levels[row["block"]] = np.frombuffer(row["cells"], np.uint16)
     return Order(levels.ravel(), total)
 
 
@@ -234,8 +234,17 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
     )
     live = stage(postings.join(shared_tokens.select("token"), "token", "left_semi").distinct(), "live_postings")
     prefixes = stage(
-        live.groupBy("class").agg(F.collect_set("token").alias("tokens"), *[F.first(c).alias(c) for c in ("n", "shared", "after")]),
-        "live_prefixes",
+        live.groupBy("class").agg(F.collect_set("token").alias("tokens")), "live_prefixes",
+    )
+    bits = [
+        F.coalesce(F.bit_or(F.when(F.shiftright("token", 6).bitwiseAND(3) == k, F.expr("shiftleft(1L, cast(token & 63 as int))"))), F.lit(0).cast("long"))
+        for k in range(4)
+    ]
+    marks = stage(
+        live.groupBy("class").agg(
+            F.count("*").alias("live"), *[b.alias(f"b{k}") for k, b in enumerate(bits)], *[F.first(c).alias(c) for c in ("n", "shared", "after")]
+        ),
+        "live_marks",
     )
     keys = classes.join(prefixes.select("class"), "class", "left_semi").select("class", "key")
     texts = stage(
@@ -244,16 +253,30 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
         "live_texts",
     )
 
-    side = lambda v: [F.col(c).alias(f"{c}_{v}") for c in ("tokens", "n", "shared", "after")]
-    a = prefixes.select(F.col("class").alias("x"), *side("x"))
-    b = prefixes.select(F.col("class").alias("y"), *side("y"))
-    common = F.size(F.array_intersect("tokens_x", "tokens_y"))
-    # common tokens are in both prefixes or behind one of them, and have to make up the similarity
-    alike = (
-        (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
-        & (common >= F.least("shared_x", "shared_y"))
-        & ((100 + percent) * (common + F.greatest("after_x", "after_y")) >= percent * (F.col("n_x") + F.col("n_y")))
-    )
+    sized = ("n", "shared", "after", "live", "b0", "b1", "b2", "b3")
+    side = lambda v, columns: [F.col(c).alias(f"{c}_{v}") for c in columns]
+
+    def alike(common: Column) -> Column:
+        """Common tokens are in both prefixes or behind one of them, and have to make up the similarity."""
+        return (
+            (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
+            & (common >= F.least("shared_x", "shared_y"))
+            & ((100 + percent) * (common + F.greatest("after_x", "after_y")) >= percent * (F.col("n_x") + F.col("n_y")))
+        )
+
+    # every mark that only one of both has is a token that only it has
+    only = lambda v, w: sum(F.bit_count(F.col(f"b{k}_{v}").bitwiseAND(F.bitwise_not(f"b{k}_{w}"))) for k in range(4))
+    at_most = F.least(F.col("live_x") - only("x", "y"), F.col("live_y") - only("y", "x"))
+
+    def promising(pairs: DataFrame) -> DataFrame:
+        """Pairs (x, y) whose prefixes share enough."""
+        for v in ("x", "y"):
+            pairs = pairs.join(marks.select(F.col("class").alias(v), *side(v, sized)), v)
+        pairs = pairs.where(alike(at_most)).drop(*[f"{c}_{v}" for c in sized[3:] for v in "xy"])
+        for v in ("x", "y"):
+            pairs = pairs.join(prefixes.select(F.col("class").alias(v), F.col("tokens").alias(f"tokens_{v}")), v)
+        return pairs.where(alike(F.size(F.array_intersect("tokens_x", "tokens_y")))).select("x", "y")
+
     links, rooted = None, live.select("token", "class", F.col("class").alias("root"))
     for spread in SPREADS:
         # lists draw their pivots by one of ``spread`` orders, so a round tries a few pivots in all lists of a group
@@ -271,7 +294,7 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
             .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
             .distinct()
         )
-        found = _verified(near.join(a, "x").join(b, "y").where(alike).select("x", "y"), texts, size, percent)
+        found = _verified(promising(near), texts, size, percent)
         links = stage(found if links is None else links.unionAll(found), "pivot_links")
         groups = stage(components(links), "pivot_components")
         # only lists that hold several components go on
@@ -281,14 +304,13 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
         several = renamed.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where(F.col("r") != F.col("s"))
         rooted = stage(renamed.join(several.select("token"), "token", "left_semi"), "open_postings")
 
-    rest = rooted.join(prefixes, "class")
-    left = rest.select("token", F.col("class").alias("x"), F.col("root").alias("root_x"), *side("x"))
-    right = rest.select("token", F.col("class").alias("y"), F.col("root").alias("root_y"), *side("y"))
-    once = F.array_min(F.array_intersect("tokens_x", "tokens_y")) == left["token"]
+    rest = rooted.join(marks, "class")
+    left = rest.select("token", F.col("class").alias("x"), F.col("root").alias("root_x"), *side("x", sized))
+    right = rest.select("token", F.col("class").alias("y"), F.col("root").alias("root_y"), *side("y", sized))
     # the shorter set on the left, so each pair is met in one direction
     ahead = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("x") < F.col("y")))
-    across = left.join(right, (left["token"] == right["token"]) & ahead & (F.col("root_x") != F.col("root_y")) & alike & once)
-    across = across.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    met = left.join(right, (left["token"] == right["token"]) & ahead & (F.col("root_x") != F.col("root_y")) & alike(at_most))
+    across = promising(met.select("x", "y").distinct())
     last_links = _verified(across, texts, size, percent)
     return components(links.unionAll(last_links)).select(F.col("node").alias("class"), "root")
 

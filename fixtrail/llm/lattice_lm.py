@@ -165,7 +165,7 @@ def _requests(blocks: DataFrame) -> DataFrame:
                 words = words_of(text.as_py())
                 if held:
                     own = found[block]
-                    for w in set(words).difference(own):
+                    for w in [w for w in set(words) if w not in own]:
                         own[w] = 0
                 else:
                     found[block].update(words)

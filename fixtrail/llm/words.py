@@ -61,6 +61,8 @@ def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     width = min(size, n)
     with np.errstate(over="ignore"):
         total = np.full(n - width + 1, width, np.uint64)
+        factor = _MIX
         for k in range(width):
-            total = mixed(total * _MIX + hashes[k : n - width + 1 + k])
-    return np.unique(total)
+            total += hashes[k : n - width + 1 + k] * factor
+            factor = factor * _MIX  # odd, so no word is lost
+        return np.unique(mixed(total))
