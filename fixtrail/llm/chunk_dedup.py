@@ -76,8 +76,9 @@ class Chunked:
         if len(wide):  # one word over and over has the same hash throughout
             more = [np.arange(a + BARE_STEP, b, BARE_STEP) for a, b in zip(self.bounds[wide], self.bounds[wide + 1], strict=True)]
             self.bounds = np.sort(np.concatenate([self.bounds, *more]))
-        self.stop = np.searchsorted(self.bounds, self.bounds + chunk_words)
-        self.count = int((self.stop < len(self.bounds)).sum())  # the last starts reach no boundary
+        # the last chunks end with the text
+        self.stop = np.minimum(np.searchsorted(self.bounds, self.bounds + chunk_words), len(self.bounds) - 1)
+        self.count = len(self.bounds) - 1
         self._raw = raw
 
     def digests(self) -> np.ndarray:
@@ -177,7 +178,11 @@ def dedup_passages(
         .groupBy(F.col("order").alias("_order"), F.shiftright("place", 32).alias("_mark"))
         .agg(F.collect_list(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")).alias("_copies"))
     )
-    joined = docs.join(copies, (_order() == F.col("_order")) & (_text_mark() == F.col("_mark")), "left").drop("_order", "_mark")
+    own = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)]  # positions can't clash
+    joined = docs.select(*own, _order().alias("order"), _text_mark().alias("mark")).join(
+        copies, (F.col("order") == F.col("_order")) & (F.col("mark") == F.col("_mark")), "left"
+    )
+    joined = joined.select(*[f"c{k}" for k in range(len(own))], "_copies")
     fields = list(docs.schema.fields)
     names = [f.name for f in fields]
     text_at = names.index("text")

@@ -345,4 +345,6 @@ def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFra
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stand first in their component, once each, with all columns."""
     kept = similar_groups(docs, size, percent).where(F.col("row_key") == F.col("component_key")).select(F.col("row_key").alias("_key")).distinct()
-    return docs.withColumn("_key", _row_key()).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _row_key().alias("_key"))
+    first = rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"])
+    return first.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
