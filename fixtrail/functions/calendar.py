@@ -107,18 +107,28 @@ def holiday_table(
     return years.select(F.explode(F.array_distinct(days)).alias("day"))
 
 
+def is_holiday(day: Column) -> Column:
+    """Whether a date of any year is one of the fixed dates or Good Friday."""
+    year, month, number = F.year(day), F.month(day), F.dayofmonth(day)
+    found = day == _good_friday(year)
+    for m, d, since in FIXED_HOLIDAYS:
+        same = (month == m) & (number == d)
+        # dates listed from the first year of the table have no known beginning
+        found |= same if since <= FIRST_YEAR else same & (year >= since)
+    return found
+
+
 def with_holiday_flag(
     df: DataFrame,
     holidays: DataFrame | None = None,
     time: str = TIME,
     output: str = "eh_feriado",
 ) -> DataFrame:
-    """Left equi-join on the calendar date; 1 on a holiday, else 0."""
+    """1 on a holiday, else 0: from the row's own date, or by a left join with ``holidays``."""
     if holidays is None:
-        days = F.broadcast(holiday_table(df.sparkSession))  # fixed size
-    else:
-        # a caller's table is left to Spark's own size check
-        days = holidays.select("day").distinct()
+        return df.withColumn(output, F.coalesce(is_holiday(F.to_date(F.col(time))), F.lit(False)).cast("int"))
+    # a caller's table is left to Spark's own size check
+    days = holidays.select("day").distinct()
     days = days.select(F.col("day").alias("_day"))
     return df.join(days, F.to_date(F.col(time)) == F.col("_day"), "left").withColumn(
         output, F.col("_day").isNotNull().cast("int")

@@ -35,10 +35,10 @@ def confusion_counts(df: DataFrame, truth: str, labels: Sequence[str]) -> DataFr
 
     Three sums per label over the wide table; rows are never multiplied by the labels.
     """
-    parts = [F.count(F.lit(1)).alias("total"), F.sum(truth).alias("actual")]
+    parts = [F.count(F.lit(1)).alias("total"), F.sum(f"`{truth}`").alias("actual")]
     for i, c in enumerate(labels):
         parts.append(F.sum(f"`{c}`").alias(f"p{i}"))
-        parts.append(F.sum(F.col(f"`{c}`") * F.col(truth)).alias(f"h{i}"))
+        parts.append(F.sum(F.col(f"`{c}`") * F.col(f"`{truth}`")).alias(f"h{i}"))
     rows = [
         F.struct(
             F.lit(c).alias("model"),

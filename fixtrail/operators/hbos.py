@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -97,8 +98,8 @@ class Histogram:
         edges = self.edges
         first_reach = (edges[1] - edges[0]) * EDGE_TOLERANCE
         last_reach = (edges[-1] - edges[-2]) * EDGE_TOLERANCE
-        lowest = _outermost(edges[0] - first_reach, lambda x: edges[0] - x <= first_reach, -math.inf)
-        highest = _outermost(edges[-1] + last_reach, lambda x: x - edges[-1] <= last_reach, math.inf)
+        lowest = _outermost(edges[0], -first_reach, lambda x: edges[0] - x <= first_reach)
+        highest = _outermost(edges[-1], last_reach, lambda x: x - edges[-1] <= last_reach)
         inner = [-e for e in reversed(edges)]
         return [-math.inf, -highest, *inner, math.nextafter(-lowest, math.inf), math.inf]
 
@@ -132,15 +133,31 @@ class HbosModel:
         ]
 
 
-def _outermost(start: float, near: Callable[[float], bool], toward: float) -> float:
-    """The last double in direction ``toward`` that is still ``near``; rounding puts it at
-    most a few steps away from ``start``."""
-    x = start
-    while not near(x):
-        x = math.nextafter(x, -toward)
-    while near(math.nextafter(x, toward)):
-        x = math.nextafter(x, toward)
-    return x
+def _key(x: float) -> int:
+    """Doubles in order as integers."""
+    bits = struct.unpack("<q", struct.pack("<d", x))[0]
+    return bits if bits >= 0 else -(bits & 0x7FFF_FFFF_FFFF_FFFF)
+
+
+def _double(key: int) -> float:
+    x = struct.unpack("<d", struct.pack("<q", abs(key)))[0]
+    return x if key >= 0 else -x
+
+
+def _outermost(edge: float, reach: float, near: Callable[[float], bool]) -> float:
+    """The double furthest from ``edge``, in the direction of ``reach``, that is still ``near``.
+
+    Bisection over the doubles in between: 64 steps at most, however dense they lie.
+    """
+    far = edge + 2 * reach
+    while near(far):
+        reach = 2 * reach or math.copysign(abs(edge) * 2**-52 + 5e-324, reach)
+        far = edge + 2 * reach
+    inside, outside = _key(edge), _key(far)
+    while abs(outside - inside) > 1:
+        middle = (inside + outside) // 2
+        inside, outside = (middle, outside) if near(_double(middle)) else (inside, middle)
+    return _double(inside)
 
 
 def _with_buckets(

@@ -33,7 +33,7 @@ def dataset_profile(
     mean_speed = F.avg(speed) if speed in df.columns else F.lit(0.0)
     return (
         df.agg(
-            F.count_distinct(entity).cast("int").alias("total_veiculos"),
+            F.count_distinct(entity).cast("long").alias("total_veiculos"),
             F.min(time).alias("_first"),
             F.max(time).alias("_last"),
             mean_speed.alias("vel_media"),
@@ -51,7 +51,7 @@ def dataset_profile(
             "meses_analise",
             F.col(f"_b.{lat}").alias("local_mais_fluxo_latitude"),
             F.col(f"_b.{lon}").alias("local_mais_fluxo_longitude"),
-            (-F.col("_b.col1")).cast("int").alias("fluxo_veiculos_local"),
+            (-F.col("_b.col1")).cast("long").alias("fluxo_veiculos_local"),
         )
     )
 

@@ -73,7 +73,7 @@ def with_labels(
 
 def threshold_metrics(df: DataFrame, thresholds: Sequence[Threshold]) -> DataFrame:
     """One row per threshold, from a single aggregate over the labelled table."""
-    flagged = [F.sum(t.label).alias(f"s{i}") for i, t in enumerate(thresholds)]
+    flagged = [F.sum(f"`{t.label}`").alias(f"s{i}") for i, t in enumerate(thresholds)]
     counted = df.agg(F.count(F.lit(1)).alias("total"), *flagged)
     whole = all(float(t.percentile).is_integer() for t in thresholds)
     rows = [
@@ -82,7 +82,7 @@ def threshold_metrics(df: DataFrame, thresholds: Sequence[Threshold]) -> DataFra
             F.lit(t.model).alias("Model"),
             F.lit(t.percentile).cast("int" if whole else "double").alias("Percentile"),
             F.lit(float(np.round(t.value, 6))).alias("Threshold_Value"),
-            F.col(f"s{i}").cast("int").alias("Anomalies_Detected"),
+            F.col(f"s{i}").cast("long").alias("Anomalies_Detected"),
             round_even(F.col(f"s{i}") / F.col("total") * 100, 2).alias("Pct_Dataset"),
             F.lit(t.calibrated_on).alias("Calibrated_On"),
         )
@@ -94,7 +94,7 @@ def threshold_metrics(df: DataFrame, thresholds: Sequence[Threshold]) -> DataFra
 
 
 METRICS_SCHEMA = (
-    "Model string, Percentile int, Threshold_Value double, Anomalies_Detected int, "
+    "Model string, Percentile int, Threshold_Value double, Anomalies_Detected long, "
     "Pct_Dataset double, Calibrated_On string"
 )
 

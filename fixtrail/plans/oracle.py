@@ -158,7 +158,7 @@ labelled AS (SELECT scored.*, {_FLAG_COLUMNS} FROM scored, cuts)"""
 _METRIC_ROWS = " UNION ALL ".join(
     f"""SELECT 'HBOS_bins{b}' AS "Model", {p} AS "Percentile",
       round_even((SELECT t{b}_{p} FROM cuts) * 1e6, 0) / 1e6 AS "Threshold_Value",
-      CAST(sum("HBOS_bins{b}_p{p}_label") AS INTEGER) AS "Anomalies_Detected",
+      CAST(sum("HBOS_bins{b}_p{p}_label") AS BIGINT) AS "Anomalies_Detected",
       round_even(sum("HBOS_bins{b}_p{p}_label") / count(*) * 100 * 1e2, 0) / 1e2 AS "Pct_Dataset",
       'train' AS "Calibrated_On" FROM labelled"""
     for b in (10, 20)
@@ -341,7 +341,7 @@ def statements() -> dict[str, str]:
         "profile_of_sightings": f"""WITH {_FEAT},
             places AS (SELECT latitude, longitude, count(placa) AS n FROM feat GROUP BY ALL
               ORDER BY n DESC, latitude, longitude LIMIT 1)
-            SELECT CAST(count(DISTINCT placa) AS INTEGER) AS total_veiculos,
+            SELECT CAST(count(DISTINCT placa) AS BIGINT) AS total_veiculos,
               {_MOMENT.format(c='min("timestamp")')} || ' a ' || {_MOMENT.format(c='max("timestamp")')}
                 AS periodo,
               round(avg(velocidade_kmh), 6) AS vel_media,
@@ -349,7 +349,7 @@ def statements() -> dict[str, str]:
               CAST(count(DISTINCT date_trunc('month', "timestamp")) AS INTEGER) AS meses_analise,
               (SELECT latitude FROM places) AS local_mais_fluxo_latitude,
               (SELECT longitude FROM places) AS local_mais_fluxo_longitude,
-              CAST((SELECT n FROM places) AS INTEGER) AS fluxo_veiculos_local FROM feat""",
+              CAST((SELECT n FROM places) AS BIGINT) AS fluxo_veiculos_local FROM feat""",
         "vehicles_per_region": f"""WITH {_TRAJ} SELECT regiao_adm, count(DISTINCT placa) AS veiculos
             FROM traj WHERE regiao_adm IS NOT NULL GROUP BY regiao_adm""",
         "columns_of_lineitem": columns,
