@@ -18,6 +18,7 @@ as they are; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,8 @@ END_ID = 0
 SHARD_PIECES = 8192
 _MOST_CACHED = 300_000
 _LONGEST_CACHED = 48
+#: Marks that the pre-tokenizer cuts off a run of letters when one ends a word.
+_MARKS = frozenset(",.;:!?")
 
 
 class Encoder:
@@ -52,10 +55,25 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._known: dict[str, bytes] = {}
+        self._marks = dict(zip(sorted(_MARKS), self._encode(sorted(_MARKS)), strict=True))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def _add(self, words: list[str]) -> dict[str, bytes]:
+        """Remember new words; those too long to keep are returned. Letters before a mark are a word of their own."""
+        known, marks = self._known, self._marks
+        ended = {w for w in words if w[-1:] in _MARKS and w[:-1].isalpha()}
+        plain = list({w[:-1] if w in ended else w for w in words}.difference(known))
+        extra = {}
+        for word, x in zip(plain, self._encode([" " + w for w in plain]), strict=True):
+            (known if len(word) <= _LONGEST_CACHED else extra)[word] = x
+        for word in ended:
+            stem = word[:-1]
+            ids = (known[stem] if stem in known else extra[stem]) + marks[word[-1]]
+            (known if len(word) <= _LONGEST_CACHED else extra)[word] = ids
+        return extra
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
@@ -65,11 +83,7 @@ class Encoder:
         first, *rest = text.split(" ")
         known = self._known
         new = list(set(rest).difference(known))
-        extra = {}
-        if new:
-            ids = self._encode([" " + w for w in new])
-            for word, x in zip(new, ids, strict=True):
-                (known if len(word) <= _LONGEST_CACHED else extra)[word] = x
+        extra = self._add(new) if new else {}
         head = self._encode([first])[0] if first else b""
         if extra:
             joined = head + b"".join([known[w] if w in known else extra[w] for w in rest])
