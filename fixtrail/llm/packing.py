@@ -35,7 +35,7 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces packed together by one task.
 SHARD_PIECES = 8192
-_MOST_CACHED = 300_000
+_MOST_CACHED = 500_000
 _LONGEST_CACHED = 48
 #: Marks that the pre-tokenizer cuts off a run of letters when one ends a word.
 _MARKS = frozenset(",.;:!?")
