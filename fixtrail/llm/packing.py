@@ -17,6 +17,7 @@ as they are; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -52,6 +53,8 @@ class Encoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        # a task has one core: threads for a handful of words cost more than the words
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._known: dict[str, bytes] = {}
