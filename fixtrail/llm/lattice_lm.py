@@ -109,6 +109,141 @@ class Lattice:
                 backward[i] = a + math.log1p(math.exp(b - a))
 
 
+#: Longer words are scored one by one; cells of a lattice that are held at once.
+_LONGEST_TOGETHER = 48
+_CELLS = 4_000_000
+
+
+class WordBatch:
+    """Lattices of many words at once: words of equal length are the columns of one array.
+
+    All pieces that match somewhere are found by walking a trie of the vocabulary from every start of every
+    word together. Gives what ``Lattice.word`` and ``Lattice.expected`` give, up to rounding.
+    """
+
+    def __init__(self, lattice: Lattice) -> None:
+        self._lattice = lattice
+        self._names = list(lattice.pieces)
+        self._scores = np.array([lattice.pieces[p] for p in self._names])
+        letters = sorted({ord(c) for p in self._names for c in p})
+        self._letters = np.zeros(0x110000, np.int64)  # 0: in no piece
+        self._letters[letters] = np.arange(1, len(letters) + 1)
+        self._width = len(letters) + 1
+        steps, piece_at = {}, [-1]
+        for k, piece in enumerate(self._names):
+            node = 0
+            for c in piece:
+                step = node * self._width + int(self._letters[ord(c)])
+                node = steps.setdefault(step, len(piece_at))
+                if node == len(piece_at):
+                    piece_at.append(-1)
+            piece_at[node] = k
+        self._steps = np.array(sorted(steps), np.int64)
+        self._next = np.array([steps[s] for s in self._steps.tolist()], np.int64)
+        self._piece_at = np.array(piece_at)
+        self._bytes: dict[int, float] = {}
+
+    def _spelled(self, code: int) -> float:
+        """Score of a character written in bytes."""
+        if code not in self._bytes:
+            self._bytes[code] = sum(self._lattice.bytes_[b] for b in chr(code).encode("utf-8", "surrogatepass"))
+        return self._bytes[code]
+
+    def _matches(self, codes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(length, start, column, piece) of all pieces in the words; codes by (position, word)."""
+        size, _ = codes.shape
+        letters = self._letters[codes]
+        start, column = np.nonzero(letters)
+        node = np.zeros(len(start), np.int64)
+        for length in range(1, min(size, self._lattice.longest) + 1):
+            step = node * self._width + letters[start + length - 1, column]
+            at = np.minimum(np.searchsorted(self._steps, step), len(self._steps) - 1)
+            hit = self._steps[at] == step
+            start, column, node = start[hit], column[hit], self._next[at[hit]]
+            piece = self._piece_at[node]
+            whole = piece >= 0
+            yield length, start[whole], column[whole], piece[whole]
+            more = start + length < size
+            start, column, node = start[more], column[more], node[more]
+
+    def _groups(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places, code points by (position, word)) of words of equal length, the space before them included."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        ends = np.cumsum(lengths)
+        for n in np.unique(lengths):
+            if n < _LONGEST_TOGETHER:
+                places = np.flatnonzero(lengths == n)
+                most = max(1, _CELLS // ((n + 1) * self._lattice.longest))
+                for k in range(0, len(places), most):
+                    some = places[k : k + most]
+                    codes = flat[(ends[some] - n)[None, :] + np.arange(n)[:, None]]
+                    yield some, np.vstack([np.full((1, len(some)), ord(_SPACE), np.uint32), codes])
+
+    def _forward(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+        """Log sums up to every position, edges by (end, length - 1, word), where bytes are used, and all matches."""
+        size, n = codes.shape
+        longest = min(size, self._lattice.longest)
+        edges = np.full((size + 1, longest, n), -np.inf)
+        found = list(self._matches(codes))
+        for length, start, column, piece in found:
+            edges[start + length, length - 1, column] = self._scores[piece]
+        spelled = np.isneginf(edges[1:, 0])
+        edges[1:, 0][spelled] = [self._spelled(c) for c in codes[spelled].tolist()]
+        forward = np.zeros((size + 1, n))
+        for j in range(1, size + 1):
+            k = min(j, longest)
+            forward[j] = _log_sum(forward[j - k : j][::-1] + edges[j, :k])
+        return forward, edges, spelled, found
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        out = np.zeros(len(words))
+        for places, codes in self._groups(words):
+            out[places] = self._forward(codes)[0][-1]
+        for k in self._long(words):
+            out[k] = self._lattice.word(words[k])
+        return out
+
+    def expected(self, words: list[str], counts: np.ndarray) -> dict[object, float]:
+        """Expected uses of the pieces (and bytes, by number), each word as often as it counts."""
+        uses, spelled_uses = np.zeros(len(self._names)), defaultdict(float)
+        for places, codes in self._groups(words):
+            forward, edges, spelled, found = self._forward(codes)
+            size = len(codes)
+            backward = np.zeros_like(forward)
+            for i in range(size - 1, -1, -1):
+                k = min(size - i, edges.shape[1])
+                backward[i] = _log_sum(edges[np.arange(i + 1, i + k + 1), np.arange(k)] + backward[i + 1 : i + k + 1])
+            often = counts[places]
+            for length, start, column, piece in found:
+                share = np.exp(forward[start, column] + self._scores[piece] + backward[start + length, column] - forward[-1, column])
+                uses += np.bincount(piece, share * often[column], len(uses))
+            start, column = np.nonzero(spelled)
+            share = np.exp(forward[start, column] + edges[start + 1, 0, column] + backward[start + 1, column] - forward[-1, column])
+            letters, at = np.unique(codes[spelled], return_inverse=True)
+            for code, use in zip(letters.tolist(), np.bincount(at, share * often[column], len(letters)).tolist(), strict=True):
+                spelled_uses[chr(code).encode("utf-8", "surrogatepass")] += use
+        for k in self._long(words):
+            for piece, share in self._lattice.expected(words[k]):
+                spelled_uses[piece] += share * counts[k]
+        out: dict[object, float] = defaultdict(float)
+        for k in np.flatnonzero(uses).tolist():
+            out[self._names[k]] = float(uses[k])
+        for piece, use in spelled_uses.items():
+            for key in [piece] if isinstance(piece, str) else piece:
+                out[key] += float(use)
+        return out
+
+    @staticmethod
+    def _long(words: list[str]) -> list[int]:
+        return [k for k, w in enumerate(words) if len(w) >= _LONGEST_TOGETHER]
+
+
+def _log_sum(terms: np.ndarray) -> np.ndarray:
+    top = terms.max(0)
+    return top + np.log(np.exp(terms - top).sum(0))
+
+
 def start_lattice(path: str | None = None) -> Lattice:
     """The vocabulary with the probabilities that its own scores give."""
     model = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path("piece_bpe_32k.model"))
@@ -185,15 +320,12 @@ def _expected_counts(words: DataFrame, lattice: Lattice) -> dict[object, float]:
     """Expected use of every piece in the training words: as many rows as the vocabulary has pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        together = WordBatch(lattice)
         found: dict[object, float] = defaultdict(float)
         for batch in batches:
-            for word, count in zip(batch["word"].to_pylist(), batch["count"].to_pylist(), strict=True):
-                for piece, share in lattice.expected(word.decode("utf-8", "surrogatepass")):
-                    if isinstance(piece, str):
-                        found[piece] += share * count
-                    else:
-                        for b in piece:
-                            found[b] += share * count
+            words = [w.decode("utf-8", "surrogatepass") for w in batch["word"].to_pylist()]
+            for piece, use in together.expected(words, batch["count"].to_numpy(zero_copy_only=False)).items():
+                found[piece] += use
         keys = [f"t{k}" if isinstance(k, str) else f"b{k}" for k in found]
         yield pa.record_batch([pa.array(keys, pa.string()), pa.array(list(found.values()), pa.float64())], ["piece", "uses"])
 
@@ -207,9 +339,10 @@ def _scored_words(words: DataFrame, lattice: Lattice, base: float) -> DataFrame:
     """word, known, base (log10), lattice (log10) of every distinct word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        together = WordBatch(lattice)
         for batch in batches:
             counts = batch["count"].to_numpy(zero_copy_only=False)
-            scores = [lattice.word(w.decode("utf-8", "surrogatepass")) / math.log(10) for w in batch["word"].to_pylist()]
+            scores = together.scores([w.decode("utf-8", "surrogatepass") for w in batch["word"].to_pylist()]) / math.log(10)
             columns = [
                 batch["word"], pa.array(counts > 0), pa.array(np.log10((counts + 1) / base)), pa.array(scores, pa.float64()),
             ]
@@ -244,7 +377,7 @@ def fit_lattice(requests: DataFrame, train_docs: int, vocabulary: str | None = N
 def score_documents(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     blocks = _with_block(docs)
-    requests = _requests(blocks)
+    requests = stage(_requests(blocks), "lm_requests")
     train_docs = blocks.where(~F.col("held_out")).count()
     model = fit_lattice(requests, train_docs, vocabulary)
     replies = requests.select("block", "word").join(_scored_words(model.words, model.lattice, model.base), "word")

@@ -255,3 +255,18 @@ def test_lattice_sums_all_segmentations():
 
     assert math.isclose(lattice.word("ab"), math.log(every("▁ab")))
     assert math.isclose(sum(s * len(p) for p, s in lattice.expected("ab")), 3.0)
+
+
+def test_words_scored_together_match_words_scored_alone():
+    lattice = lattice_lm.start_lattice()
+    words = ["", "a", "the", "thatthingtion", "ciónóta%%%", "日本語🙂", "\ud800", "x" * 60, "the"]
+    counts = np.arange(1, len(words) + 1)
+    together = lattice_lm.WordBatch(lattice)
+    assert together.scores(words) == pytest.approx([lattice.word(w) for w in words], abs=1e-9)
+    wanted: dict[object, float] = {}
+    for word, count in zip(words, counts, strict=True):
+        for piece, share in lattice.expected(word):
+            for key in [piece] if isinstance(piece, str) else piece:
+                wanted[key] = wanted.get(key, 0.0) + share * count
+    assert dict(together.expected(words, counts)) == pytest.approx(wanted, abs=1e-9)
+    assert len(together.scores([])) == 0 and not together.expected([], counts[:0])
