@@ -1,10 +1,10 @@
 """Exact interpolated percentiles without gathering the values in one task.
 
-``percentile`` keeps every distinct value of a group in one buffer. Here a mergeable sketch
-brackets each wanted rank, one counting pass proves the bracket, and only the values
-strictly inside it take part in the next pass. Each pass narrows the bracket by a factor
-of several hundred, so a trillion values need three narrow rounds. The answer never depends on
-the quality of the sketch: ranks are counted exactly.
+``percentile`` keeps every distinct value of a group in one buffer. Here values are put into buckets
+that follow their order, buckets are counted map-side for all columns in one pass, and only the
+buckets that hold a wanted rank are cut again. The first pass cuts by sign and magnitude, later ones
+cut the range of a bucket into equal steps, so a double is settled after four or five passes, whatever
+the distribution and however many rows. Few values left in a bucket are selected directly.
 """
 
 from __future__ import annotations
@@ -20,126 +20,118 @@ from fixtrail.functions.numeric import nan_to_null
 
 # values that may meet in one aggregation buffer
 DIRECT_LIMIT = 100_000
-_SKETCH_ACCURACY = 5_000
 # accuracy at which the sketch keeps every value and so selects ranks exactly
 _EXACT_ACCURACY = 2_147_483_647
+# buckets per power of two, and what makes the number of the smallest double's bucket positive
+_PER_OCTAVE, _OFFSET = 16, 1076 * 16
+_BEYOND = 1_000_000
+# steps of a bucket that is cut again; one more takes the largest value
+_STEPS = 1 << 16
 
 
 @dataclass(frozen=True)
 class _Interval:
-    """Candidates of one column strictly between two values; None leaves a side open."""
+    """Candidates of one column, from ``low`` to ``high``, both of them values of the column."""
 
     column: str
     size: int  # candidates
-    below: int = 0  # values at or below ``low``
-    low: float | None = None
-    high: float | None = None
+    below: int  # values less than ``low``
+    low: float
+    high: float
 
-    def values(self) -> Column:
+    def holds(self) -> Column:
         value = F.col(self.column)
-        keep = F.lit(True)
-        if self.low is not None:
-            keep = keep & (value > F.lit(self.low))
-        if self.high is not None:
-            keep = keep & (value < F.lit(self.high))
-        return F.when(keep, value)
+        return (value >= F.lit(self.low)) & (value <= F.lit(self.high))
+
+    def step(self) -> Column:
+        share = (F.col(self.column) - F.lit(self.low)) / F.lit(self.high - self.low)
+        return F.floor(share * _STEPS)
 
 
 _Work = dict[_Interval, list[int]]  # interval -> ranks still wanted
 
 
-def _first_row(df: DataFrame, expressions: Iterable[Column]) -> list:
-    return list(df.agg(*[e.alias(f"a{i}") for i, e in enumerate(expressions)]).first())
+def _magnitude(value: Column) -> Column:
+    """A number of bounded range that never falls where the value rises."""
+    octave = lambda x: F.floor(F.log2(x) * _PER_OCTAVE) + _OFFSET
+    endless = F.lit(math.inf)
+    return (
+        F.when(value == 0, F.lit(0).cast("long"))
+        .when(value == endless, F.lit(_BEYOND))
+        .when(value == -endless, F.lit(-_BEYOND))
+        .when(value > 0, octave(value))
+        .otherwise(-octave(-value))
+    )
+
+
+def _counted(df: DataFrame, buckets: Mapping[str, Column]) -> dict[str, list]:
+    """Per column the rows (bucket, n, low, high) of its buckets in order; null buckets are left out."""
+    columns = list(buckets)
+    entries = F.array(
+        *[F.struct(F.lit(i).alias("i"), b.cast("long").alias("b"), F.col(c).alias("v")) for i, (c, b) in enumerate(buckets.items())]
+    )
+    found = (
+        df.select(F.inline(entries))
+        .where("b IS NOT NULL AND v IS NOT NULL")
+        .groupBy("i", "b")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .collect()  # a bounded number of buckets
+    )
+    out: dict[str, list] = {c: [] for c in columns}
+    for row in sorted(found, key=lambda r: (r["i"], r["b"])):
+        out[columns[row["i"]]].append(row)
+    return out
+
+
+def _settle(column: str, rows: Iterable, below: int, ranks: Iterable[int]) -> tuple[dict[tuple[str, int], float], _Work]:
+    """Ranks whose bucket has one value only, and the buckets of the others."""
+    found: dict[tuple[str, int], float] = {}
+    rest: _Work = {}
+    wanted = sorted(ranks)
+    for row in rows:
+        inside = [r for r in wanted if below <= r < below + row["n"]]
+        if inside and row["low"] == row["high"]:
+            found.update({(column, r): row["low"] for r in inside})
+        elif inside:
+            rest[_Interval(column, row["n"], below, row["low"], row["high"])] = inside
+        below += row["n"]
+    return found, rest
 
 
 def _select_directly(df: DataFrame, work: _Work) -> dict[tuple[str, int], float]:
     parts = []
-    for interval, ranks in work.items():
+    for k, (interval, ranks) in enumerate(work.items()):
         at = F.array(*[F.lit((r - interval.below + 0.5) / interval.size) for r in ranks])
-        parts.append(F.percentile_approx(interval.values(), at, F.lit(_EXACT_ACCURACY)))
+        values = F.when(interval.holds(), F.col(interval.column))
+        parts.append(F.percentile_approx(values, at, F.lit(_EXACT_ACCURACY)).alias(f"a{k}"))
     found = {}
-    for (interval, ranks), values in zip(work.items(), _first_row(df, parts), strict=True):
+    for (interval, ranks), values in zip(work.items(), df.agg(*parts).first(), strict=True):
         found.update({(interval.column, r): v for r, v in zip(ranks, values, strict=True)})
     return found
 
 
-def _bracket(df: DataFrame, work: _Work) -> dict[tuple[_Interval, float, float], list[int]]:
-    """A pair of values around every rank, taken from one sketch per interval."""
-    margin = 4 / _SKETCH_ACCURACY
-    parts = []
-    for interval, ranks in work.items():
-        at = []
-        for r in ranks:
-            share = (r - interval.below) / interval.size
-            at += [F.lit(max(0.0, share - margin)), F.lit(min(1.0, share + margin))]
-        parts.append(F.percentile_approx(interval.values(), F.array(*at), F.lit(_SKETCH_ACCURACY)))
-    brackets: dict[tuple[_Interval, float, float], list[int]] = {}
-    for (interval, ranks), values in zip(work.items(), _first_row(df, parts), strict=True):
-        for i, r in enumerate(ranks):
-            key = (interval, values[2 * i], values[2 * i + 1])
-            brackets.setdefault(key, []).append(r)
-    return brackets
-
-
-def _narrow(df: DataFrame, work: _Work) -> tuple[dict[tuple[str, int], float], _Work]:
-    brackets = _bracket(df, work)
-    counts = []
-    for interval, low, high in brackets:
-        value = interval.values()
-        counts += [
-            F.count_if(value < F.lit(low)),
-            F.count_if(value == F.lit(low)),
-            F.count_if((value > F.lit(low)) & (value < F.lit(high))),
-            F.count_if((value == F.lit(high)) & F.lit(high > low)),
-        ]
-    counted = _first_row(df, counts)
+def _cut(df: DataFrame, work: _Work) -> tuple[dict[tuple[str, int], float], _Work]:
+    """One more pass over the intervals of all columns."""
+    own: dict[str, list[_Interval]] = {}
+    for interval in work:
+        own.setdefault(interval.column, []).append(interval)
+    buckets = {}
+    for column, intervals in own.items():
+        bucket = F.lit(None).cast("long")
+        for k, interval in enumerate(intervals):
+            bucket = F.when(interval.holds(), F.lit(2 * k * _STEPS) + interval.step()).otherwise(bucket)
+        buckets[column] = bucket
     found: dict[tuple[str, int], float] = {}
     rest: _Work = {}
-    for i, ((interval, low, high), ranks) in enumerate(brackets.items()):
-        less, at_low, between, at_high = counted[4 * i : 4 * i + 4]
-        start_low = interval.below + less
-        start_between = start_low + at_low
-        start_high = start_between + between
-        start_above = start_high + at_high
-        for rank in ranks:
-            if rank < start_low:
-                part = _Interval(interval.column, less, interval.below, interval.low, low)
-            elif rank < start_between:
-                found[interval.column, rank] = low
-                continue
-            elif rank < start_high:
-                part = _Interval(interval.column, between, start_between, low, high)
-            elif rank < start_above:
-                found[interval.column, rank] = high
-                continue
-            else:
-                above = interval.below + interval.size - start_above
-                part = _Interval(interval.column, above, start_above, high, interval.high)
-            rest.setdefault(part, []).append(rank)
+    for column, rows in _counted(df, buckets).items():
+        for k, interval in enumerate(own[column]):
+            inside = [r for r in rows if r["b"] // (2 * _STEPS) == k]
+            settled, more = _settle(column, inside, interval.below, work[interval])
+            found |= settled
+            rest |= more
     return found, rest
 
 
-def order_statistics(
-    df: DataFrame,
-    ranks: Mapping[str, Iterable[int]],
-    sizes: Mapping[str, int],
-    direct_limit: int = DIRECT_LIMIT,
-) -> dict[tuple[str, int], float]:
-    """Exact values at 0-based ranks among the non-null values of each column of ``df``."""
-    work: _Work = {_Interval(c, sizes[c]): sorted(set(r)) for c, r in ranks.items()}
-    found: dict[tuple[str, int], float] = {}
-    while work:
-        small = {i: r for i, r in work.items() if i.size <= direct_limit}
-        large = {i: r for i, r in work.items() if i.size > direct_limit}
-        if small:
-            found.update(_select_directly(df, small))
-        work = {}
-        if large:
-            settled, work = _narrow(df, large)
-            found.update(settled)
-    return found
-
-
 def interpolate(low: float, high: float, weight: float) -> float:
     """Linear interpolation between neighbours, anchored at the nearer one."""
     if weight >= 0.5:
@@ -160,26 +152,36 @@ def exact_percentiles(
     narrow = df.select(
         *[nan_to_null(v.cast("double")).alias(f"v{i}") for i, v in enumerate(values.values())]
     )
-    counted = _first_row(narrow, [F.count(c) for c in narrow.columns])
-    sizes = {c: n for c, n in zip(narrow.columns, counted, strict=True) if n}
-    if not sizes:
-        return {}
 
     def position(n: int, p: float) -> tuple[int, int, float]:
         at = (n - 1) * (p / 100)
         first = math.floor(at)
         return first, min(first + 1, n - 1), at - first
 
-    ranks = {
-        c: {r for p in percentiles for r in position(n, p)[:2]} for c, n in sizes.items()
-    }
-    found = order_statistics(narrow, ranks, sizes, direct_limit)
+    sizes: dict[str, int] = {}
+    found: dict[tuple[str, int], float] = {}
+    work: _Work = {}
+    for column, rows in _counted(narrow, {c: _magnitude(F.col(c)) for c in narrow.columns}).items():
+        if rows:
+            n = sizes[column] = sum(r["n"] for r in rows)
+            settled, more = _settle(column, rows, 0, {r for p in percentiles for r in position(n, p)[:2]})
+            found |= settled
+            work |= more
+    while work:
+        small = {i: r for i, r in work.items() if i.size <= direct_limit}
+        large = {i: r for i, r in work.items() if i.size > direct_limit}
+        if small:
+            found |= _select_directly(narrow, small)
+        work = {}
+        if large:
+            settled, work = _cut(narrow, large)
+            found |= settled
+
     out: dict[str, dict[float, float]] = {}
     for column, name in zip(narrow.columns, values, strict=True):
-        if column not in sizes:
-            continue
-        out[name] = {}
-        for p in percentiles:
-            first, second, weight = position(sizes[column], p)
-            out[name][p] = interpolate(found[column, first], found[column, second], weight)
+        if column in sizes:
+            out[name] = {}
+            for p in percentiles:
+                first, second, weight = position(sizes[column], p)
+                out[name][p] = interpolate(found[column, first], found[column, second], weight)
     return out

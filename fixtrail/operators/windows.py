@@ -45,8 +45,7 @@ def with_window_flags(
         widest = F.max("_gap").over(w.rowsBetween(2 - size, Window.currentRow))
         valid = valid & (widest <= limit)
     if rule == SPAN:
-        fixes = F.count(F.lit(1)).over(Window.partitionBy(*frames.keys))
-        valid = valid & (frames.is_split_entity() | (fixes > size))
+        valid = valid & (frames.fixes() > size)
         span = seconds_between(F.lag(time, size - 1).over(w), F.col(time))
         valid = valid & (span <= limit)
     elif rule != GAP:

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtrail.functions.calendar import moment_text
+from fixtrail.config import ROW_ID
+from fixtrail.operators import lookback as lookback_module
 from fixtrail.operators.lookback import entity_frames
 from fixtrail.operators.rowindex import with_row_id
 from fixtrail.operators.windows import (
@@ -151,3 +153,25 @@ def test_moment_text(spark):
     df = spark.createDataFrame(rows, "t timestamp_ntz").orderBy("t")
     texts = [r[0] for r in df.select(moment_text(F.col("t"))).collect()]
     assert texts == ["2025-01-01 00:00:00", "2025-01-01 00:00:00.500000"]
+
+
+def test_thin_hot_entity_is_copied_once(spark):
+    """Every tenth row is of one entity: blocks are full all the same, and a row is copied at most once."""
+    n, lookback, limit = 3000, 61, 100
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 10 == 0, "hot").otherwise(F.concat(F.lit("e"), F.col("id"))).alias("placa"), F.col("id").alias("row_id")
+    )
+    frames = entity_frames(rows.withColumnRenamed("row_id", ROW_ID), lookback, limit)
+    assert frames.split and frames.rows.count() <= n + (300 // limit) * lookback
+    w = frames.window
+    got = frames.finish(frames.rows.withColumn("back", F.lag(ROW_ID, lookback).over(w)).withColumn("all", frames.fixes()))
+    hot = {r[ROW_ID]: (r["back"], r["all"]) for r in got.where("placa = 'hot'").collect()}
+    assert hot == {k: (k - 10 * lookback if k >= 10 * lookback else None, 300) for k in range(0, n, 10)}
+    assert got.count() == n
+
+
+def test_starts_of_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(lookback_module, "_COUNTS_TOGETHER", 3)
+    counts = spark.range(40).select(F.lit("a").alias("placa"), F.col("id").alias("_cell"), (F.col("id") % 4 + 1).alias("_n"))
+    got = {r["_cell"]: r["_start"] for r in lookback_module._starts(counts, "placa", 40).collect()}
+    assert got == {k: sum(i % 4 + 1 for i in range(k)) for k in range(40)}
