@@ -11,7 +11,7 @@ a pair has to share the smaller of both ``l`` before it is verified. Verificatio
    tokens of a set are rare ones however full the cells are. Any order all agree on is correct.
 3. Prefixes are posted by token. Tokens of a single class are dropped.
 4. Classes that share a token are first compared with a few pivots of its list, which is linear in its length,
-   in a few rounds; the links found join most of a group of near copies into one component.
+   in a few rounds (in the first with those met most often); the links found join most of a group of near copies into one component.
 5. Lists that still hold several components give all pairs across components whose prefixes can share enough
    tokens, by a bit map first and then exactly. So no link between components is missed, and
    pairs that are already connected are never made.
@@ -46,6 +46,9 @@ CHEAP = 64
 PIVOTS = 3
 #: Rounds of comparing lists with pivots, by the number of pivot orders among the lists.
 SPREADS = (1, 8)
+#: Pivots that a class tries in the first round: those it meets in most lists. Later steps have no such bound,
+#: so this decides how a link is found, never whether.
+FIRST_TRIES = 4
 #: Tokens that a task counts at once.
 TOKENS_HELD = 8_000_000
 
@@ -289,9 +292,16 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
             rooted.join(pivots, "token")
             .select(F.col("class").alias("x"), F.filter(F.array_distinct(choices), lambda p: p["s"] != F.col("root")).alias("ps"))
             .where(F.size("ps") > 0)
-            .distinct()
-            .select("x", F.explode("ps.y").alias("y"))
-            .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+            .groupBy("x", "ps")
+            .count()
+            .select("x", F.explode("ps.y").alias("y"), "count")
+        )
+        if spread == SPREADS[0]:
+            met = near.groupBy("x", "y").agg(F.sum("count").alias("count"))
+            ranked = F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("less"), "y")))  # PIVOTS a token of x at most
+            near = met.groupBy("x").agg(F.slice(ranked, 1, FIRST_TRIES).alias("best")).select("x", F.explode("best.y").alias("y"))
+        near = (
+            near.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
             .distinct()
         )
         found = _verified(promising(near), texts, size, percent)
