@@ -1,104 +1,100 @@
-"""Substring deduplication by content-defined chunks.
+"""Exact substring deduplication, with content-defined chunks as anchors.
 
-A gear hash rolls over the bytes of a text; it has 16 bits, so a byte is forgotten after 16 shifts. A word
-end where the hash falls below a bound is a chunk boundary: boundaries depend on the 16 bytes before
-them alone, so text inserted elsewhere doesn't move them. From each boundary a variable chunk
-reaches to the first later boundary at least ``CHUNK_WORDS`` words on, and is known by its digest. Of equal chunks
-the one in the document of the smallest id (then the earliest place) is the original, the
-others are copies. Where copies adjoin or overlap over at least ``MIN_WORDS`` words they are cut out. A
-passage of over 50 words loses at most the words up to its first and after its last boundary.
+A passage is a run of at least ``MIN_WORDS`` words. A word is cut from a document if it lies in a passage that an
+earlier document (smaller id) has word for word; repeats within one document stay. Every match of over 50
+words with one earlier document is a union of windows of exactly ``MIN_WORDS`` words, so the windows decide, and
+cuts begin and end with the real match.
 
-How it runs: every task compares the chunks of its own partition first and sends on one row per
-distinct digest, so a passage that a third of all documents share is as many rows as there are
-partitions; chunks already known to be copies travel under a key of their own. The copies are then
-gathered per document and the texts are cut where they are read again.
+How candidates are found: a rolling hash is taken over every chunk of ``chunk_of(MIN_WORDS)`` words, and of all chunks within a
+window the one of the smallest hash is its anchor (winnowing). Equal windows have equal anchors, so every shared
+passage holds a shared anchor; about one word in 13 begins one. Only windows whose anchor is in
+more than one document are compared. Anchors and windows are known by 64-bit hashes of their words; white space between words doesn't
+count.
+
+How it runs: every task compares the anchors (later the windows) of its own rows first and sends on one row per
+distinct hash, so a passage that a third of all documents share is as many rows as there are
+partitions; what is already known to be shared travels under a key of its own, windows as runs. Anchors and copies
+are then gathered per document; both joins read the same shuffle of the texts.
 
 Null texts stay null, empty ones empty; a document whose words are all copies has an empty text. Rows
-of equal id and text are one document and are cut alike; null ids come last in order. An empty
-table gives an empty result. All columns of ``docs`` are kept.
+of equal id and text are one document and are cut alike; null ids come last in order, and documents of equal id are
+ordered by a checksum of their text. An empty table gives an empty result. All columns of ``docs`` are kept.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from fixtrail.llm.words import mixed
+from fixtrail.llm.words import WordHashes, mixed
 
-#: Share of word ends that are boundaries, least words of a chunk, least words of a cut.
-BOUNDARY_RATE = 0.22
-CHUNK_WORDS = 10
-MIN_WORDS = 20
-#: A stretch of more words without a boundary gets one after every so many words.
-BARE_WORDS = 48
-BARE_STEP = 16
+#: Least words of a cut: passages of over 50 words.
+MIN_WORDS = 51
+#: Rows that a task compares at a time.
+_HELD_ROWS = 2_000_000
 _SPAN = T.StructType([T.StructField(x, T.LongType()) for x in ("start", "length", "words")])
 _LAST = (1 << 63) - 1
-with np.errstate(over="ignore"):
-    _GEAR = (mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.uint16)
+_FACTOR = 0x9E3779B97F4A7C15
 _IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_ROWS = "key long, order long, place long, run int"
+
+
+def chunk_of(min_words: int) -> int:
+    return (min_words + 1) // 2
+
+
+def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The hash of every run of ``width`` words, from sums of powers that end with the run."""
+    n = len(hashes)
+    if n < width:
+        return np.empty(0, np.uint64)
+    with np.errstate(over="ignore"):
+        up = np.full(n, _FACTOR, np.uint64)
+        down = np.full(n, pow(_FACTOR, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * np.cumprod(up))])
+        return mixed((total[width:] - total[:-width]) * np.cumprod(down)[: n - width + 1])
+
 
+class Passages:
+    """Hashes of one text's chunks and windows; window k begins with word k and has its anchor at ``anchor[k]``."""
 
-def gear(raw: np.ndarray) -> np.ndarray:
-    """The rolling hash after every byte: windows are doubled from 1 to 16 bytes."""
-    total = _GEAR[raw]
-    for width in (1, 2, 4, 8):
-        more = total.copy()
-        more[width:] += total[:-width] << np.uint16(width)
-        total = more
-    return total
-
-
-class Chunked:
-    """Words, boundaries and chunks of one text; chunk k begins at the k-th boundary."""
-
-    def __init__(self, raw: bytes, rate: float = BOUNDARY_RATE, chunk_words: int = CHUNK_WORDS) -> None:
-        data = np.frombuffer(raw, np.uint8)
-        space = np.ones(len(data) + 2, bool)
-        space[1:-1] = _IS_SPACE[data]
-        self.starts = np.flatnonzero(space[:-2] & ~space[1:-1])
-        self.ends = np.flatnonzero(~space[1:-1] & space[2:]) + 1
-        n = len(self.ends)
-        cut = gear(data)[self.ends - 1] < np.uint16(rate * 65536) if n else np.empty(0, bool)
-        # words before each boundary; the start of the text is one
-        self.bounds = np.concatenate([[0], np.flatnonzero(cut) + 1]).astype(np.int64)
-        if n and self.bounds[-1] != n:
-            self.bounds = np.append(self.bounds, n)
-        wide = np.flatnonzero(np.diff(self.bounds) > BARE_WORDS)
-        if len(wide):  # one word over and over has the same hash throughout
-            more = [np.arange(a + BARE_STEP, b, BARE_STEP) for a, b in zip(self.bounds[wide], self.bounds[wide + 1], strict=True)]
-            self.bounds = np.sort(np.concatenate([self.bounds, *more]))
-        # the last chunks end with the text
-        self.stop = np.minimum(np.searchsorted(self.bounds, self.bounds + chunk_words), len(self.bounds) - 1)
-        self.count = len(self.bounds) - 1
-        self._raw = raw
-
-    def digests(self) -> np.ndarray:
-        a = self.starts[self.bounds[: self.count]].tolist()
-        b = self.ends[self.bounds[self.stop[: self.count]] - 1].tolist()
-        raw, digest = self._raw, xxhash.xxh3_64_intdigest
-        return np.array([digest(raw[x:y]) for x, y in zip(a, b, strict=True)], np.uint64).view(np.int64)
-
-    def spans(self, copies: np.ndarray, min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
-        """(first byte, last byte, words) of the runs of copied chunks that are long enough."""
-        change = np.zeros(len(self.ends) + 1, np.int64)
-        np.add.at(change, self.bounds[copies], 1)
-        np.add.at(change, self.bounds[self.stop[copies]], -1)
-        covered = np.concatenate([[0], (np.cumsum(change)[:-1] > 0).astype(np.int8), [0]])
-        turns = np.flatnonzero(np.diff(covered))
-        return [
-            (int(self.starts[a]), int(self.ends[b - 1]), int(b - a))
-            for a, b in zip(turns[::2], turns[1::2], strict=True)
-            if b - a >= min_words
-        ]
+    def __init__(self, raw: bytes, hashes: WordHashes, min_words: int = MIN_WORDS) -> None:
+        words = raw.split()
+        self.count = max(0, len(words) - min_words + 1)
+        self._words = hashes(words) if self.count else np.empty(0, np.uint64)
+        self._min_words = min_words
+
+    def chunks(self) -> tuple[np.ndarray, np.ndarray]:
+        """The hash of every chunk and the anchor of every window."""
+        size = chunk_of(self._min_words)
+        chunks = rolling(self._words, size)
+        among = np.lib.stride_tricks.sliding_window_view(chunks, self._min_words - size + 1)
+        return chunks, among.argmin(axis=1) + np.arange(self.count)
+
+    def windows(self) -> np.ndarray:
+        return rolling(self._words, self._min_words)
+
+
+def spans(raw: bytes, copied: np.ndarray, min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
+    """(first byte, last byte, words) of the runs of words that copied windows cover."""
+    space = np.ones(len(raw) + 2, bool)
+    space[1:-1] = _IS_SPACE[np.frombuffer(raw, np.uint8)]
+    starts = np.flatnonzero(space[:-2] & ~space[1:-1])
+    ends = np.flatnonzero(~space[1:-1] & space[2:]) + 1
+    at = np.flatnonzero(copied)
+    change = np.zeros(len(starts) + 2, np.int64)
+    change[at + 1] += 1
+    change[at + min_words + 1] -= 1
+    turns = np.flatnonzero(np.diff(np.cumsum(change) > 0, append=False))
+    return [(int(starts[a]), int(ends[b - 1]), int(b - a)) for a, b in zip(turns[::2], turns[1::2], strict=True)]
 
 
 def without(raw: bytes, spans: list[tuple[int, int, int]]) -> bytes:
@@ -122,91 +118,166 @@ def _text_mark() -> Column:
     return F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")).bitwiseAND(0x7FFFFFFF)
 
 
-def copied_chunks(docs: DataFrame, rate: float = BOUNDARY_RATE, chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """order, place: every chunk that has an earlier equal; place is text mark << 32 | chunk number."""
+def _scattered(order: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return mixed(place.view(np.uint64) ^ mixed(order.view(np.uint64))).view(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, orders, places = [], [], []
-        for batch in batches:
-            for order, text in zip(batch["order"].to_pylist(), batch["text"], strict=True):
-                raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                chunks = Chunked(raw, rate, chunk_words)
-                if chunks.count:
-                    keys.append(chunks.digests())
-                    orders.append(np.full(chunks.count, order, np.int64))
-                    mark = (zlib.crc32(raw) & 0x7FFFFFFF) << 32
-                    places.append(mark | np.arange(chunks.count, dtype=np.int64))
-        if not keys:
-            return
-        key, order, place = np.concatenate(keys), np.concatenate(orders), np.concatenate(places)
-        del keys, orders, places
+
+def _runs(order: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Adjoining places of one document as first place and length."""
+    by = np.lexsort((place, order))
+    order, place = order[by], place[by]
+    fresh = np.append(True, (order[1:] != order[:-1]) | (place[1:] != place[:-1]))[: len(order)]
+    order, place = order[fresh], place[fresh]
+    first = np.flatnonzero(np.append(True, (order[1:] != order[:-1]) | (place[1:] != place[:-1] + 1))[: len(order)])
+    return order[first], place[first], np.diff(np.append(first, len(order)))
+
+
+def _anchors_known(other: np.ndarray, starts: np.ndarray, order: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Every anchor of a group with more than one document is shared."""
+    shared = np.repeat(np.logical_or.reduceat(other, starts), np.diff(np.append(starts, len(order))))
+    return order[shared], place[shared], np.ones(int(shared.sum()), np.int64)
+
+
+def _windows_known(other: np.ndarray, starts: np.ndarray, order: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Every window of a later document of its group is a copy."""
+    return _runs(order[other], place[other])
+
+
+def _compared(found: Iterator[tuple[np.ndarray, int, np.ndarray]], known: Callable[..., tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    """One row per distinct hash (run 0) and what the task's own rows tell; place is text mark << 32 | word."""
+
+    def settle(held: list) -> Iterator[pa.RecordBatch]:
+        key, order, place = (np.concatenate(x) for x in zip(*held, strict=True))
         by = np.lexsort((place, order, key))
         key, order, place = key[by], order[by], place[by]
         first = np.append(True, key[1:] != key[:-1])
+        starts = np.flatnonzero(first)
         origin = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
-        # the same chunk of the same document, in a repeated row, is no copy of itself
-        copy = (order != order[origin]) | (place != place[origin])
-        key = np.where(copy, mixed(place.view(np.uint64) ^ mixed(order.view(np.uint64))).view(np.int64), key)
+        other = (order != order[origin]) | (place >> 32 != place[origin] >> 32)
+        more, at, run = known(other, starts, order, place)
+        key = np.concatenate([key[starts], _scattered(more, at)])
+        order, place = np.concatenate([order[starts], more]), np.concatenate([place[starts], at])
+        run = np.concatenate([np.zeros(len(starts), np.int32), run.astype(np.int32)])
         for k in range(0, len(key), 100_000):
             part = slice(k, k + 100_000)
-            columns = [pa.array(x[part]) for x in (key, order, place, copy)]
-            yield pa.record_batch(columns, ["key", "order", "place", "copy"])
+            yield pa.record_batch([pa.array(x[part]) for x in (key, order, place, run)], ["key", "order", "place", "run"])
+
+    held, size = [], 0
+    for keys, order, places in found:
+        held.append((keys.view(np.int64), np.full(len(keys), order, np.int64), places))
+        size += len(keys)
+        if size >= _HELD_ROWS:
+            yield from settle(held)
+            held, size = [], 0
+    if size:
+        yield from settle(held)
+
+
+def shared_anchors(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """order, place, run: every anchor that more than one document has, by its first place in each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+
+        def found() -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+            for batch in batches:
+                for order, text in zip(batch["order"].to_pylist(), batch["text"], strict=True):
+                    raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
+                    passages = Passages(raw, hashes, min_words)
+                    if passages.count:
+                        chunks, anchor = passages.chunks()
+                        anchor = np.unique(anchor)
+                        own, first = np.unique(chunks[anchor], return_index=True)
+                        yield own, order, (zlib.crc32(raw) & 0x7FFFFFFF) << 32 | anchor[first]
+
+        yield from _compared(found(), _anchors_known)
 
     texts = docs.select(_order().alias("order"), F.col("text").cast("string").alias("text"))
-    chunks = texts.mapInArrow(run, "key long, order long, place long, copy boolean")
-    # place has 63 bits: its sign carries the flag through the shuffle
-    flagged = chunks.select("key", "order", F.when(F.col("copy"), -1 - F.col("place")).otherwise(F.col("place")).alias("place"))
-    at = F.struct("order", "place")
-    earliest = F.min(F.when(F.col("place") >= 0, at)).over(Window.partitionBy("key"))  # a row per partition at most
-    found = flagged.withColumn("_first", earliest).where((F.col("place") < 0) | (at != F.col("_first")))
-    return found.select("order", F.when(F.col("place") < 0, -1 - F.col("place")).otherwise(F.col("place")).alias("place"))
-
-
-def dedup_passages(
-    docs: DataFrame,
-    min_words: int = MIN_WORDS,
-    rate: float = BOUNDARY_RATE,
-    chunk_words: int = CHUNK_WORDS,
-    with_spans: bool = True,
-) -> DataFrame:
+    doc = F.struct("order", F.shiftright("place", 32))
+    group = Window.partitionBy("key")
+    asked = F.when(F.col("run") == 0, doc)
+    rows = texts.mapInArrow(run, _ROWS).withColumns({"_a": F.min(asked).over(group), "_b": F.max(asked).over(group)})
+    return rows.where((F.col("run") > 0) | (F.col("_a") != F.col("_b"))).select("order", "place", "run")
+
+
+def copied_windows(candidates: DataFrame, text_at: int, min_words: int = MIN_WORDS) -> DataFrame:
+    """order, place, run: windows that an earlier document has, as runs or (run 0) by their first place in the document.
+
+    The last columns of ``candidates`` are order and the places of shared anchors.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+
+        def found() -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+            for batch in batches:
+                orders, anchors = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+                for text, order, places in zip(batch.column(text_at), orders.to_pylist(), anchors, strict=True):
+                    raw = text.as_py().encode("utf-8", "surrogatepass")
+                    passages = Passages(raw, hashes, min_words)
+                    chunks, anchor = passages.chunks()
+                    shared = np.isin(chunks, chunks[places.values.to_numpy()])
+                    at = np.flatnonzero(shared[anchor])
+                    yield passages.windows()[at], order, (zlib.crc32(raw) & 0x7FFFFFFF) << 32 | at
+
+        yield from _compared(found(), _windows_known)
+
+    doc = F.struct("order", F.shiftright("place", 32))
+    earliest = F.min(F.when(F.col("run") == 0, doc)).over(Window.partitionBy("key"))  # a row per task at most
+    rows = candidates.mapInArrow(run, _ROWS).withColumn("_first", earliest)
+    return rows.where((F.col("run") > 0) | (doc != F.col("_first"))).select("order", "place", "run")
+
+
+def _gathered(found: DataFrame, value: Column, name: str) -> DataFrame:
+    doc = (F.col("order").alias("_order"), F.shiftright("place", 32).alias("_mark"))
+    return found.groupBy(*doc).agg(F.collect_list(value).alias(name))
+
+
+def dedup_passages(docs: DataFrame, min_words: int = MIN_WORDS, with_spans: bool = True) -> DataFrame:
     """``docs`` with copied passages cut out of ``text``; with_spans adds ``removed`` (start, length, words).
 
     Starts and lengths are code points of the text as it was.
     """
-    copies = (
-        copied_chunks(docs, rate, chunk_words)
-        .groupBy(F.col("order").alias("_order"), F.shiftright("place", 32).alias("_mark"))
-        .agg(F.collect_list(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")).alias("_copies"))
-    )
-    own = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)]  # positions can't clash
-    joined = docs.select(*own, _order().alias("order"), _text_mark().alias("mark")).join(
-        copies, (F.col("order") == F.col("_order")) & (F.col("mark") == F.col("_mark")), "left"
-    )
-    joined = joined.select(*[f"c{k}" for k in range(len(own))], "_copies")
     fields = list(docs.schema.fields)
     names = [f.name for f in fields]
     text_at = names.index("text")
+    own = [f"c{k}" for k in range(len(names))]  # positions can't clash
+    texts = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(names, own, strict=True)], _order().alias("order"), _text_mark().alias("mark"))
+    same = (F.col("order") == F.col("_order")) & (F.col("mark") == F.col("_mark"))
+    word = F.col("place").bitwiseAND(0xFFFFFFFF)
+    anchors = _gathered(shared_anchors(docs, min_words), word.cast("int"), "_anchors")
+    candidates = texts.join(anchors, same).select(*own, "order", "_anchors")
+    copies = _gathered(copied_windows(candidates, text_at, min_words), F.shiftleft(word, 32).bitwiseOR(F.col("run").cast("long")), "_copies")
+    joined = texts.join(copies, same, "left").select(*own, "_copies")
     span = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("words", pa.int64())])
     out = T.StructType(fields)
     if with_spans:
         out = T.StructType([*fields, T.StructField("removed", T.ArrayType(_SPAN))])
 
+    def copied(raw: bytes, found: np.ndarray, hashes: WordHashes) -> np.ndarray:
+        windows = Passages(raw, hashes, min_words).windows()
+        start, run = found >> 32, found & 0xFFFFFFFF
+        change = np.zeros(len(windows) + 1, np.int64)
+        np.add.at(change, start[run > 0], 1)
+        np.add.at(change, (start + run)[run > 0], -1)
+        return (np.cumsum(change)[:-1] > 0) | np.isin(windows, windows[start[run == 0]])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
             texts: list[str | None] = []
             removed: list[list[dict]] = []
             for text, copies in zip(batch.column(text_at), batch.column(batch.num_columns - 1), strict=True):
-                text, copies = text.as_py(), copies.as_py()
-                spans = []
-                if text and copies:
+                text = text.as_py()
+                cut: list[tuple[int, int, int]] = []
+                if text and copies.is_valid:
                     raw = text.encode("utf-8", "surrogatepass")
-                    spans = Chunked(raw, rate, chunk_words).spans(np.unique(np.array(copies, np.int64)), min_words)
-                    if spans:
-                        text = without(raw, spans).decode("utf-8", "surrogatepass")
+                    cut = spans(raw, copied(raw, copies.values.to_numpy(), hashes), min_words)
+                    text = without(raw, cut).decode("utf-8", "surrogatepass")
                 texts.append(text)
                 if with_spans:
                     chars = lambda x, y: len(raw[x:y].decode("utf-8", "surrogatepass"))  # noqa: B023, E731
-                    removed.append([{"start": chars(0, a), "length": chars(a, b), "words": w} for a, b, w in spans])
+                    removed.append([{"start": chars(0, a), "length": chars(a, b), "words": w} for a, b, w in cut])
             columns = [batch.column(k) for k in range(len(names))]
             columns[text_at] = pa.array(texts, pa.string())
             if with_spans:

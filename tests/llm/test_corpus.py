@@ -222,6 +222,37 @@ def test_passages(spark):
     assert chunk_dedup.dedup_passages(docs.limit(0)).count() == 0
 
 
+def cut_by_all_windows(texts, least=51):
+    """Words left of every text: all windows of ``least`` words against all earlier texts."""
+    seen, left = {}, []
+    for k, text in enumerate(texts):
+        words = (text or "").split()
+        windows = [tuple(words[i : i + least]) for i in range(len(words) - least + 1)]
+        gone = {i + j for i, w in enumerate(windows) if seen.get(w, k) < k for j in range(least)}
+        for w in windows:
+            seen.setdefault(w, k)
+        left.append([w for i, w in enumerate(words) if i not in gone])
+    return left
+
+
+def test_passages_exactly(spark):
+    texts = [f"{prose(300 + k, 20)} {prose(200 + k // 2, 51)} {prose(500 + k, 15)}" for k in range(80)]  # 51 words in pairs
+    texts += [f"{prose(700 + k, 20)} {prose(600 + k // 2, 50)} {prose(900 + k, 15)}" for k in range(20)]  # 50 words stay
+    line = prose(42, 60)
+    texts += [f"{line} {prose(43, 9)} {line}", "no " * 70, f"x {'no ' * 200} y", "yes " * 300]  # repeats in one document stay
+    pieces = [prose(50 + k, 30) for k in range(4)]
+    texts += [*(f"{p} {prose(60, 9)}" for p in pieces), " ".join(pieces)]  # no single passage behind the last
+    texts += [f"{prose(80, 30)} {prose(81, 200)}", f"{prose(81, 200)} {prose(82, 30)}", prose(81, 120)]
+    docs = docs_of(spark, texts).repartition(5)
+    out = {r["doc_id"]: r for r in chunk_dedup.dedup_passages(docs).collect()}
+    wanted = cut_by_all_windows(texts)
+    assert [out[k]["text"].split() for k in range(len(texts))] == wanted
+    assert [len(w) for w in wanted[:4]] == [86, 35, 86, 35] and len(wanted[100]) == 129 and len(wanted[108]) == 120
+    for k, text in enumerate(texts):
+        assert sum(x["words"] for x in out[k]["removed"]) == len(text.split()) - len(wanted[k])
+        assert all(len(text[x["start"] :][: x["length"]].split()) == x["words"] for x in out[k]["removed"])
+
+
 def test_lattice_scores(spark, tmp_path):
     texts = [*EDGE[:6], *[prose(k % 5, 30) + " ünïcode \U0001f600" for k in range(20)]]
     docs_of(spark, texts).write.parquet(str(tmp_path / "d"))
