@@ -72,7 +72,7 @@ def op8_string_kernel_languages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document's text without passages that an earlier document has, and what was cut."""
+    """Every document's text without passages of over 50 words that an earlier document has, and what was cut."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     words = F.aggregate("removed", F.lit(0).cast("long"), lambda total, x: total + x["words"])
     return dedup_passages(docs).select("doc_id", "text", words.alias("removed_words"), "removed")

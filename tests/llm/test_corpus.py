@@ -253,6 +253,13 @@ def test_passages_exactly(spark):
         assert all(len(text[x["start"] :][: x["length"]].split()) == x["words"] for x in out[k]["removed"])
 
 
+def test_clean_documents_keep_all_words(spark):
+    shared = prose(1, 50)
+    texts = [f"{prose(10, 30)} {shared} {prose(11, 30)}", f"{prose(12, 30)} {shared} {prose(13, 30)}", f"{prose(2, 70)} z {prose(2, 70)}"]
+    rows = chunk_dedup.dedup_passages(docs_of(spark, texts)).orderBy("doc_id").collect()
+    assert [r["text"] for r in rows] == texts and not any(r["removed"] for r in rows)
+
+
 def test_lattice_scores(spark, tmp_path):
     texts = [*EDGE[:6], *[prose(k % 5, 30) + " ünïcode \U0001f600" for k in range(20)]]
     docs_of(spark, texts).write.parquet(str(tmp_path / "d"))
