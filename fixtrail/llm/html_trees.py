@@ -42,8 +42,11 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
 _PART = re.compile(r"[A-Za-z][a-z]+|[A-Z]+")
 # Fixed values of HTML: which elements hold no text of the page, no content at all, or stay inside a line.
-_DROPPED = frozenset("script style noscript template svg head title textarea select button iframe object canvas math".split())
-_RAW = frozenset("script style textarea title".split())
+_DROPPED = frozenset("script style template svg head title textarea select button iframe".split())
+_RAW = frozenset("script style textarea title iframe".split())
+# What may stand in a head; any other start tag or text ends it.
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noscript script style template title".split())
+_IN_SELECT = frozenset("option optgroup hr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
@@ -109,6 +112,7 @@ def parse(page: str | None) -> list[Node]:
     links, linked, at, total, inner_tags = 0, 0, 0, 0, 0
     skip: str | None = None
     skip_depth = 0
+    inside: list[str] = []  # block elements opened within the skipped one
 
     def add(tag: str, good: int, bad: int) -> int:
         up = nodes[stack[-1]]
