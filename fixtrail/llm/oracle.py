@@ -54,7 +54,45 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
-_STATEMENTS: dict[str, str] = {"op1_mix_sources": _MIX, "op2_warc_round_trip": _WARC}
+
+
+def _kmeans(rounds: int = 10) -> str:
+    """Lloyd's rounds as a chain of common tables, one row for each vector or centroid and dimension."""
+    parts = [
+        """kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, c -> c IS NOT NULL AND isfinite(c))) = 64),
+x AS MATERIALIZED (
+  SELECT r, unnest(range(64)) AS d, unnest(list_transform(e, c -> CAST(floor(1024 * c) AS BIGINT))) AS v FROM kept),
+first AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), e) - 1 AS c FROM kept
+  QUALIFY c < 8),
+c0 AS MATERIALIZED (SELECT c, d, v FROM first JOIN x USING (r))"""
+    ]
+    for k in range(rounds + 1):
+        parts.append(
+            f"""a{k} AS MATERIALIZED (
+  SELECT r, arg_min(c, (dist, c)) AS c, min(dist) AS dist
+  FROM (SELECT r, c, sum((x.v - m.v) * (x.v - m.v)) AS dist FROM x JOIN c{k} m USING (d) GROUP BY r, c) GROUP BY r)"""
+        )
+        if k < rounds:
+            parts.append(
+                f"""c{k + 1} AS MATERIALIZED (
+  SELECT c, d, coalesce(n.v, o.v) AS v FROM c{k} o LEFT JOIN (
+    SELECT c, d, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS v
+    FROM (SELECT c, d, sum(v) AS s, count(*) AS n FROM x JOIN a{k} USING (r) GROUP BY c, d)) n USING (c, d))"""
+            )
+    last = f"""
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(dist AS BIGINT) AS distance,
+       CAST(sum(dist) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(dist) OVER () AS BIGINT) AS inertia,
+       centroid_sha256
+FROM a{rounds} a JOIN kept USING (r)
+JOIN (SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY c) h ON a.c = h.c
+"""
+    return "WITH " + ",\n".join(parts) + last
+
+
+_STATEMENTS: dict[str, str] = {"op1_mix_sources": _MIX, "op2_warc_round_trip": _WARC, "op11_table_kmeans": _kmeans()}
 
 
 def statements() -> dict[str, str]:

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from fixtrail.llm.chunk_dedup import dedup_passages
 from fixtrail.llm.html_trees import extract_text
 from fixtrail.llm.jaccard_join import similar_groups
+from fixtrail.llm.jacobi_davidson import whiten
 from fixtrail.llm.lattice_lm import score_documents
 from fixtrail.llm.line_crf import fit_line_field, judge_documents
 from fixtrail.llm.mixing import mix
 from fixtrail.llm.packing import pack_documents
 from fixtrail.llm.permutation_index import search
 from fixtrail.llm.string_kernel import label_languages
+from fixtrail.llm.table_kmeans import cluster_vectors
+from fixtrail.llm.toxicity import score_toxicity
 from fixtrail.llm.warc import read_archives, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +86,21 @@ def op10_lattice_scores(spark: SparkSession, folder: str) -> DataFrame:
     return score_documents(_table(spark, folder, "documents"))
 
 
+def op11_table_kmeans(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight clusters of all vectors with 64 components."""
+    return cluster_vectors(_table(spark, folder, "embeddings"))
+
+
+def op12_jacobi_davidson_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector whitened along the 32 largest principal components."""
+    return whiten(_table(spark, folder, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_boosted_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """How likely each document is toxic."""
+    return score_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def registered() -> dict[str, Query]:
     found = (
         op1_mix_sources,
@@ -95,5 +113,8 @@ def registered() -> dict[str, Query]:
         op8_string_kernel_languages,
         op9_chunk_dedup,
         op10_lattice_scores,
+        op11_table_kmeans,
+        op12_jacobi_davidson_whitening,
+        op13_boosted_toxicity,
     )
     return {f.__name__: f for f in found}
