@@ -61,9 +61,9 @@ def _kmeans(rounds: int = 10) -> str:
     parts = [
         """kept AS MATERIALIZED (
   SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE len(embedding) = 64 AND len(list_filter(embedding, c -> c IS NOT NULL AND isfinite(c))) = 64),
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = 64),
 x AS MATERIALIZED (
-  SELECT r, unnest(range(64)) AS d, unnest(list_transform(e, c -> CAST(floor(1024 * c) AS BIGINT))) AS v FROM kept),
+  SELECT r, unnest(range(64)) AS d, unnest(list_transform(e, lambda c: CAST(floor(1024 * c) AS BIGINT))) AS v FROM kept),
 first AS (
   SELECT r, row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), e) - 1 AS c FROM kept
   QUALIFY c < 8),
