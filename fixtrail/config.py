@@ -48,34 +48,26 @@ SEQUENCE_BASE = (
 )
 
 
-@dataclass(frozen=True)
-class FeatureSpec:
-    base: tuple[str, ...]
-    one_hot: bool = False
-    exclude: frozenset[str] = frozenset()
-
-
-FEATURE_SPECS: Mapping[str, FeatureSpec] = MappingProxyType(
+MODEL_FEATURES: Mapping[str, tuple[str, ...]] = MappingProxyType(
     {
-        "isolation_forest": FeatureSpec(ISOLATION_BASE, one_hot=True),
-        "hbos": FeatureSpec(HISTOGRAM_BASE, exclude=frozenset({"hora_sin", "hora_cos"})),
-        "gru": FeatureSpec(SEQUENCE_BASE),
-        "lstm": FeatureSpec(SEQUENCE_BASE),
-        "autoencoder": FeatureSpec(SEQUENCE_BASE),
+        "isolation_forest": ISOLATION_BASE,
+        "hbos": HISTOGRAM_BASE,
+        **dict.fromkeys(("gru", "lstm", "autoencoder"), SEQUENCE_BASE),
     }
 )
+#: Models that also take the 0/1 columns of the regions.
+MODELS_WITH_REGIONS = frozenset({"isolation_forest"})
 
 
 def features_for_model(model: str, columns: Sequence[str]) -> list[str]:
     """Ordered features of ``model`` that exist among ``columns``."""
-    spec = FEATURE_SPECS.get(model)
-    if spec is None:
-        raise ValueError(f"unknown model {model!r}; expected one of {sorted(FEATURE_SPECS)}")
-    wanted = list(spec.base)
-    if spec.one_hot:
-        wanted += [c for c in columns if c.startswith(f"{ONE_HOT_PREFIX}_")]
+    if model not in MODEL_FEATURES:
+        raise ValueError(f"unknown model {model!r}; expected one of {sorted(MODEL_FEATURES)}")
     present = set(columns)
-    return [f for f in wanted if f in present and f not in spec.exclude]
+    found = [f for f in MODEL_FEATURES[model] if f in present]
+    if model in MODELS_WITH_REGIONS:
+        found += [c for c in columns if c.startswith(f"{ONE_HOT_PREFIX}_")]
+    return found
 
 
 def label_column(model: str, percentile: float) -> str:
@@ -98,7 +90,7 @@ def check_percentiles(percentiles: Sequence[float]) -> list[float]:
 class ExperimentConfig:
     """Settings of one end-to-end run; defaults are the shipped configuration."""
 
-    # source name -> canonical name; names absent from the input are ignored
+    # source name -> canonical name (fixed values); names absent from the input are ignored
     column_map: Mapping[str, str] = field(
         default_factory=lambda: {
             "placa": ENTITY,
@@ -108,6 +100,8 @@ class ExperimentConfig:
             "RA": REGION,
         }
     )
+    # patterns of times that are not ISO text, in the order to try them
+    time_patterns: tuple[str, ...] = ()
     percentiles: tuple[float, ...] = (90, 95, 99)
     train_ratio: float = 0.7
     isolation_trees: tuple[int, ...] = (100, 200)

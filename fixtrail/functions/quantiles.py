@@ -5,6 +5,10 @@ that follow their order, buckets are counted map-side for all columns in one pas
 buckets that hold a wanted rank are cut again. The first pass cuts by sign and magnitude, later ones
 cut the range of a bucket into equal steps, so a double is settled after four or five passes, whatever
 the distribution and however many rows. Few values left in a bucket are selected directly.
+
+Buckets stay a table: running sums of their counts, taken inside groups of buckets and over the groups, say
+which ranks a bucket holds, and only the buckets with a wanted rank come to the driver, at most
+two for each percentile and column.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fixtrail.functions.numeric import nan_to_null
@@ -27,6 +31,8 @@ _PER_OCTAVE, _OFFSET = 16, 1076 * 16
 _BEYOND = 1_000_000
 # steps of a bucket that is cut again; one more takes the largest value
 _STEPS = 1 << 16
+# buckets whose counts are summed up in one task
+_TOGETHER = 1 << 10
 
 
 @dataclass(frozen=True)
@@ -64,37 +70,68 @@ def _magnitude(value: Column) -> Column:
     )
 
 
-def _counted(df: DataFrame, buckets: Mapping[str, Column]) -> dict[str, list]:
-    """Per column the rows (bucket, n, low, high) of its buckets in order; null buckets are left out."""
-    columns = list(buckets)
+def _positions(count: Column, percentiles: Sequence[float]) -> Column:
+    """Ranks (from 0) of the two neighbours of each percentile among ``count`` values."""
+    last = count - 1
+    first = [F.floor(last * F.lit(p / 100)) for p in percentiles]
+    return F.array(*first, *[F.least(r + 1, last) for r in first])
+
+
+def _with_ranks_below(buckets: DataFrame) -> DataFrame:
+    """Add ``below`` and ``total``: values of the group in earlier buckets, and in all of them.
+
+    Sums run over at most ``_TOGETHER`` buckets of one group at a time.
+    """
+    group = F.floor(F.col("b") / _TOGETHER)
+    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("n").over(before.partitionBy("i", "k", "_group")), F.lit(0))
+    groups = buckets.groupBy("i", "k", group.alias("_group")).agg(F.sum("n").alias("_n"))
+    earlier = Window.partitionBy("i", "k").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    sums = groups.select(
+        "i",
+        "k",
+        "_group",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_above"),
+        F.sum("_n").over(Window.partitionBy("i", "k")).alias("total"),
+    )
+    placed = buckets.withColumn("_group", group).withColumn("_inside", inside)
+    return placed.join(sums, ["i", "k", "_group"]).withColumn("below", F.col("_above") + F.col("_inside"))
+
+
+def _holding(df: DataFrame, buckets: Mapping[str, tuple[Column, Column]], wanted: Column) -> list:
+    """Rows (i, k, n, low, high, below, total) of the buckets that hold a wanted rank.
+
+    ``buckets`` gives for each column the number of the interval that is cut and of the bucket in it; a null
+    bucket leaves the value out. ``wanted`` is an array of ranks, and may depend on i, k and total.
+    """
     entries = F.array(
-        *[F.struct(F.lit(i).alias("i"), b.cast("long").alias("b"), F.col(c).alias("v")) for i, (c, b) in enumerate(buckets.items())]
+        *[
+            F.struct(F.lit(i).alias("i"), k.alias("k"), b.cast("long").alias("b"), F.col(c).alias("v"))
+            for i, (c, (k, b)) in enumerate(buckets.items())
+        ]
     )
-    found = (
+    counted = (
         df.select(F.inline(entries))
         .where("b IS NOT NULL AND v IS NOT NULL")
-        .groupBy("i", "b")
+        .groupBy("i", "k", "b")
         .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-        .collect()  # a bounded number of buckets
     )
-    out: dict[str, list] = {c: [] for c in columns}
-    for row in sorted(found, key=lambda r: (r["i"], r["b"])):
-        out[columns[row["i"]]].append(row)
-    return out
+    inside = F.exists(wanted, lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("n")))
+    rows = _with_ranks_below(counted).where(inside).select("i", "k", "n", "low", "high", "below", "total")
+    return rows.collect()  # at most two for each percentile and column
 
 
 def _settle(column: str, rows: Iterable, below: int, ranks: Iterable[int]) -> tuple[dict[tuple[str, int], float], _Work]:
-    """Ranks whose bucket has one value only, and the buckets of the others."""
+    """Ranks whose bucket has one value only, and the buckets of the others; ``below``: values before all buckets."""
     found: dict[tuple[str, int], float] = {}
     rest: _Work = {}
-    wanted = sorted(ranks)
     for row in rows:
-        inside = [r for r in wanted if below <= r < below + row["n"]]
+        first = below + row["below"]
+        inside = sorted(r for r in ranks if first <= r < first + row["n"])
         if inside and row["low"] == row["high"]:
             found.update({(column, r): row["low"] for r in inside})
         elif inside:
-            rest[_Interval(column, row["n"], below, row["low"], row["high"])] = inside
-        below += row["n"]
+            rest[_Interval(column, row["n"], first, row["low"], row["high"])] = inside
     return found, rest
 
 
@@ -115,18 +152,28 @@ def _cut(df: DataFrame, work: _Work) -> tuple[dict[tuple[str, int], float], _Wor
     own: dict[str, list[_Interval]] = {}
     for interval in work:
         own.setdefault(interval.column, []).append(interval)
-    buckets = {}
+    cuts = {}
     for column, intervals in own.items():
-        bucket = F.lit(None).cast("long")
-        for k, interval in enumerate(intervals):
-            bucket = F.when(interval.holds(), F.lit(2 * k * _STEPS) + interval.step()).otherwise(bucket)
-        buckets[column] = bucket
+        number, bucket = F.lit(None).cast("int"), F.lit(None).cast("long")
+        for k, interval in enumerate(intervals):  # no value lies in two
+            number = F.when(interval.holds(), F.lit(k)).otherwise(number)
+            bucket = F.when(interval.holds(), interval.step()).otherwise(bucket)
+        cuts[column] = (number, bucket)
+    ranks = F.create_map(
+        *[
+            part
+            for i, intervals in enumerate(own.values())
+            for k, x in enumerate(intervals)
+            for part in (F.lit(f"{i}:{k}"), F.array(*[F.lit(r - x.below).cast("long") for r in work[x]]))
+        ]
+    )
+    rows = _holding(df, cuts, F.element_at(ranks, F.concat_ws(":", "i", "k")))
     found: dict[tuple[str, int], float] = {}
     rest: _Work = {}
-    for column, rows in _counted(df, buckets).items():
-        for k, interval in enumerate(own[column]):
-            inside = [r for r in rows if r["b"] // (2 * _STEPS) == k]
-            settled, more = _settle(column, inside, interval.below, work[interval])
+    for i, (column, intervals) in enumerate(own.items()):
+        for k, interval in enumerate(intervals):
+            mine = [r for r in rows if (r["i"], r["k"]) == (i, k)]
+            settled, more = _settle(column, mine, interval.below, work[interval])
             found |= settled
             rest |= more
     return found, rest
@@ -161,10 +208,13 @@ def exact_percentiles(
     sizes: dict[str, int] = {}
     found: dict[tuple[str, int], float] = {}
     work: _Work = {}
-    for column, rows in _counted(narrow, {c: _magnitude(F.col(c)) for c in narrow.columns}).items():
-        if rows:
-            n = sizes[column] = sum(r["n"] for r in rows)
-            settled, more = _settle(column, rows, 0, {r for p in percentiles for r in position(n, p)[:2]})
+    first = {c: (F.lit(0), _magnitude(F.col(c))) for c in narrow.columns}
+    rows = _holding(narrow, first, _positions(F.col("total"), percentiles)) if percentiles else []
+    for i, column in enumerate(narrow.columns):
+        mine = [r for r in rows if r["i"] == i]
+        if mine:
+            n = sizes[column] = mine[0]["total"]
+            settled, more = _settle(column, mine, 0, {r for p in percentiles for r in position(n, p)[:2]})
             found |= settled
             work |= more
     while work:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixtrail.config import ROW_ID
@@ -20,7 +20,7 @@ SAMPLE_SIZE = 256
 _SAME = 1e-7  # a feature whose spread is not above this is constant
 
 _NODE_SCHEMA = (
-    "tree int, node int, feature int, threshold double, left int, right int, path double"
+    "tree int, node int, feature int, threshold double, left int, right int, path double, size int"
 )
 
 
@@ -34,8 +34,8 @@ def average_path(size: int) -> float:
 
 
 def _grow(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
-    """Nodes (feature, threshold, left, right, path); a leaf points at itself."""
-    nodes: list[list] = [[0, 0.0, 0, 0, 0.0]]
+    """Nodes (feature, threshold, left, right, path, size); a leaf points at itself."""
+    nodes: list[list] = [[0, 0.0, 0, 0, 0.0, len(points)]]
     pending = [(0, np.arange(len(points)), 0)]
     while pending:
         node, members, depth = pending.pop()
@@ -43,7 +43,7 @@ def _grow(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[
         low, high = block.min(axis=0), block.max(axis=0)
         usable = np.flatnonzero(high - low > _SAME)
         if depth >= max_depth or len(members) < 2 or usable.size == 0:
-            nodes[node] = [0, math.inf, node, node, depth + average_path(len(members))]
+            nodes[node] = [0, math.inf, node, node, depth + average_path(len(members)), len(members)]
             continue
         feature = int(rng.choice(usable))
         cut = float(rng.uniform(low[feature], high[feature]))
@@ -51,7 +51,7 @@ def _grow(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[
             cut = float(low[feature])
         goes_left = block[:, feature] <= cut
         left, right = len(nodes), len(nodes) + 1
-        nodes[node] = [feature, cut, left, right, 0.0]
+        nodes[node] = [feature, cut, left, right, 0.0, len(members)]
         nodes += [[], []]
         pending.append((left, members[goes_left], depth + 1))
         pending.append((right, members[~goes_left], depth + 1))
@@ -105,7 +105,7 @@ class IsolationForest:
             tree = int(group["tree"].iloc[0])
             points = np.stack(group.sort_values(row_id)["x"].to_numpy()).astype(np.float32)
             grown = _grow(points, np.random.default_rng([seed, tree, 1]), max_depth)
-            out = pd.DataFrame(grown, columns=["feature", "threshold", "left", "right", "path"])
+            out = pd.DataFrame(grown, columns=["feature", "threshold", "left", "right", "path", "size"])
             out.insert(0, "node", np.arange(len(out), dtype=np.int32))
             out.insert(0, "tree", tree)
             return out
@@ -210,6 +210,44 @@ class IsolationForest:
         )
 
 
+def walk_forest(
+    df: DataFrame,
+    nodes: DataFrame,
+    features: Sequence[str],
+    sample_size: int = SAMPLE_SIZE,
+    path: str = "path",
+    score: str = "score",
+) -> DataFrame:
+    """Add the summed path lengths and the score of every row, from a table of nodes and inside the JVM.
+
+    ``nodes`` has the columns of a saved forest (tree, node, feature, threshold, left, right, path; the root is node 0 and a leaf
+    points at itself). It enters the plan as one packed value of bounded size. A row goes left where its value in single
+    precision is at most the threshold. Both columns are NULL where a feature is missing.
+    """
+    node = F.struct("node", "feature", "threshold", "left", "right", "path")
+    trees = nodes.groupBy("tree").agg(F.sort_array(F.collect_list(node)).alias("nodes"))
+    packed = trees.agg(F.sort_array(F.collect_list(F.struct("tree", "nodes"))).alias("trees"))
+    values = [nan_to_null(F.col(f"`{f}`").cast("float").cast("double")) for f in features]
+    walking = df.withColumn("_forest", packed.scalar()).withColumn("_x", F.array(*values))
+    levels = F.sequence(F.lit(1), F.lit(max(1, math.ceil(math.log2(max(sample_size, 2))))))
+
+    def length(tree: Column) -> Column:
+        def step(at: Column, _: Column) -> Column:
+            here = F.get(tree["nodes"], at)
+            return F.when(F.get(F.col("_x"), here["feature"]) <= here["threshold"], here["left"]).otherwise(here["right"])
+
+        return F.get(tree["nodes"], F.aggregate(levels, F.lit(0), step))["path"]
+
+    total = F.aggregate(F.transform("_forest", length), F.lit(0.0), lambda a, b: a + b)
+    whole = F.forall("_x", lambda v: v.isNotNull())
+    scale = F.size("_forest") * F.lit(average_path(sample_size) or 1.0)
+    return (
+        walking.withColumn(path, F.when(whole, total))
+        .withColumn(score, F.pow(F.lit(2.0), -F.col(f"`{path}`") / scale))
+        .drop("_forest", "_x")
+    )
+
+
 def isolation_labels(
     df: DataFrame,
     score: str,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,9 +71,38 @@ def entities_per_region(df: DataFrame, region: str = REGION, entity: str = ENTIT
     )
 
 
+def entity_sketches(
+    df: DataFrame, by: Sequence[str] = (REGION,), entity: str = ENTITY, precision: int = 12, sketch: str = "sketch"
+) -> DataFrame:
+    """A mergeable sketch of the entities of every group, as a table that can be kept and added to.
+
+    Sketches are HyperLogLog of ``2**precision`` cells, built map-side, so a large group costs no more to shuffle
+    than a small one. The standard error of a count is about ``1.04 / sqrt(2**precision)``, 1.6 % by default. Rows with a null among
+    ``by`` are left out, as are null entities.
+    """
+    rows = df.dropna(subset=list(by)).withColumn("_entity", F.col(f"`{entity}`").cast("string"))
+    return rows.groupBy(*by).agg(F.hll_sketch_agg("_entity", precision).alias(sketch))
+
+
+def merged_sketches(sketches: DataFrame, by: Sequence[str], sketch: str = "sketch") -> DataFrame:
+    """Sketches of coarser groups, from those of finer ones or of several days."""
+    return sketches.groupBy(*by).agg(F.hll_union_agg(sketch).alias(sketch))
+
+
+def approximate_entities(sketches: DataFrame, output: str = "veiculos", sketch: str = "sketch") -> DataFrame:
+    """The estimated number of distinct entities in place of each sketch."""
+    return sketches.withColumn(output, F.hll_sketch_estimate(sketch)).drop(sketch)
+
+
 def column_profile(df: DataFrame) -> DataFrame:
-    """Name, type and number of nulls of each column, from one aggregate."""
-    parts = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"c{i}") for i, c in enumerate(df.columns)]
+    """Name, type and number of nulls of each column, from one aggregate; NaN counts as null."""
+
+    def missing(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        floating = isinstance(field.dataType, T.FractionalType) and not isinstance(field.dataType, T.DecimalType)
+        return value.isNull() | F.isnan(value) if floating else value.isNull()
+
+    parts = [F.count_if(missing(f)).alias(f"c{i}") for i, f in enumerate(df.schema)]
     rows = [
         F.struct(
             F.lit(i).alias("posicao"),

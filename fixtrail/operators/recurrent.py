@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from fixtrail.config import ROW_ID, score_column
 from fixtrail.operators.recurrent_cells import Architecture, Autoencoder, TrainingState, train_epoch
+from fixtrail.operators.scenarios import any_member, has_member, member_rows, membership_bits
 from fixtrail.operators.staging import stage
 
 _PATIENCE = 3
@@ -62,7 +63,7 @@ def _shards(batches: Iterator[pa.RecordBatch], width: int):
     for batch in batches:
         shard = batch.column("shard").to_numpy()
         values = _matrix(batch.column("seq"), width)
-        members = batch.column("members").to_numpy()
+        members = batch.column("members").flatten().to_numpy().reshape(batch.num_rows, -1)
         cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1), len(shard)]
         for a, b in zip(cuts, cuts[1:], strict=False):
             if a == b:
@@ -96,7 +97,7 @@ def _epoch_results(
         counts, steps, losses = (np.zeros(len(active)) for _ in range(3))
         last = 0
         for shard, values, bits in _shards(batches, width):
-            members = np.stack([(bits >> s) & 1 == 1 for s in active])
+            members = member_rows(bits, active)
             own = start.copy()
             rows = values.reshape(-1, arch.window, arch.features)
             rng = np.random.default_rng([*seed, int(shard)])
@@ -145,21 +146,17 @@ def training_table(
     partitioned. Windows with a missing value are left out. Returns the table, the number
     of training windows per scenario and the number of shards.
     """
-    if len(members) > 62:
-        raise ValueError("at most 62 scenarios can be trained together")
-    bits = F.lit(0).cast("long")
-    for i, mask in enumerate(members.values()):
-        bits = bits + F.when(mask, F.lit(1 << i)).otherwise(0).cast("long")
+    bits = membership_bits(list(members.values()))
     complete = F.col(seq).isNotNull() & ~F.exists(F.col(seq), lambda v: v.isNull() | F.isnan(v))
     picked = (
         windows.where(complete)
         .select(row_id, F.col(seq).cast("array<float>").alias("seq"), bits.alias("members"))
-        .where("members > 0")
+        .where(any_member(F.col("members")))
     )
     sizes = picked.agg(
         F.count(F.lit(1)).alias("all"),
         *[
-            F.count_if(F.col("members").bitwiseAND(F.lit(1 << i)) != 0).alias(f"s{i}")
+            F.count_if(has_member(F.col("members"), i)).alias(f"s{i}")
             for i in range(len(members))
         ],
     ).first()

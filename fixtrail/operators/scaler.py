@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _EPS = sys.float_info.epsilon
+# updates of a running mean inside a task round like this many merges, as their errors have either sign
+_DEPTH_IN_TASK = 64
 
 
 @dataclass(frozen=True)
@@ -23,10 +25,15 @@ class FeatureStats:
 
     @property
     def scale(self) -> float:
-        """Population deviation, or 1 when the spread is only rounding noise."""
+        """Population deviation, or 1 when the spread is only rounding noise.
+
+        Moments are running means merged in pairs, in which equal values leave no spread at all, so rounding
+        grows with the depth of the merges and not with the number of rows.
+        """
+        depth = min(self.count, _DEPTH_IN_TASK + max(self.count, 1).bit_length())
         variance = self.std**2
-        noise = self.count * _EPS * variance + (self.count * self.mean * _EPS) ** 2
-        return 1.0 if variance <= noise else self.std
+        noise = depth * _EPS * variance + (depth * self.mean * _EPS) ** 2
+        return 1.0 if self.low == self.high or variance <= noise else self.std
 
     def apply(self, value: float) -> float:
         return (value - self.mean) / self.scale

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +52,35 @@ def scenario_grid(isolation: Sequence[str], histogram: Sequence[str]) -> list[Sc
     return [*grid, CONTROL]
 
 
+#: Scenarios in one word of a bit set; the sign bit stays free.
+_WORD = 62
+
+
+def membership_bits(masks: Sequence[Column]) -> Column:
+    """A bit set (array of long) of the masks that hold for a row; any number of masks fits."""
+
+    def word(part: Sequence[Column]) -> Column:
+        bits = F.lit(0).cast("long")
+        for i, mask in enumerate(part):
+            bits = bits + F.when(mask, F.lit(1 << i)).otherwise(0).cast("long")
+        return bits
+
+    return F.array(*[word(masks[k : k + _WORD]) for k in range(0, len(masks), _WORD)]).cast("array<long>")
+
+
+def has_member(bits: Column, number: int) -> Column:
+    return F.get(bits, F.lit(number // _WORD)).bitwiseAND(F.lit(1 << number % _WORD)) != 0
+
+
+def any_member(bits: Column) -> Column:
+    return F.exists(bits, lambda word: word != 0)
+
+
+def member_rows(words: np.ndarray, numbers: Sequence[int]) -> np.ndarray:
+    """The masks of some scenarios (scenarios x rows) out of bit sets (rows x words)."""
+    return np.stack([(words[:, n // _WORD] >> (n % _WORD)) & 1 == 1 for n in numbers])
+
+
 def write_back(df: DataFrame, scores: DataFrame, row_id: str) -> DataFrame:
     """Attach scores kept in another table by row id; rows without a score stay NULL."""
     return df.join(scores, row_id, "left")

@@ -26,7 +26,7 @@ from fixtrail.operators.features import apply_features, has_coordinates, scaled_
 from fixtrail.operators.iforest import IsolationForest
 from fixtrail.operators.kinematics import LOOKBACK
 from fixtrail.operators.lookback import entity_frames
-from fixtrail.operators.onehot import categories
+from fixtrail.operators.onehot import few_categories, with_category_index
 from fixtrail.operators.profile import dataset_profile
 from fixtrail.operators.recurrent_cells import Architecture
 from fixtrail.operators.rowindex import TemporalSplit, is_train, temporal_split, with_row_id
@@ -36,6 +36,7 @@ from fixtrail.operators.staging import stage
 from fixtrail.operators.thresholds import Threshold, calibrate, threshold_metrics, with_labels
 from fixtrail.operators.windows import window_lookback, window_values, with_window_flags
 from fixtrail.sources.sinks import (
+    publish,
     write_csv,
     write_family_metrics,
     write_family_results,
@@ -79,9 +80,11 @@ def feature_table(
     indexed = with_row_id(sightings, (TIME, ENTITY), ties)
     split = temporal_split(indexed, config.train_ratio)
     rows = indexed.rows
-    regions = (
-        categories(rows, REGION, config.max_one_hot_categories) if REGION in rows.columns else ()
-    )
+    regions: Sequence = ()
+    if REGION in rows.columns:
+        regions = few_categories(rows, REGION, config.max_one_hot_categories)
+        if regions is None:  # more values than named columns: an index and a sparse vector, which no detector reads
+            rows, regions = with_category_index(rows), ()
     lookback = LOOKBACK + window_lookback(config.window_size)
     frames = entity_frames(
         rows, lookback, config.max_rows_per_entity_task, ENTITY, (ROW_ID,), indexed.count
@@ -283,11 +286,20 @@ def run_from_files(
     inputs: Sequence[str],
     output: str | None = None,
     config: ExperimentConfig | None = None,
+    whole_runs: bool = False,
 ) -> ExperimentResult:
-    """Read the first input that exists, run all stages and write the outputs."""
+    """Read the first input that exists, run all stages and write the outputs.
+
+    Outputs go straight below ``output``, or with ``whole_runs`` into a run folder of their own that is
+    published when it is complete (see ``sources/sinks.py``).
+    """
     config = config or ExperimentConfig()
-    sightings = standardize(read_first(spark, inputs), config.column_map)
+    sightings = standardize(read_first(spark, inputs), config.column_map, time_patterns=config.time_patterns)
     result = run_experiment(sightings, config)
     if output is not None:
-        write_outputs(result, output.rstrip("/"))
+        folder = output.rstrip("/")
+        if whole_runs:
+            publish(spark, folder, lambda run: write_outputs(result, run))
+        else:
+            write_outputs(result, folder)
     return result

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from fixtrail.plans.queries import GAP_SECONDS, SEQUENCE_FEATURES, WINDOW
+import math
+
+from fixtrail.plans.queries import FOREST_FEATURES, FOREST_NODES, GAP_SECONDS, SEQUENCE_FEATURES, WINDOW
 
 _FLAGS = [f"HBOS_bins{b}_p{p}_label" for b in (10, 20) for p in (90, 95, 99)]
 _TRUTH = "HBOS_bins20_p95_label"
@@ -269,6 +271,50 @@ _SIGHTINGS = (
 )
 
 
+def _tree(tree: int, node: int = 0) -> str:
+    """One tree as nested cases."""
+    (here,) = (n for n in FOREST_NODES if n[:2] == (tree, node))
+    if here[4] == node:
+        return f"{here[6]}e0"
+    return f"CASE WHEN {FOREST_FEATURES[here[2]]}::FLOAT::DOUBLE <= {here[3]}e0 THEN {_tree(tree, here[4])} ELSE {_tree(tree, here[5])} END"
+
+
+_TREES = sorted({n[0] for n in FOREST_NODES})
+_EXPECTED = 2 * (math.log(255) + 0.5772156649015329) - 2 * 255 / 256
+_WALKED = f"""walked AS (
+  SELECT *, pow(2e0, -path / ({len(_TREES)} * {_EXPECTED!r})) AS score
+  FROM (SELECT *, {" + ".join(f"({_tree(t)})" for t in _TREES)} AS path FROM lineitem))"""
+
+
+def _reference_comparison() -> str:
+    truth = "ISO_walk_p95_label"
+    scores = {"ISO_walk": "w", "ISO_price": "l_extendedprice", "HBOS_quantity": "l_quantity"}
+    labels = {f"{m}_p{p}_label": f"{c} >= (SELECT quantile_cont({c}, {p / 100}) FROM s)" for m, c in scores.items() for p in (90, 95)}
+    columns = ", ".join(f'CAST({e} AS BIGINT) AS "{c}"' for c, e in labels.items())
+    counts = " UNION ALL ".join(
+        f"""SELECT '{c}' AS model, sum("{c}" * "{truth}") AS tp, sum("{c}" * (1 - "{truth}")) AS fp,
+          sum((1 - "{c}") * "{truth}") AS fn, sum((1 - "{c}") * (1 - "{truth}")) AS tn FROM l"""
+        for c in labels
+        if c != truth
+    )
+    return f"""WITH {_WALKED}, s AS (SELECT *, round(score, 9) AS w FROM walked), l AS (SELECT {columns} FROM s), c AS ({counts})
+        SELECT model AS "Model", {_share("tp", "tp + fp")} AS "Precision", {_share("tp", "tp + fn")} AS "Recall",
+          {_share("2 * tp", "2 * tp + fp + fn")} AS "F1_Score", {_share("tp + tn", "tp + fp + fn + tn")} AS "Accuracy" FROM c"""
+
+
+def _grid() -> str:
+    models = ("HBOS_bins10", "HBOS_bins20")
+    rows = ["SELECT 'LSTM_Sujo' AS cenario, count(*) FILTER (WHERE is_train) AS linhas FROM labelled"]
+    for a in models:
+        for b in models:
+            for kind, both in (("Uniao", "AND"), ("Inter", "OR")):
+                rows.append(
+                    f"""SELECT 'LSTM_{kind}_{a}_{b}', count(*) FILTER (WHERE is_train AND
+                      ("{a}_p95_label" = 0 {both} "{b}_p95_label" = 0)) FROM labelled"""
+                )
+    return " UNION ALL ".join(rows)
+
+
 def statements() -> dict[str, str]:
     """SQL per query name; queries with random models have none."""
     names = ", ".join(f"({i}, '{c}')" for i, c in enumerate(_HIST))
@@ -321,6 +367,33 @@ def statements() -> dict[str, str]:
         "standardize_sightings": """SELECT event_id, user_id AS placa, ts AS "timestamp",
             value AS latitude, event_type AS regiao_adm FROM events WHERE event_type <> 'error'""",
         "csv_scan": _SIGHTINGS,
+        "csv_scan_quoted": """SELECT doc_id, ' "' || source || '",' || chr(10) || text || chr(92) || '"' || chr(13) || chr(10) || ', ' AS text,
+            lang FROM documents""",
+        "timestamps_of_patterns": """SELECT o_orderkey, o_custkey AS placa, CASE o_orderkey % 3
+            WHEN 1 THEN date_trunc('minute', o_orderdate) ELSE date_trunc('second', o_orderdate) END AS "timestamp" FROM orders""",
+        "one_hot_index": """SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS BIGINT) AS indice FROM part""",
+        "vehicles_per_region_sketched": f"""WITH {_TRAJ} SELECT regiao_adm, count(DISTINCT placa) AS veiculos, true AS near
+            FROM traj WHERE regiao_adm IS NOT NULL GROUP BY regiao_adm""",
+        "regions_written": """SELECT 'cliente "' || o_custkey || '"' AS regiao_adm, count(DISTINCT o_orderkey) AS veiculos
+            FROM orders GROUP BY ALL""",
+        "columns_with_nan": """SELECT * FROM (
+            SELECT 0 AS posicao, 'l_orderkey' AS "Coluna", 'bigint' AS "Tipo", 0::BIGINT AS "Nulos", count(*) AS num_linhas, 3 AS num_colunas FROM lineitem
+            UNION ALL SELECT 1, 'l_discount', 'double', count(*) FILTER (WHERE l_discount = 0), count(*), 3 FROM lineitem
+            UNION ALL SELECT 2, 'l_tax', 'double', count(*) FILTER (WHERE l_tax <= 0), count(*), 3 FROM lineitem)""",
+        "grid_masks": f"WITH {_LABELLED} {_grid()}",
+        "comparison_with_reference": _reference_comparison(),
+        "families_written": f"""WITH {_LABELLED} SELECT "Model", "Percentile", "Anomalies_Detected",
+            CASE WHEN "Model" = 'HBOS_bins10' THEN "Pct_Dataset" END AS "Pct_Dataset" FROM ({_METRIC_ROWS})""",
+        "sinks_read_back": f"""WITH {_LABELLED} SELECT placa, "timestamp", latitude, longitude,
+            {_rounded(["HBOS_bins10_score", "HBOS_bins20_score"], 6)},
+            {", ".join(f'"{c}"' for c in _FLAGS)} FROM labelled""",
+        "forest_walk": f"""WITH {_WALKED} SELECT l_orderkey, l_linenumber, round(path, 9) AS path, round(score, 9) AS score,
+            CAST(score > 0.5 AS INTEGER) AS label FROM walked""",
+        "forest_invariants": f"""WITH {_IDX} SELECT count(*) AS "rows", 0::BIGINT AS walks_differ,
+            count(*) FILTER (WHERE event_id % 50 <> 0) AS scored, 0::BIGINT AS out_of_range,
+            20::BIGINT AS trees, 20::BIGINT AS binary_trees, 20::BIGINT AS full_trees FROM idx""",
+        "master_fixed_part": f"""WITH {_FEAT}, wide AS (SELECT * FROM feat) SELECT event_id, row_id, placa, CAST(hora AS INTEGER) AS hora,
+            dayname("timestamp") AS dia_semana, {", ".join(f"round({e}, 6) AS {c}" for c, e in _scale(_SCALED).items())} FROM wide""",
         "parquet_scan": (
             'SELECT event_id, user_id AS placa, ts AS "timestamp", event_type, value FROM events'
         ),

@@ -6,7 +6,9 @@ from the value and the event id, so that any SQL engine can derive the same traj
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,23 +33,33 @@ from fixtrail.functions.calendar import (
 )
 from fixtrail.functions.quantiles import exact_percentiles
 from fixtrail.operators import hbos, recurrent
-from fixtrail.operators.evaluate import compare_labels, confusion_counts
+from fixtrail.operators.evaluate import compare_labels, compare_with_reference, confusion_counts
 from fixtrail.operators.features import build_features, scaled_features
-from fixtrail.operators.iforest import IsolationForest, isolation_labels
+from fixtrail.operators.iforest import IsolationForest, isolation_labels, walk_forest
 from fixtrail.operators.kinematics import LOOKBACK, with_kinematics
 from fixtrail.operators.lookback import entity_frames
-from fixtrail.operators.onehot import categories, with_one_hot
+from fixtrail.operators.onehot import categories, with_category_index, with_one_hot
 from fixtrail.operators.profile import (
+    approximate_entities,
     categorical_describe,
     column_profile,
     dataset_profile,
     entities_per_region,
+    entity_sketches,
+    merged_sketches,
     numeric_describe,
 )
 from fixtrail.operators.recurrent_cells import Architecture
 from fixtrail.operators.rowindex import is_train, temporal_split, with_row_id
 from fixtrail.operators.scaler import StandardScaler
-from fixtrail.operators.scenarios import Scenario, at_window_end, write_back
+from fixtrail.operators.scenarios import (
+    Scenario,
+    at_window_end,
+    has_member,
+    membership_bits,
+    scenario_grid,
+    write_back,
+)
 from fixtrail.operators.staging import scratch_root, stage
 from fixtrail.operators.thresholds import (
     Threshold,
@@ -67,13 +79,18 @@ from fixtrail.operators.windows import (
     with_window_flags,
 )
 from fixtrail.plans.experiment import run_experiment
+from fixtrail.plans.reports import REGION_FILE, write_region_report
 from fixtrail.sources.sinks import (
     family_metrics,
     family_results,
+    publish,
+    published_run,
+    write_compiled_families,
     write_csv,
     write_family_metrics,
+    write_family_results,
 )
-from fixtrail.sources.tables import read_families, read_table, standardize
+from fixtrail.sources.tables import read_csv, read_families, read_table, standardize
 
 EVENT = "event_id"
 WINDOW, GAP_SECONDS = 3, 43_200
@@ -214,12 +231,33 @@ def standardize_sightings(spark, folder):
 @query
 def csv_scan(spark, folder):
     """Sightings written as CSV and read back without schema inference."""
-    path = f"{scratch_root(spark)}/csv-{spark.range(1).select(F.uuid()).first()[0]}"
+    path = f"{scratch_root(spark)}/csv-{uuid.uuid4().hex}"
     write_csv(sightings(spark, folder), path)
     back = standardize(read_table(spark, path), {})
     return back.select(F.col(EVENT).cast("long"), F.col(ENTITY).cast("long"), TIME, LAT, LON, REGION)
 
 
+@query
+def csv_scan_quoted(spark, folder):
+    """Texts with separators, quotes and line breaks written as CSV and read back."""
+    path = f"{scratch_root(spark)}/csv-{uuid.uuid4().hex}"
+    awkward = F.concat(F.lit(' "'), F.col("source"), F.lit('",\n'), F.col("text"), F.lit('\\"\r\n, '))
+    write_csv(_table(spark, folder, "documents").select("doc_id", awkward.alias("text"), "lang"), path)
+    back = read_csv(spark, path)
+    return back.select(F.col("doc_id").cast("long"), "text", "lang")
+
+
+@query
+def timestamps_of_patterns(spark, folder):
+    """Order dates as text of three patterns in one column."""
+    day = F.col("o_orderdate")
+    rest = F.col("o_orderkey") % 3
+    text = F.when(rest == 0, day.cast("string")).when(rest == 1, F.date_format(day, "dd/MM/yyyy HH:mm"))
+    text = text.otherwise(F.date_format(day, "yyyyMMdd HHmmss"))
+    raw = _table(spark, folder, "orders").select("o_orderkey", "o_custkey", text.alias("quando"))
+    return standardize(raw, {"o_custkey": ENTITY, "quando": TIME}, time_patterns=["dd/MM/yyyy HH:mm", "yyyyMMdd HHmmss"])
+
+
 @query
 def parquet_scan(spark, folder):
     return standardize(
@@ -256,6 +294,13 @@ def region_one_hot(spark, folder):
     return with_one_hot(df, categories(df))
 
 
+@query
+def one_hot_index(spark, folder):
+    """Names of parts, far more than named columns would allow, as numbers of a sorted list."""
+    parts = _table(spark, folder, "part").select("p_partkey", "p_name")
+    return with_category_index(parts, "p_name", "indice", vector=None)
+
+
 def _rounded_motion(df: DataFrame) -> DataFrame:
     return df.select(
         EVENT,
@@ -301,6 +346,37 @@ def vehicles_per_region(spark, folder):
     return entities_per_region(sightings(spark, folder))
 
 
+@query
+def vehicles_per_region_sketched(spark, folder):
+    """Sketches by region and day, merged by region: is the estimate within five standard errors (or one) of the exact count?"""
+    df = sightings(spark, folder).withColumn("day", F.to_date(TIME))
+    merged = merged_sketches(entity_sketches(df, (REGION, "day")), (REGION,))
+    both = approximate_entities(merged, "about").join(entities_per_region(df), REGION)
+    error = F.abs(F.col("about") - F.col("veiculos"))
+    near = error <= F.greatest(F.lit(1.0), F.col("veiculos") * (5 * 1.04 / 64))
+    return both.select(REGION, "veiculos", near.alias("near"))
+
+
+@query
+def regions_written(spark, folder):
+    """Orders per customer as one JSON object, written sorted and read back."""
+    root = f"{scratch_root(spark)}/regions-{uuid.uuid4().hex}"
+    orders = _table(spark, folder, "orders")
+    named = orders.select(F.concat(F.lit('cliente "'), "o_custkey", F.lit('"')).alias(REGION), F.col("o_orderkey").alias(ENTITY))
+    write_region_report(named, root)
+    member = F.concat(F.lit("{"), F.regexp_extract("value", r"^[{,](.*?)\}?$", 1), F.lit("}"))
+    lines = spark.read.text(f"{root}/{REGION_FILE}").select(F.from_json(member, "map<string,bigint>").alias("m"))
+    return lines.select(F.explode("m").alias(REGION, "veiculos"))
+
+
+@query
+def columns_with_nan(spark, folder):
+    """NaN counts as null in the column profile."""
+    discount = F.when(F.col("l_discount") == 0, F.lit(float("nan"))).otherwise(F.col("l_discount"))
+    tax = F.when(F.col("l_tax") > 0, F.col("l_tax"))
+    return column_profile(_table(spark, folder, "lineitem").select("l_orderkey", discount.alias("l_discount"), tax.alias("l_tax")))
+
+
 @query
 def columns_of_lineitem(spark, folder):
     return column_profile(_table(spark, folder, "lineitem"))
@@ -407,7 +483,7 @@ def model_roundtrip(spark, folder):
     """Scaler and histograms saved as tables, loaded again, then used for scoring."""
     features, _ = _indexed_features(spark, folder)
     wanted = [*scaled_features(features.columns), "hora"]
-    root = f"{scratch_root(spark)}/models-{spark.range(1).select(F.uuid()).first()[0]}"
+    root = f"{scratch_root(spark)}/models-{uuid.uuid4().hex}"
     StandardScaler.fit(features.where("is_train"), wanted).rounded(10).save(spark, f"{root}/scaler")
     fitted = StandardScaler.load(spark, f"{root}/scaler")
     scaled = _without_hour(fitted).transform(features)
@@ -535,6 +611,25 @@ def scenario_masks(spark, folder):
     )
 
 
+@query
+def grid_masks(spark, folder):
+    """Rows of every scenario of a grid, counted from the bit sets that training uses."""
+    labelled, _ = _labelled(spark, folder)
+    grid = scenario_grid(list(MODELS), list(MODELS))
+    bits = membership_bits([s.mask(F.col("is_train")) for s in grid])
+    counts = labelled.select(bits.alias("bits")).agg(*[F.count_if(has_member(F.col("bits"), i)).alias(f"n{i}") for i in range(len(grid))])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(s.name).alias("cenario"), F.col(f"n{i}").alias("linhas")) for i, s in enumerate(grid)])))
+
+
+@query
+def comparison_with_reference(spark, folder):
+    """All labels against the reference label, the last isolation label at the 95th percentile."""
+    items = _walked(spark, folder).select(F.round("score", 9).alias("ISO_walk_score"), "l_extendedprice", "l_quantity")
+    items = stage(items, "walked")
+    scores = {"ISO_walk": "ISO_walk_score", "ISO_price": "l_extendedprice", "HBOS_quantity": "l_quantity"}
+    return compare_with_reference(with_labels(items, calibrate(items, scores, [90, 95]), scores))
+
+
 @query
 def model_comparison(spark, folder):
     labelled, found = _labelled(spark, folder)
@@ -571,7 +666,7 @@ def metrics_of_family(spark, folder):
 def family_files_compiled(spark, folder):
     """Metrics written per family and compiled again from the files."""
     labelled, found = _labelled(spark, folder)
-    root = f"{scratch_root(spark)}/reports-{spark.range(1).select(F.uuid()).first()[0]}"
+    root = f"{scratch_root(spark)}/reports-{uuid.uuid4().hex}"
     metrics = threshold_metrics(labelled, found)
     write_csv(metrics.where("Model = 'HBOS_bins10'"), f"{root}/describe_HBOS_a.csv")
     slim = metrics.where("Model = 'HBOS_bins20'").drop("Pct_Dataset")
@@ -592,6 +687,98 @@ def family_files_compiled(spark, folder):
     )
 
 
+@query
+def families_written(spark, folder):
+    """Result files of a family stacked, written as one table and read back."""
+    labelled, found = _labelled(spark, folder)
+    root = f"{scratch_root(spark)}/compiled-{uuid.uuid4().hex}"
+    metrics = threshold_metrics(labelled, found)
+    write_csv(metrics.where("Model = 'HBOS_bins10'"), f"{root}/describe_HBOS_a.csv")
+    write_csv(metrics.where("Model = 'HBOS_bins20'").drop("Pct_Dataset"), f"{root}/describe_HBOS_b.csv")
+    (path,) = write_compiled_families(spark, f"{root}/describe_*.csv", root)
+    columns = {"Percentile": "int", "Anomalies_Detected": "long", "Pct_Dataset": "double"}
+    return read_table(spark, path).select("Model", *[F.col(c).cast(t).alias(c) for c, t in columns.items()])
+
+
+@query
+def sinks_read_back(spark, folder):
+    """Results of a family published as a whole run, twice, and read through the manifest."""
+    labelled, _ = _labelled(spark, folder)
+    root = f"{scratch_root(spark)}/published-{uuid.uuid4().hex}"
+    publish(spark, root, lambda run: write_family_results(labelled.limit(0), run))
+    publish(spark, root, lambda run: write_family_results(labelled, run))
+    back = read_table(spark, f"{published_run(spark, root)}/hbos_results.csv")
+    kinds = {c: "int" if c.endswith("_label") else "double" for c in back.columns} | {ENTITY: "long", TIME: "timestamp_ntz"}
+    typed = back.select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()])
+    return typed.withColumns({c: F.round(c, 6) for c in typed.columns if c.endswith("_score")})
+
+
+# --- trees as tables -----------------------------------------------------------------------
+
+FOREST_FEATURES = ("l_quantity", "l_extendedprice", "l_discount")
+FOREST_SAMPLE = 256
+#: A small forest written out: (tree, node, feature, threshold, left, right, path); a leaf points at itself.
+FOREST_NODES = (
+    (0, 0, 1, 30000.5, 1, 2, 0.0),
+    (0, 1, 0, 20.0, 3, 4, 0.0),
+    (0, 2, 2, 0.05, 5, 6, 0.0),
+    (0, 3, 0, float("inf"), 3, 3, 9.25),
+    (0, 4, 0, float("inf"), 4, 4, 8.5),
+    (0, 5, 0, float("inf"), 5, 5, 6.75),
+    (0, 6, 0, float("inf"), 6, 6, 4.0),
+    (1, 0, 2, 0.02, 1, 2, 0.0),
+    (1, 1, 0, float("inf"), 1, 1, 5.5),
+    (1, 2, 0, 45.0, 3, 4, 0.0),
+    (1, 3, 1, 10000.0, 5, 6, 0.0),
+    (1, 4, 0, float("inf"), 4, 4, 2.0),
+    (1, 5, 0, float("inf"), 5, 5, 7.0),
+    (1, 6, 0, float("inf"), 6, 6, 10.5),
+    (2, 0, 0, float("inf"), 0, 0, 11.0),
+)
+_NODES = "tree int, node int, feature int, threshold double, left int, right int, path double"
+
+
+def _walked(spark: SparkSession, folder: str) -> DataFrame:
+    nodes = spark.createDataFrame(list(FOREST_NODES), _NODES)
+    return walk_forest(_table(spark, folder, "lineitem"), nodes, FOREST_FEATURES, FOREST_SAMPLE)
+
+
+@query
+def forest_walk(spark, folder):
+    """Every line item through a forest given as a table of nodes, inside the JVM, with labels."""
+    scored = isolation_labels(_walked(spark, folder), "score")
+    return scored.select("l_orderkey", "l_linenumber", F.round("path", 9).alias("path"), F.round("score", 9).alias("score"), "label")
+
+
+@query
+def forest_invariants(spark, folder):
+    """What holds for any forest grown here, whatever its random numbers."""
+    features, split = _indexed_features(spark, folder)
+    features = features.withColumn("velocidade_kmh", F.when(F.col(EVENT) % 50 != 0, F.col("velocidade_kmh")))
+    wanted = features_for_model("isolation_forest", features.columns)
+    train = features.where("is_train").fillna(0.0, subset=wanted)
+    forest = IsolationForest.fit(train, split.train_size, wanted, 20, CONFIG.seed)
+    nodes = forest.to_df(spark)
+    leaf = F.col("left") == F.col("node")
+    per_tree = nodes.groupBy("tree").agg(
+        F.count_if(leaf).alias("leaves"), F.count_if(~leaf).alias("inner"), F.sum(F.when(leaf, F.col("size"))).alias("points")
+    )
+    trees = per_tree.agg(
+        F.count(F.lit(1)).alias("trees"),
+        F.count_if(F.col("leaves") == F.col("inner") + 1).alias("binary_trees"),
+        F.count_if(F.col("points") == forest.sample_size).alias("full_trees"),
+    )
+    walked = walk_forest(forest.with_scores(features, {20: "vector"}), nodes, wanted, forest.sample_size)
+    same = F.col("vector").eqNullSafe(F.col("score")) | (F.abs(F.col("vector") - F.col("score")) < 1e-12)
+    rows = walked.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~F.coalesce(same, F.lit(False))).alias("walks_differ"),
+        F.count("score").alias("scored"),
+        F.count_if((F.col("score") <= 0) | (F.col("score") > 1)).alias("out_of_range"),
+    )
+    return rows.select("*", *[trees.select(c).scalar().alias(c) for c in trees.columns])
+
+
 # --- seeded models -------------------------------------------------------------------------
 
 
@@ -638,6 +825,15 @@ def master_table(spark, folder):
     return run_experiment(sightings(spark, folder), CONFIG, ties=[EVENT]).master
 
 
+@query
+def master_fixed_part(spark, folder):
+    """What an end-to-end run gives besides random models: order, calendar and standardised features."""
+    config = replace(CONFIG, isolation_trees=(5,), histogram_bins=(10,), epochs=1)
+    master = run_experiment(sightings(spark, folder), config, ties=[EVENT]).master
+    motion = ("velocidade_kmh", "dist_m", "aceleracao", "hora_sin", "hora_cos", "dia_sem", "eh_feriado")
+    return master.select(EVENT, ROW_ID, ENTITY, "hora", "dia_semana", *[F.round(c, 6).alias(c) for c in motion])
+
+
 @query
 def flagged_sightings(spark, folder):
     """Sightings whose histogram score reaches the 99th percentile of the training part."""

@@ -38,14 +38,27 @@ def write_base_report(df: DataFrame, folder: str) -> None:
         write_csv(numeric_describe(df), f"{folder}/{NUMBERS_FILE}")
 
 
-def write_region_report(df: DataFrame, folder: str, limit: int = 10_000) -> None:
-    """One JSON object: region -> distinct entities. More than ``limit`` regions is an error."""
+def region_records(df: DataFrame) -> DataFrame:
+    """Lines that make one JSON object, region -> distinct entities, one after another in the order of the regions.
+
+    The regions are sorted over ranges; the two ends of the order open and close the object, so no task holds
+    all of it. Without any region it is the empty object.
+    """
+    counted = stage(entities_per_region(df), "regions")
+    ends = counted.agg(F.min(REGION).alias("first"), F.max(REGION).alias("last")).first()
+    if ends["first"] is None:
+        return df.sparkSession.createDataFrame([("{}",)], "value string")
+    # the key as a JSON string: an object of it alone, without its braces and value
+    key = F.regexp_replace(F.to_json(F.create_map(F.col(REGION).cast("string"), F.lit(0))), r"^\{(.*):0\}$", "$1")
+    opening = F.when(F.col(REGION) == F.lit(ends["first"]), F.lit("{")).otherwise(F.lit(","))
+    closing = F.when(F.col(REGION) == F.lit(ends["last"]), F.lit("}")).otherwise(F.lit(""))
+    line = F.concat(opening, key, F.lit(":"), F.col("veiculos").cast("string"), closing)
+    return counted.orderBy(REGION).select(line.alias("value"))
+
+
+def write_region_report(df: DataFrame, folder: str) -> None:
+    """One JSON object, a line for each region; the part files follow one another in the order of their names."""
     if not {REGION, ENTITY} <= set(df.columns):
         warnings.warn(f"no report without the columns {REGION} and {ENTITY}", stacklevel=2)
         return
-    counted = stage(entities_per_region(df), "regions")
-    if counted.count() > limit:
-        raise ValueError(f"{REGION} has more than {limit} distinct values")
-    pairs = F.sort_array(F.collect_list(F.struct(REGION, "veiculos")))  # at most ``limit``
-    document = counted.agg(F.to_json(F.map_from_entries(pairs)).alias("value"))
-    document.write.mode("overwrite").text(f"{folder}/{REGION_FILE}")
+    region_records(df).write.mode("overwrite").text(f"{folder}/{REGION_FILE}")
