@@ -30,11 +30,15 @@ def _hadoop(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name on shared storage, removed with its scope or the application."""
+def scratch_folder(spark: SparkSession, name: str, outlives: bool = False) -> str:
+    """A new folder name on shared storage, removed with its scope or the application.
+
+    With ``outlives`` it belongs to the scope around the innermost one.
+    """
     path = f"{scratch_root(spark)}/fixtrail/{uuid.uuid4().hex}/{name}"
-    if _scopes:
-        _scopes[-1].append(path)
+    scopes = _scopes[:-1] if outlives else _scopes
+    if scopes:
+        scopes[-1].append(path)
     target, system = _hadoop(spark, path)
     system.deleteOnExit(target.getParent())
     return path
@@ -59,10 +63,10 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
             remove_folder(spark, path)
 
 
-def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Materialise ``df`` as Parquet and return a scan over the result."""
+def stage(df: DataFrame, name: str, partition_by: Sequence[str] = (), outlives: bool = False) -> DataFrame:
+    """Materialise ``df`` as Parquet and return a scan over the result; ``outlives`` as in ``scratch_folder``."""
     spark = df.sparkSession
-    path = scratch_folder(spark, name)
+    path = scratch_folder(spark, name, outlives)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
