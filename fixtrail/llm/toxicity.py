@@ -72,7 +72,7 @@ _YOU = frozenset(
 )
 _DISGUISE = str.maketrans("013457@$!|€", "oieastasiie")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
-_INSIDE = re.compile(r"[^\W\d_][*@$#!|\d]+[^\W\d_]")
+_INSIDE = re.compile(r"[^\W\d_][*@$#!|\d]+[^\W\d_]|^[@$|\d][^\W\d_]{2}")
 _LONG_RUN = re.compile(r"([^\W\d_])\1\1")
 
 TRAITS = (
@@ -110,6 +110,12 @@ class Words:
         self._buffer = np.empty((4096, len(TRAITS)), np.float32)
 
     def _traits(self, word: str) -> tuple[float, ...]:
+        start = word[:-1] if word[-1] in ".," else word
+        if len(start) > 2 and start.isalpha() and start.islower() and not _LONG_RUN.search(start):  # most words
+            weight = max((self._lexicon.get(e, 0.0) for e in entries(start)), default=0.0)
+            marks = len(word) - len(start)
+            known = (start in _YOU, start in _INSULTS, start in _CURSES, start in _THREATS)
+            return (len(start), 0, False, 0, 0, marks, 0, False, False, False, *known, weight > 0, weight > 3, weight)
         base = plain(word)
         letters = sum(map(str.isalpha, word))
         capitals = sum(map(str.isupper, word))
@@ -254,11 +260,13 @@ def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = TREES,
 
 def isotonic(score: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weighted isotonic regression by pooling of neighbours: scores and the shares between which to interpolate."""
-    order = np.argsort(score, kind="stable")
+    levels, at = np.unique(score, return_inverse=True)
+    mass = np.bincount(at, weight, len(levels))
+    mean = np.bincount(at, weight * y, len(levels)) / mass
     blocks: list[list[float]] = []  # share, weight, lowest and highest score
-    for s, v, w in zip(score[order].tolist(), y[order].tolist(), weight[order].tolist(), strict=True):
+    for s, v, w in zip(levels.tolist(), mean.tolist(), mass.tolist(), strict=True):
         blocks.append([v, w, s, s])
-        while len(blocks) > 1 and (blocks[-2][0] >= blocks[-1][0] or blocks[-2][3] == blocks[-1][2]):
+        while len(blocks) > 1 and blocks[-2][0] >= blocks[-1][0]:
             v1, w1, _, high = blocks.pop()
             v0, w0, low, _ = blocks.pop()
             blocks.append([(v0 * w0 + v1 * w1) / (w0 + w1), w0 + w1, low, high])
