@@ -1,21 +1,22 @@
 """Similarity join of documents by the Jaccard similarity of their word n-grams.
 
 Two sets of similarity ``t`` share their rarest tokens: ordered from rare to frequent, the first
-``n - ceil(t n) + l`` tokens of both have ``l`` in common. Every document chooses its own ``l``: one,
-and more the more candidates its prefix is expected to meet, so costly prefixes are longer and
-a pair has to share the smaller of both ``l`` before it is verified. Verification compares whole sets.
-
-1. Equal sets are one class; only classes are compared, and copies are members.
-2. All tokens are counted in a fixed number of cells by hash, which is what gives the order from rare to
-   frequent and what is broadcast. A cell is never below the count of its tokens, so the first
-   tokens of a set are rare ones however full the cells are. Any order all agree on is correct.
-3. Prefixes are posted by token. Tokens of a single class are dropped.
-4. Classes that share a token are first compared with a few pivots of its list, which is linear in its length,
-   in a few rounds (in the first with those met most often); the links found join most of a group of near copies into one component.
-5. Lists that still hold several components give all pairs across components whose prefixes can share enough
-   tokens, by a bit map first and then exactly. So no link between components is missed, and
-   pairs that are already connected are never made.
-6. Components of all links; a component is named by its smallest doc_id.
+``n - ceil(t n) + l`` tokens of both have ``l`` in common. Every document chooses its own ``l``: its prefix is lengthened
+until the candidates it is expected to meet that often fall under a target, and a pair has to share the smaller of
+both ``l`` before it is verified. Tokens of the shortest prefix (``l = 1``) are keys, as any linked pair shares one of them; the
+longer prefix is for counting only, so that lengthening never adds frequent keys. Verification compares whole sets.
+
+1. One pass reads the texts: equal sets are one class, and all tokens are counted in a fixed number of cells by
+   hash, which gives the order from rare to frequent and is what is broadcast. Only classes are compared, copies are
+   members. Any order all agree on is correct.
+2. A second pass writes the prefix of every class. Its keys are grouped with map-side sums that hold all of a
+   list of up to three classes; only keys of longer lists are shuffled once more.
+3. Every class is first compared with the one class it meets in most lists (in a longer list, with a few pivots), then, where
+   lists still hold several components, with a few more pivots. These links join most of a group of near copies.
+4. Lists that still hold several components give all pairs across components, each pair once, at the first key both
+   have: no earlier key may be common, and what is left of both sets behind that key has to be enough. So no link between
+   components is missed, and pairs that are already connected are never made.
+5. Components of all links; a component is named by its smallest doc_id.
 
 Sets are 64-bit hashes of the n-grams; a class is known by 64 bits of a hash of its set. Words are
 ASCII-lowered runs without white space. A text with fewer words than the n-gram is one token. Texts
@@ -36,19 +37,21 @@ from pyspark.sql import functions as F
 
 from fixtrail.llm.components import components
 from fixtrail.llm.words import WordHashes, mixed, shingle_hashes, words_of
-from fixtrail.operators.staging import stage
+from fixtrail.operators.staging import stage, staging_scope
 
 #: Tokens are counted in 2^CELL_BITS cells by hash: 16 MB in all, sent in rows of CELLS_PER_ROW.
 CELL_BITS = 23
 CELLS_PER_ROW = 1 << 16
-#: Expected candidates of a prefix up to which one shared token is enough; twice as many ask for one more.
-CHEAP = 64
+#: Expected candidates of a document that its prefix is lengthened for.
+TARGET = 16
+#: The most shared tokens that a prefix is lengthened for.
+MOST_SHARED = 64
 PIVOTS = 3
-#: Rounds of comparing lists with pivots, by the number of pivot orders among the lists.
-SPREADS = (1, 8)
-#: Pivots that a class tries in the first round: those it meets in most lists. Later steps have no such bound,
-#: so this decides how a link is found, never whether.
-FIRST_TRIES = 4
+#: Rounds of comparing classes with those they meet most often: pivot orders among the lists, and partners that
+#: a class tries. The last step has no such bound, so this decides how a link is found, never whether.
+ROUNDS = ((1, 1), (8, 4))
+#: Bits of a map by which rows that can't be wanted are left out before a shuffle: 8 MB, whatever the input.
+MARK_BITS = 26
 #: Tokens that a task counts at once.
 TOKENS_HELD = 8_000_000
 
@@ -72,14 +75,20 @@ class Order:
         return np.minimum(np.log2(1.0 + counts) * 2048, 65535).astype(np.uint16)
 
     def prefix(self, tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
-        """The document's prefix and how many of its tokens a partner has to share."""
+        """The document's prefix and how many of its tokens a partner has to share.
+
+        Documents met ``l`` times make up ``l`` of all meetings each, so there are at most meetings / l of them.
+        """
         level = self._levels[tokens >> np.uint64(64 - CELL_BITS)]
         order = np.lexsort((mixed(tokens), level))
         least = int(_ceil_share(len(tokens), percent))
-        first = level[order[: len(tokens) - least + 1]]
-        cost = np.maximum(np.exp2(first / 2048.0) - 2.0 - self._usual, 0.0).sum()
-        shared = min(1 + int(np.log2(1 + cost / CHEAP)), least)
-        return tokens[order[: len(tokens) - least + shared]], shared
+        base = len(tokens) - least + 1
+        most = min(least, MOST_SHARED)
+        meetings = np.cumsum(np.maximum(np.exp2(level[order[: base + most - 1]] / 2048.0) - 2.0 - self._usual, 0.0))
+        candidates = meetings[base - 1 :] / np.arange(1, most + 1)
+        few = np.flatnonzero(candidates <= TARGET)
+        shared = int(few[0] if len(few) else candidates.argmin()) + 1
+        return tokens[order[: base + shared - 1]], shared
 
 
 def _row_key() -> Column:
@@ -90,41 +99,15 @@ def _signature(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
-def _signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, row_key, class (null without words), n_shingles of every row."""
+def _read_once(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, row_key, class (null without words) and n_shingles of every row; besides, rows with block and cells only.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            names, sizes = [], []
-            for text in batch["text"]:
-                tokens = shingle_hashes(hashes(words_of(text.as_py())), size)
-                names.append(_signature(tokens) if len(tokens) else None)
-                sizes.append(len(tokens))
-            columns = [batch["doc_id"], batch["row_key"], pa.array(names, pa.int64()), pa.array(sizes, pa.int64())]
-            yield pa.record_batch(columns, ["doc_id", "row_key", "class", "n_shingles"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, row_key long, class long, n_shingles long")
-
-
-def _each_set(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(class, tokens) of every set, once a partition."""
-    hashes, seen = WordHashes(), set()
-    for batch in batches:
-        for text in batch["text"]:
-            tokens = shingle_hashes(hashes(words_of(text.as_py())), size)
-            if len(tokens):
-                name = _signature(tokens)
-                if name not in seen:
-                    seen.add(name)
-                    yield name, tokens
-
-
-def _token_order(docs: DataFrame, size: int, total: int) -> Order:
-    """Counts of all tokens of all sets in 2^CELL_BITS cells; what reaches the driver has this fixed size."""
+    The latter count the tokens of a partition's sets in 2^CELL_BITS cells, a fixed number of bytes.
+    """
+    names = ["doc_id", "row_key", "class", "n_shingles", "block", "cells"]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, seen = WordHashes(), set()
         cells = np.zeros(1 << CELL_BITS, np.uint16)
         held: list[np.ndarray] = []
         n = 0
@@ -133,18 +116,36 @@ def _token_order(docs: DataFrame, size: int, total: int) -> Order:
             at, times = np.unique(np.concatenate(held) >> np.uint64(64 - CELL_BITS), return_counts=True)
             cells[at] += np.minimum(times, 65535 - cells[at]).astype(np.uint16)
 
-        for _, tokens in _each_set(batches, size):
-            held.append(tokens)
-            n += len(tokens)
-            if n > TOKENS_HELD:
-                add()
-                held, n = [], 0
+        for batch in batches:
+            classes, sizes = [], []
+            for text in batch["text"]:
+                tokens = shingle_hashes(hashes(words_of(text.as_py())), size)
+                sizes.append(len(tokens))
+                classes.append(_signature(tokens) if len(tokens) else None)
+                if len(tokens) and classes[-1] not in seen:
+                    seen.add(classes[-1])
+                    held.append(tokens)
+                    n += len(tokens)
+                    if n > TOKENS_HELD:
+                        add()
+                        held, n = [], 0
+            nothing = [pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())]
+            columns = [batch["doc_id"], batch["row_key"], pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()), *nothing]
+            yield pa.record_batch(columns, names)
         if held:
             add()
-        blocks = [zlib.compress(x.tobytes(), 1) for x in cells.reshape(-1, CELLS_PER_ROW)]
+        blocks = [zlib.compress(x.tobytes(), 1) for x in cells.reshape(-1, CELLS_PER_ROW)] if seen else []
         for k in range(0, len(blocks), 32):
             some = blocks[k : k + 32]
-            yield pa.record_batch([pa.array(range(k, k + len(some)), pa.int32()), pa.array(some, pa.binary())], ["block", "cells"])
+            nothing = [pa.nulls(len(some), pa.int64())] * 4
+            yield pa.record_batch([*nothing, pa.array(range(k, k + len(some)), pa.int32()), pa.array(some, pa.binary())], names)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, row_key long, class long, n_shingles long, block int, cells binary")
+
+
+def _token_order(parts: DataFrame, total: int) -> Order:
+    """The order by the counts of all partitions; what reaches the driver has a fixed size."""
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -158,7 +159,6 @@ def _token_order(docs: DataFrame, size: int, total: int) -> Order:
         columns = [pa.array(list(sums), pa.int32()), pa.array([Order.level(x).tobytes() for x in sums.values()], pa.binary())]
         yield pa.record_batch(columns, ["block", "cells"])
 
-    parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "block int, cells binary")
     found = parts.repartition("block").mapInArrow(add_up, "block int, cells binary")
     levels = np.zeros((-(-(1 << CELL_BITS) // CELLS_PER_ROW), CELLS_PER_ROW), np.uint16)
     for row in stage(found, "token_cells").toLocalIterator():
@@ -166,163 +166,229 @@ def _token_order(docs: DataFrame, size: int, total: int) -> Order:
     return Order(levels.ravel(), total)
 
 
-def _postings(docs: DataFrame, order: Order, size: int, percent: int) -> DataFrame:
-    """token, class, n, shared, after (tokens behind the prefix) for every prefix token of every set (once a partition)."""
+def _prefixes(docs: DataFrame, order: Order, size: int, percent: int) -> DataFrame:
+    """class, n, shared and prefix (tokens from rare to frequent) of every set, once a partition."""
     shared_order = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, int, int, int, int]] = []
-        rows = 0
-
-        def batch_of() -> pa.RecordBatch:
-            lengths = [len(x[0]) for x in held]
-            columns = [
-                pa.array(np.concatenate([x[0] for x in held]).view(np.int64)),
-                *[pa.array(np.repeat(np.array([x[k] for x in held], np.int64), lengths)) for k in (1, 2, 3, 4)],
-            ]
-            return pa.record_batch(columns, ["token", "class", "n", "shared", "after"])
-
-        for name, tokens in _each_set(batches, size):
-            prefix, shared = shared_order.value.prefix(tokens, percent)
-            held.append((prefix, name, len(tokens), shared, len(tokens) - len(prefix)))
-            rows += len(prefix)
-            if rows > 100_000:
-                yield batch_of()
-                held, rows = [], 0
-        if held:
-            yield batch_of()
+        hashes, seen = WordHashes(), set()
+        for batch in batches:
+            names, sizes, needed, prefixes = [], [], [], []
+            for text in batch["text"]:
+                tokens = shingle_hashes(hashes(words_of(text.as_py())), size)
+                name = _signature(tokens) if len(tokens) else None
+                if name is None or name in seen:
+                    continue
+                seen.add(name)
+                prefix, shared = shared_order.value.prefix(tokens, percent)
+                names.append(name)
+                sizes.append(len(tokens))
+                needed.append(shared)
+                prefixes.append(prefix.view(np.int64))
+            ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
+            flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
+            columns = [pa.array(c, pa.int64()) for c in (names, sizes, needed)]
+            yield pa.record_batch([*columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["class", "n", "shared", "prefix"])
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "token long, class long, n long, shared long, after long")
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(run, "class long, n long, shared long, prefix array<long>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (x, y) whose whole sets are similar enough."""
-    both = (
-        pairs.join(texts.select(F.col("class").alias("x"), F.col("text").alias("text_x")), "x")
-        .join(texts.select(F.col("class").alias("y"), F.col("text").alias("text_y")), "y")
-        .select("x", "y", "text_x", "text_y")
-    )
+class Marks:
+    """A bit map of fixed size of some 64-bit hashes: tells which values certainly don't belong to them."""
+
+    def __init__(self, values: DataFrame) -> None:
+        """``values`` has one column of hashes; its 2^MARK_BITS cells reach the driver as at most that many bits."""
+        (name,) = values.columns
+        cells = values.select(F.shiftrightunsigned(F.xxhash64(name), 64 - MARK_BITS).alias("cell"))
+        bit = F.expr("shiftleft(1L, cast(cell & 63 as int))")
+        words = cells.select(F.shiftright("cell", 6).cast("int").alias("word"), bit.alias("bit"))
+        found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+        self.bits = np.zeros(1 << (MARK_BITS - 6), np.uint64)
+        self.bits[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+
+    def hit(self, hashed: np.ndarray) -> np.ndarray:
+        """``hashed``: xxhash64 of the values, as computed by Spark."""
+        cell = hashed.view(np.uint64) >> np.uint64(64 - MARK_BITS)
+        return (self.bits[cell >> np.uint64(6)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _marked(rows: DataFrame, column: str, marks: Marks) -> DataFrame:
+    """The rows whose value may belong to the marked ones."""
+    shared = rows.sparkSession.sparkContext.broadcast(marks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = shared.value.hit(batch["_hash"].to_numpy())
+            yield batch.drop_columns(["_hash"]).filter(pa.array(hit))
+
+    return rows.withColumn("_hash", F.xxhash64(column)).mapInArrow(run, rows.schema)
+
+
+def _whole_sets(docs: DataFrame, keys: DataFrame, size: int) -> DataFrame:
+    """class and tokens (sorted, as bytes) of the classes whose first row is among ``keys``; others may be there too."""
+    rows = docs.select(_row_key().alias("key"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            known: dict[int, np.ndarray] = {}
+            sets = [shingle_hashes(hashes(words_of(text.as_py())), size) for text in batch["text"]]
+            sets = [x for x in sets if len(x)]
+            columns = [pa.array([_signature(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
+            yield pa.record_batch(columns, ["class", "tokens"])
+
+    found = _marked(rows, "key", Marks(keys)).mapInArrow(run, "class long, tokens binary")
+    return found.groupBy("class").agg(F.any_value("tokens").alias("tokens"))
 
-            def tokens_of(name: int, text: pa.Scalar) -> np.ndarray:
-                if name not in known:  # noqa: B023
-                    known[name] = shingle_hashes(hashes(words_of(text.as_py())), size)  # noqa: B023
-                return known[name]  # noqa: B023
 
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y) whose whole sets are similar enough."""
+    both = pairs
+    for v in ("x", "y"):
+        both = both.join(sets.select(F.col("class").alias(v), F.col("tokens").alias(f"tokens_{v}")), v)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             kept = []
-            xs, ys = batch["x"].to_pylist(), batch["y"].to_pylist()
-            for k, (x, y) in enumerate(zip(xs, ys, strict=True)):
-                a, b = tokens_of(x, batch["text_x"][k]), tokens_of(y, batch["text_y"][k])
+            for k in range(batch.num_rows):
+                a, b = (np.frombuffer(batch[c][k].as_buffer(), np.uint64) for c in ("tokens_x", "tokens_y"))
                 common = len(np.intersect1d(a, b, assume_unique=True))
-                if 100 * common >= percent * (len(a) + len(b) - common):
-                    kept.append((x, y))
-            columns = list(zip(*kept, strict=True)) or [[], []]
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["x", "y"])
+                kept.append(100 * common >= percent * (len(a) + len(b) - common))
+            yield batch.select(["x", "y"]).filter(pa.array(kept, pa.bool_()))
 
-    return both.mapInArrow(run, "x long, y long")
+    return both.select("x", "y", "tokens_x", "tokens_y").mapInArrow(run, "x long, y long")
 
 
-def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame | None:
+def _links(docs: DataFrame, classes: DataFrame, parts: DataFrame, size: int, percent: int) -> DataFrame | None:
     """class, root of all classes that are linked with another."""
     total, sets = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     if sets < 2:
         return None
-    postings = _postings(docs, _token_order(docs, size, total), size, percent)
-    shared_tokens = (
-        postings.groupBy("token").agg(F.min("class").alias("a"), F.max("class").alias("b")).where(F.col("a") != F.col("b"))
+    prefixes = stage(_prefixes(docs, _token_order(parts, total), size, percent), "prefixes")
+    base = F.size("prefix") - F.col("shared").cast("int") + 1
+    keys = prefixes.select("class", F.posexplode(F.slice("prefix", F.lit(1), base)).alias("place", "token"))
+    lists = stage(
+        keys.groupBy("token")
+        .agg(F.count("*").alias("rows"), F.min("class").alias("a"), F.max("class").alias("b"), F.bit_xor("class").alias("all"))
+        .where(F.col("a") != F.col("b")),
+        "lists",
     )
-    live = stage(postings.join(shared_tokens.select("token"), "token", "left_semi").distinct(), "live_postings")
-    prefixes = stage(
-        live.groupBy("class").agg(F.collect_set("token").alias("tokens")), "live_prefixes",
+    # with up to three rows, smallest, largest and the sum of bits tell them all
+    three = F.array("a", "b", F.col("all").bitwiseXOR(F.col("a")).bitwiseXOR(F.col("b")))
+    short = lists.where("rows <= 3").select(three.alias("c"))
+    couple = lambda i, j: F.struct(F.least(F.col("c")[i], F.col("c")[j]).alias("x"), F.greatest(F.col("c")[i], F.col("c")[j]).alias("y"))
+    short_pairs = stage(
+        short.select(F.inline(F.array_distinct(F.array(couple(0, 1), couple(0, 2), couple(1, 2))))).where("x < y").groupBy("x", "y").count(),
+        "short_pairs",
     )
-    bits = [
-        F.coalesce(F.bit_or(F.when(F.shiftright("token", 6).bitwiseAND(3) == k, F.expr("shiftleft(1L, cast(token & 63 as int))"))), F.lit(0).cast("long"))
-        for k in range(4)
-    ]
-    marks = stage(
-        live.groupBy("class").agg(
-            F.count("*").alias("live"), *[b.alias(f"b{k}") for k, b in enumerate(bits)], *[F.first(c).alias(c) for c in ("n", "shared", "after")]
-        ),
-        "live_marks",
+    long_tokens = lists.where("rows > 3").select("token")
+    postings = stage(
+        _marked(keys, "token", Marks(long_tokens)).join(long_tokens, "token", "left_semi").dropDuplicates(["token", "class"]), "long_lists"
     )
-    keys = classes.join(prefixes.select("class"), "class", "left_semi").select("class", "key")
-    texts = stage(
-        docs.select(_row_key().alias("key"), F.col("text").cast("string").alias("text"))
-        .join(keys, "key").groupBy("class").agg(F.any_value("text").alias("text")),
-        "live_texts",
+    ends = short_pairs.select(F.col("x").alias("class")).unionAll(short_pairs.select(F.col("y").alias("class")))
+    live = stage(ends.unionAll(postings.select("class")).distinct(), "live_classes")
+    heads = stage(
+        _marked(prefixes, "class", Marks(live)).join(live, "class", "left_semi").groupBy("class").agg(
+            *[F.any_value(c).alias(c) for c in ("n", "shared", "prefix")]
+        ),
+        "live_prefixes",
     )
-
-    sized = ("n", "shared", "after", "live", "b0", "b1", "b2", "b3")
-    side = lambda v, columns: [F.col(c).alias(f"{c}_{v}") for c in columns]
+    whole = stage(_whole_sets(docs, classes.join(live, "class", "left_semi").select("key"), size), "live_sets")
 
     def alike(common: Column) -> Column:
         """Common tokens are in both prefixes or behind one of them, and have to make up the similarity."""
+        after = F.greatest(F.col("n_x") - F.col("length_x"), F.col("n_y") - F.col("length_y"))
         return (
             (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
             & (common >= F.least("shared_x", "shared_y"))
-            & ((100 + percent) * (common + F.greatest("after_x", "after_y")) >= percent * (F.col("n_x") + F.col("n_y")))
+            & ((100 + percent) * (common + after) >= percent * (F.col("n_x") + F.col("n_y")))
         )
 
-    # every mark that only one of both has is a token that only it has
-    only = lambda v, w: sum(F.bit_count(F.col(f"b{k}_{v}").bitwiseAND(F.bitwise_not(f"b{k}_{w}"))) for k in range(4))
-    at_most = F.least(F.col("live_x") - only("x", "y"), F.col("live_y") - only("y", "x"))
-
     def promising(pairs: DataFrame) -> DataFrame:
         """Pairs (x, y) whose prefixes share enough."""
         for v in ("x", "y"):
-            pairs = pairs.join(marks.select(F.col("class").alias(v), *side(v, sized)), v)
-        pairs = pairs.where(alike(at_most)).drop(*[f"{c}_{v}" for c in sized[3:] for v in "xy"])
-        for v in ("x", "y"):
-            pairs = pairs.join(prefixes.select(F.col("class").alias(v), F.col("tokens").alias(f"tokens_{v}")), v)
-        return pairs.where(alike(F.size(F.array_intersect("tokens_x", "tokens_y")))).select("x", "y")
+            side = [F.col(c).alias(f"{c}_{v}") for c in ("n", "shared", "prefix")]
+            pairs = pairs.join(heads.select(F.col("class").alias(v), F.size("prefix").alias(f"length_{v}"), *side), v)
+        return pairs.where(alike(F.size(F.array_intersect("prefix_x", "prefix_y")))).select("x", "y")
 
-    links, rooted = None, live.select("token", "class", F.col("class").alias("root"))
-    for spread in SPREADS:
+    links, groups = None, None
+    open_lists, open_pairs = postings.select("token", "class", F.col("class").alias("root")), short_pairs
+    for spread, tries in ROUNDS:
         # lists draw their pivots by one of ``spread`` orders, so a round tries a few pivots in all lists of a group
         order = [F.xxhash64("class", F.pmod("token", F.lit(spread)), F.lit(k)) for k in range(PIVOTS)]
-        pivots = rooted.groupBy("token").agg(
+        pivots = open_lists.groupBy("token").agg(
             *[F.min(F.struct(o, "class", "root")).getField(name).alias(f"{name}{k}") for k, o in enumerate(order) for name in ("class", "root")]
         )
         choices = F.array(*[F.struct(F.col(f"class{k}").alias("y"), F.col(f"root{k}").alias("s")) for k in range(PIVOTS)])
-        near = (
-            rooted.join(pivots, "token")
+        met = (
+            open_lists.join(pivots, "token")
             .select(F.col("class").alias("x"), F.filter(F.array_distinct(choices), lambda p: p["s"] != F.col("root")).alias("ps"))
             .where(F.size("ps") > 0)
             .groupBy("x", "ps")
             .count()
             .select("x", F.explode("ps.y").alias("y"), "count")
         )
-        if spread == SPREADS[0]:
-            met = near.groupBy("x", "y").agg(F.sum("count").alias("count"))
-            ranked = F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("less"), "y")))  # PIVOTS a token of x at most
-            near = met.groupBy("x").agg(F.slice(ranked, 1, FIRST_TRIES).alias("best")).select("x", F.explode("best.y").alias("y"))
-        near = (
-            near.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-            .distinct()
-        )
-        found = _verified(promising(near), texts, size, percent)
-        links = stage(found if links is None else links.unionAll(found), "pivot_links")
-        groups = stage(components(links), "pivot_components")
-        # only lists that hold several components go on
-        renamed = live.join(groups.select(F.col("node").alias("class"), "root"), "class", "left").select(
-            "token", "class", F.coalesce("root", "class").alias("root")
-        )
+        met = met.unionAll(open_pairs.select("x", "y", "count")).unionAll(open_pairs.select(F.col("y").alias("x"), F.col("x").alias("y"), "count"))
+        met = met.groupBy("x", "y").agg(F.sum("count").alias("count"))
+        ranked = F.struct((-F.col("count")).alias("less"), F.xxhash64("y").alias("h"), "y")
+        best = met.groupBy("x").agg(*[_nth(ranked, tries).alias("best")]).select("x", F.explode("best.y").alias("y"))
+        near = best.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        found = _verified(promising(near), whole, percent)
+        links = stage(found if links is None else links.unionAll(found), "links")
+        groups = stage(components(links), "groups").select(F.col("node").alias("class"), "root")
+        # only what lies across components goes on
+        renamed = postings.join(groups, "class", "left").withColumn("root", F.coalesce("root", "class"))
         several = renamed.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where(F.col("r") != F.col("s"))
-        rooted = stage(renamed.join(several.select("token"), "token", "left_semi"), "open_postings")
-
-    rest = rooted.join(marks, "class")
-    left = rest.select("token", F.col("class").alias("x"), F.col("root").alias("root_x"), *side("x", sized))
-    right = rest.select("token", F.col("class").alias("y"), F.col("root").alias("root_y"), *side("y", sized))
+        open_lists = stage(renamed.join(several.select("token"), "token", "left_semi"), "open_lists")
+        open_pairs = short_pairs
+        for v in ("x", "y"):
+            open_pairs = open_pairs.join(groups.select(F.col("class").alias(v), F.col("root").alias(f"root_{v}")), v, "left")
+        across = F.coalesce("root_x", "x") != F.coalesce("root_y", "y")
+        open_pairs = stage(open_pairs.where(across).select("x", "y", "count"), "open_pairs")
+
+    bits = [_bits_of("prefix", k).alias(f"b{k}") for k in range(4)]
+    rooted = open_lists.groupBy("class").agg(F.any_value("root").alias("root"), F.sort_array(F.collect_list(F.struct("place", "token"))).alias("keys"))
+    placed = rooted.join(heads.select("class", "n", "shared", F.size("prefix").alias("length"), *bits), "class").select(
+        "*", F.posexplode("keys").alias("at", "key")
+    )
+    placed = stage(
+        placed.select(
+            "class", "root", "n", "shared", "length", "b0", "b1", "b2", "b3", F.col("key.place").alias("place"), F.col("key.token").alias("token"),
+            F.slice(F.col("keys.token"), F.lit(1), F.col("at")).alias("before"),
+        ),
+        "open_postings",
+    )
+    kept = ["class", *[c for c in placed.columns if c not in ("class", "token")]]
+    left, right = (
+        placed.select(F.col("token").alias("token" if v == "x" else "token_y"), *[F.col(c).alias(v if c == "class" else f"{c}_{v}") for c in kept]) for v in ("x", "y")
+    )
+    # every mark that only one of both has is a token that only it has
+    only = lambda v, w: sum(F.bit_count(F.col(f"b{k}_{v}").bitwiseAND(F.bitwise_not(f"b{k}_{w}"))) for k in range(4))
+    at_most = F.least(F.col("length_x") - only("x", "y"), F.col("length_y") - only("y", "x"))
     # the shorter set on the left, so each pair is met in one direction
     ahead = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("x") < F.col("y")))
-    met = left.join(right, (left["token"] == right["token"]) & ahead & (F.col("root_x") != F.col("root_y")) & alike(at_most))
-    across = promising(met.select("x", "y").distinct())
-    last_links = _verified(across, texts, size, percent)
-    return components(links.unionAll(last_links)).select(F.col("node").alias("class"), "root")
+    behind = F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))  # this key and what may follow
+    enough = (100 + percent) * behind >= percent * (F.col("n_x") + F.col("n_y"))
+    first = ~F.arrays_overlap("before_x", "before_y")
+    met = left.join(right, (F.col("token") == F.col("token_y")) & ahead & (F.col("root_x") != F.col("root_y")) & enough & alike(at_most) & first)
+    last = promising(met.select("x", "y").unionAll(open_pairs.select("x", "y")).distinct())
+    return components(links.unionAll(_verified(last, whole, percent))).select(F.col("node").alias("class"), "root")
+
+
+def _bits_of(tokens: str, word: int) -> Column:
+    """One of four words of a bit map of the tokens of an array."""
+    nothing = F.lit(0).cast("long")
+
+    def mark(token: Column) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(63).cast("int"))
+        return F.when(F.shiftright(token, 6).bitwiseAND(3) == word, bit).otherwise(nothing)
+
+    return F.aggregate(tokens, nothing, lambda bits, token: bits.bitwiseOR(mark(token)))
+
+
+def _nth(ranked: Column, n: int) -> Column:
+    """An array of the ``n`` first structs of a group, with map-side selection."""
+    return F.array(F.min(ranked)) if n == 1 else F.slice(F.sort_array(F.collect_list(ranked)), 1, n)
 
 
 def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
@@ -330,17 +396,22 @@ def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFra
 
     ``row_key`` is xxhash64(doc_id, text); ``component_key`` is that of the component's first document.
     """
-    rows = stage(_signatures(docs, size), "signatures")
+    spark = docs.sparkSession
+    both = stage(_read_once(docs, size), "signatures")
+    rows = both.where(F.col("block").isNull()).select("doc_id", "row_key", "class", "n_shingles")
+    parts = both.where(F.col("block").isNotNull()).select("block", "cells")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("first")
     classes = stage(
         rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.first("n_shingles").alias("n"), F.min("row_key").alias("key"), first),
         "classes",
     )
-    linked = _links(docs, classes, size, percent)
+    with staging_scope(spark):
+        linked = _links(docs, classes, parts, size, percent)
+        if linked is not None:
+            linked = stage(linked, "components", outlives=True)
     if linked is None:
         named = classes.select("class", "first")
     else:
-        linked = stage(linked, "components")
         rooted = classes.join(linked, "class", "left").withColumn("root", F.coalesce("root", "class"))
         named = rooted.select("class", "root").join(rooted.groupBy("root").agg(F.min("first").alias("first")), "root").select("class", "first")
     out = rows.join(named, "class", "left")
