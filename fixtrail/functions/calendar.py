@@ -110,7 +110,7 @@ def holiday_table(
 def is_holiday(day: Column) -> Column:
     """Whether a date of any year is one of the fixed dates or Good Friday."""
     year, month, number = F.year(day), F.month(day), F.dayofmonth(day)
-    found = day == _good_friday(year)
+    found = month.isin(3, 4) & (day == _good_friday(year))  # worked out in its two months only
     for m, d, since in FIXED_HOLIDAYS:
         same = (month == m) & (number == d)
         # dates listed from the first year of the table have no known beginning

@@ -84,10 +84,10 @@ def entity_frames(
     if total_rows is not None and total_rows <= max_rows:
         return EntityFrames(df, (entity,), tuple(order), split=False)
     hot = df.groupBy(entity).agg(F.count(F.lit(1)).alias(_FIXES)).where(F.col(_FIXES) > max_rows)
+    if hot.isEmpty():
+        return EntityFrames(df, (entity,), tuple(order), split=False)
     hot = stage(hot, "hot_entities")
     hot_count = hot.count()  # at most rows / max_rows entities
-    if hot_count == 0:
-        return EntityFrames(df, (entity,), tuple(order), split=False)
 
     if ROW_ID not in df.columns:
         df = with_row_id(df, order_by=(TIME, entity), ties=[c for c in order if c != TIME]).rows

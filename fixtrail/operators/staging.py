@@ -1,8 +1,8 @@
 """Write an intermediate result once to shared storage and read it back.
 
 A staged table cuts lineage, survives the loss of executors, and gives later jobs column
-pruning and filter pushdown. Tables go below ``spark.checkpoint.dir`` of the session, or
-below the warehouse folder if that is unset; both are shared by the driver and the executors.
+pruning and filter pushdown. Tables go below ``spark.checkpoint.dir`` of the session, which the driver and the executors share. Only a local
+session may do without it; it uses its warehouse folder then.
 They are removed by the scope they were made in, or else at the end of the application.
 """
 
@@ -21,6 +21,8 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
@@ -63,11 +65,15 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
             remove_folder(spark, path)
 
 
-def stage(df: DataFrame, name: str, partition_by: Sequence[str] = (), outlives: bool = False) -> DataFrame:
+def stage(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), outlives: bool = False, compression: str | None = None
+) -> DataFrame:
     """Materialise ``df`` as Parquet and return a scan over the result; ``outlives`` as in ``scratch_folder``."""
     spark = df.sparkSession
     path = scratch_folder(spark, name, outlives)
     writer = df.write
+    if compression:
+        writer = writer.option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -49,7 +49,9 @@ def _without_surplus(raw: DataFrame, columns: int) -> DataFrame:
     """
     outside = F.regexp_replace(_RECORD, r'"(?:[^"]|"")*"', "")
     separators = F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit("")))
-    message = F.concat(F.lit(f"CSV record with more than {columns} cells: "), F.substring(_RECORD, 1, 200))
+    # with a cell in it, since Spark doesn't read the record's text alone
+    cell = F.coalesce(F.col(f"`{raw.columns[0]}`").cast("string"), F.lit(""))
+    message = F.concat(F.lit(f"CSV record with more than {columns} cells, beginning with "), cell, F.lit(": "), F.substring(_RECORD, 1, 200))
     ragged = F.when(separators >= columns, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
     return raw.where(F.col(_RECORD).isNull() | ragged).drop(_RECORD)
 

@@ -69,10 +69,13 @@ def test_csv_with_quotes_line_breaks_and_ragged_records(spark, tmp_path):
     (tmp_path / "short.csv").write_text('a,b,c\n1,2\n"x,\ny",5,6\n7\n')
     rows = read_csv(spark, str(tmp_path / "short.csv")).collect()
     assert {tuple(r) for r in rows} == {("1", "2", None), ("x,\ny", "5", "6"), ("7", None, None)}
+    assert read_csv(spark, str(tmp_path / "short.csv")).count() == 3
     for text in ("a,b\n1,2\n3,4,5\n", 'a,b\n"1,1",2,\n'):
         (tmp_path / "long.csv").write_text(text)
         with pytest.raises(Exception, match="more than 2 cells"):
             read_csv(spark, str(tmp_path / "long.csv")).select("b").collect()
+        with pytest.raises(Exception, match="more than 2 cells"):
+            read_csv(spark, str(tmp_path / "long.csv")).count()
     (tmp_path / "lines.csv").write_text("a,b\n1,2\n3,4\n")
     assert read_table(spark, str(tmp_path / "lines.csv"), schema="a int, b double", multi_line=False).collect() == [(1, 2.0), (3, 4.0)]
     (tmp_path / "header.csv").write_text("a,b\n")
