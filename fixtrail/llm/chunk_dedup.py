@@ -5,11 +5,16 @@ earlier document (smaller id) has word for word; repeats within one document sta
 words with one earlier document is a union of windows of exactly ``MIN_WORDS`` words, so the windows decide, and
 cuts begin and end with the real match.
 
-How candidates are found: a rolling hash is taken over every chunk of ``chunk_of(MIN_WORDS)`` words, and of all chunks within a
-window the one of the smallest hash is its anchor (winnowing). Equal windows have equal anchors, so every shared
-passage holds a shared anchor; about one word in 13 begins one. Only windows whose anchor is in
-more than one document are compared. Anchors and windows are known by 64-bit hashes of their words; white space between words doesn't
-count.
+How candidates are found: a gear hash rolls over the bytes of the text, its words set apart by single spaces. It has 16 bits
+and is shifted by one a byte, so it remembers 16 bytes, at most eight words. A word end is a boundary if its value is the least
+of some ``r`` successive word ends, so boundaries follow the content: an insertion moves them along and changes only those
+near it. Between boundaries lie chunks of 1 to ``r`` words, known by a digest of their words.
+
+Why no passage is missed: a boundary is decided by the words from ``r + 6`` before it to ``r - 1`` behind it, so within a window of ``MIN_WORDS`` words
+the boundaries of a middle part follow from the window alone, and ``r`` is chosen so that this part has at least
+``2 r`` word ends, two boundaries and so a whole chunk. The longest such chunk of a window is its anchor. Equal windows have equal anchors; only
+windows whose anchor is in more than one document are compared. Anchors and windows are known by 64-bit
+hashes of their words; white space between words doesn't count.
 
 How it runs: every task compares the anchors (later the windows) of its own rows first and sends on one row per
 distinct hash, so a passage that a third of all documents share is as many rows as there are
@@ -42,42 +47,88 @@ _HELD_ROWS = 2_000_000
 _SPAN = T.StructType([T.StructField(x, T.LongType()) for x in ("start", "length", "words")])
 _LAST = (1 << 63) - 1
 _FACTOR = 0x9E3779B97F4A7C15
+_GEAR_BITS = 16
+#: Words that a gear hash can remember: 16 bytes of single letters and the spaces before them.
+_MEMORY = _GEAR_BITS // 2
+_GEAR = (mixed(np.arange(1, 257, dtype=np.uint64)) & np.uint64(0xFFFF)).astype(np.uint16)
 _IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _ROWS = "key long, order long, place long, run int"
 
 
-def chunk_of(min_words: int) -> int:
-    return (min_words + 1) // 2
+def reach(min_words: int) -> int:
+    """Successive word ends of which the least is a boundary: the most with two boundaries in the middle of a window."""
+    if min_words < _MEMORY + 2:
+        raise ValueError(f"passages need at least {_MEMORY + 2} words")
+    return (min_words - _MEMORY + 2) // 4
 
 
-def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
-    """The hash of every run of ``width`` words, from sums of powers that end with the run."""
-    n = len(hashes)
-    if n < width:
-        return np.empty(0, np.uint64)
+def gear(words: list[bytes]) -> np.ndarray:
+    """The rolling hash at the end of every word, over the words with a space before each."""
+    text = np.frombuffer(b" " + b" ".join(words), np.uint8)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    value = _GEAR[text]
+    for span in (1, 2, 4, 8):  # from the last ``span`` bytes to twice as many
+        value[span:] += value[:-span] << np.uint16(span)
+    return value[ends]
+
+
+def boundaries(value: np.ndarray, r: int) -> np.ndarray:
+    """Word ends whose value is the least, and the first of equal ones, of some ``r`` successive ones."""
+    if len(value) < r:
+        return np.empty(0, np.int64)
+    least = np.lib.stride_tricks.sliding_window_view(value, r).argmin(1) + np.arange(len(value) - r + 1)
+    return least[np.append(True, least[1:] != least[:-1])]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the factor and of its inverse."""
+    up = np.full(n, _FACTOR, np.uint64)
+    down = np.full(n, pow(_FACTOR, -1, 1 << 64), np.uint64)
+    up[:1] = down[:1] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
+def runs_hashed(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash of the words from each start to before its end, from sums of powers that end with the run."""
     with np.errstate(over="ignore"):
-        up = np.full(n, _FACTOR, np.uint64)
-        down = np.full(n, pow(_FACTOR, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * np.cumprod(up))])
-        return mixed((total[width:] - total[:-width]) * np.cumprod(down)[: n - width + 1])
+        up, down = _powers(len(hashes) + 1)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[:-1])])
+        return mixed((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The hash of every run of ``width`` words."""
+    start = np.arange(max(0, len(hashes) - width + 1))
+    return runs_hashed(hashes, start, start + width)
 
 
 class Passages:
-    """Hashes of one text's chunks and windows; window k begins with word k and has its anchor at ``anchor[k]``."""
+    """Hashes of one text's chunks and windows; window k begins with word k."""
 
     def __init__(self, raw: bytes, hashes: WordHashes, min_words: int = MIN_WORDS) -> None:
         words = raw.split()
         self.count = max(0, len(words) - min_words + 1)
+        self._split = words if self.count else []
         self._words = hashes(words) if self.count else np.empty(0, np.uint64)
         self._min_words = min_words
 
-    def chunks(self) -> tuple[np.ndarray, np.ndarray]:
-        """The hash of every chunk and the anchor of every window."""
-        size = chunk_of(self._min_words)
-        chunks = rolling(self._words, size)
-        among = np.lib.stride_tricks.sliding_window_view(chunks, self._min_words - size + 1)
-        return chunks, among.argmin(axis=1) + np.arange(self.count)
+    def chunks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First word and digest of every chunk, and which chunk (or one of the same digest) is the anchor of each window."""
+        r = reach(self._min_words)
+        ends = boundaries(gear(self._split), r)
+        start, length = ends[:-1] + 1, np.diff(ends)
+        digest = runs_hashed(self._words, start, start + length)
+        # long chunks first, then by digest
+        rank = length.astype(np.uint64) << np.uint64(56) | digest >> np.uint64(8)
+        window = np.arange(self.count)
+        first = np.searchsorted(ends, window + _MEMORY + r - 2)
+        last = np.searchsorted(ends, window + self._min_words - r, side="right") - 1  # chunks from first to before last
+        fresh = np.append(True, (first[1:] != first[:-1]) | (last[1:] != last[:-1]))[: self.count]
+        pairs = np.column_stack([first[fresh], last[fresh]]).ravel()
+        best = np.maximum.reduceat(np.append(rank, np.uint64(0)), pairs)[::2]
+        by_rank = np.argsort(rank, kind="stable")
+        chosen = by_rank[np.searchsorted(rank[by_rank], best)]
+        return start, digest, chosen[np.cumsum(fresh) - 1]
 
     def windows(self) -> np.ndarray:
         return rolling(self._words, self._min_words)
@@ -185,10 +236,10 @@ def shared_anchors(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
                     passages = Passages(raw, hashes, min_words)
                     if passages.count:
-                        chunks, anchor = passages.chunks()
+                        start, digest, anchor = passages.chunks()
                         anchor = np.unique(anchor)
-                        own, first = np.unique(chunks[anchor], return_index=True)
-                        yield own, order, (zlib.crc32(raw) & 0x7FFFFFFF) << 32 | anchor[first]
+                        own, first = np.unique(digest[anchor], return_index=True)
+                        yield own, order, (zlib.crc32(raw) & 0x7FFFFFFF) << 32 | start[anchor[first]]
 
         yield from _compared(found(), _anchors_known)
 
@@ -215,8 +266,8 @@ def copied_windows(candidates: DataFrame, text_at: int, min_words: int = MIN_WOR
                 for text, order, places in zip(batch.column(text_at), orders.to_pylist(), anchors, strict=True):
                     raw = text.as_py().encode("utf-8", "surrogatepass")
                     passages = Passages(raw, hashes, min_words)
-                    chunks, anchor = passages.chunks()
-                    shared = np.isin(chunks, chunks[places.values.to_numpy()])
+                    start, digest, anchor = passages.chunks()
+                    shared = np.isin(digest, digest[np.searchsorted(start, places.values.to_numpy())])
                     at = np.flatnonzero(shared[anchor])
                     yield passages.windows()[at], order, (zlib.crc32(raw) & 0x7FFFFFFF) << 32 | at
 
