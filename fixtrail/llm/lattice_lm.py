@@ -1,20 +1,21 @@
 """Language-model scores from subword lattices.
 
+None of the public vocabularies holds the scores of a unigram model. The ranks of a merge vocabulary stand in for them.
+
 A word's probability is summed over all its segmentations into pieces of an existing vocabulary, by a
 forward recursion in log space; a text is its words and one end token. The pieces start from the scores
 of the vocabulary (merge ranks, read as a Zipf distribution) and are re-estimated on the words of the
 training documents: expected piece counts, weighted by word counts, plus the start distribution as prior.
 
-How it runs: every split of the documents counts its own distinct words; the counts of all splits are
-summed per word; each distinct word of the corpus is scored once, in parallel; each split then gets back
-the scores of the words it asked for and scores its whole texts. So what is shuffled are distinct words
-per split, never (document, word) pairs, and no key gathers more rows than there are splits.
+How it runs: documents are staged with the number of a block of adjoining rows, blocks of about equal size; every block counts its
+own distinct words; the counts of all blocks are summed per word; each distinct word of the corpus is scored once, in
+parallel; each block then gets back the scores of the words it asked for and scores its whole texts. So what is shuffled are distinct words
+per block, never (document, word) pairs, and no key gathers more rows than there are blocks.
 
 ``base_score`` is the add-one unigram score of the same tokens. Null and empty texts are the end
 token alone. Null ids count as held out or not by the empty text; repeated rows are scored alike; an
 empty table, or one without training documents, is scored with the start distribution.
-Characters outside the vocabulary are spelled in bytes. ``docs`` must be a scan of files plus narrow
-steps (others are staged first); extra columns are not read.
+Characters outside the vocabulary are spelled in bytes. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -270,24 +271,17 @@ def refit(start: Lattice, counts: dict[object, float], ends: float, prior: float
 
 
 def _with_block(docs: DataFrame) -> DataFrame:
-    """doc_id, text, held_out and the split (of bounded size) that a row comes from."""
-    if not docs.inputFiles():
-        docs = stage(docs.select("doc_id", "text"), "lm_documents")
-    spark = docs.sparkSession
-    parts = max(1, round(_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")) / _SPLIT_BYTES))
-    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts))
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
-        held_out(7).alias("held_out"),
-        F.xxhash64(F.input_file_name(), F.input_file_block_start(), part).alias("block"),
-    )
-
-
-def _bytes(size: str) -> int:
-    units = {"k": 10, "m": 20, "g": 30, "t": 40}
-    number = size.strip().lower().removesuffix("b")
-    return int(number[:-1]) << units[number[-1]] if number[-1:] in units else int(number)
+    """doc_id, text, held_out and block, staged: rows of a block adjoin and have about ``_SPLIT_BYTES`` of text.
+
+    A block is a run of rows of a task that writes the table. Its number is stored, so later readings agree however
+    they are cut into tasks.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out(7).alias("held_out"))
+    count, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    together = max(1, count * _SPLIT_BYTES // max(size, 1))
+    number = F.monotonically_increasing_id()  # the task above, its rows below 33 bits
+    place = F.floor(number.bitwiseAND((1 << 33) - 1) / together)
+    return stage(rows.withColumn("block", F.xxhash64(F.shiftright(number, 33), place)), "lm_documents", compression="zstd")
 
 
 def _requests(blocks: DataFrame) -> DataFrame:
