@@ -36,11 +36,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fixtrail.llm.components import components
-from fixtrail.llm.words import WordHashes, mixed, shingle_hashes, words_of
+from fixtrail.llm.words import hashed_words, mixed, shingle_hashes
 from fixtrail.operators.staging import stage, staging_scope
 
-#: Tokens are counted in 2^CELL_BITS cells by hash: 16 MB in all, sent in rows of CELLS_PER_ROW.
-CELL_BITS = 23
+#: Tokens are counted in 2^CELL_BITS cells by hash: 8 MB in all, sent in rows of CELLS_PER_ROW.
+CELL_BITS = 22
 CELLS_PER_ROW = 1 << 16
 #: Expected candidates of a document that its prefix is lengthened for.
 TARGET = 16
@@ -53,7 +53,7 @@ ROUNDS = ((1, 1), (8, 4))
 #: Bits of a map by which rows that can't be wanted are left out before a shuffle: 8 MB, whatever the input.
 MARK_BITS = 26
 #: Tokens that a task counts at once.
-TOKENS_HELD = 8_000_000
+TOKENS_HELD = 2_000_000
 
 
 def _ceil_share(n: np.ndarray | int, percent: int):
@@ -107,7 +107,7 @@ def _read_once(docs: DataFrame, size: int) -> DataFrame:
     names = ["doc_id", "row_key", "class", "n_shingles", "block", "cells"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), set()
+        seen = set()
         cells = np.zeros(1 << CELL_BITS, np.uint16)
         held: list[np.ndarray] = []
         n = 0
@@ -118,8 +118,8 @@ def _read_once(docs: DataFrame, size: int) -> DataFrame:
 
         for batch in batches:
             classes, sizes = [], []
-            for text in batch["text"]:
-                tokens = shingle_hashes(hashes(words_of(text.as_py())), size)
+            for words in hashed_words(batch["text"]):
+                tokens = shingle_hashes(words, size)
                 sizes.append(len(tokens))
                 classes.append(_signature(tokens) if len(tokens) else None)
                 if len(tokens) and classes[-1] not in seen:
@@ -171,11 +171,11 @@ def _prefixes(docs: DataFrame, order: Order, size: int, percent: int) -> DataFra
     shared_order = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), set()
+        seen = set()
         for batch in batches:
             names, sizes, needed, prefixes = [], [], [], []
-            for text in batch["text"]:
-                tokens = shingle_hashes(hashes(words_of(text.as_py())), size)
+            for words in hashed_words(batch["text"]):
+                tokens = shingle_hashes(words, size)
                 name = _signature(tokens) if len(tokens) else None
                 if name is None or name in seen:
                     continue
@@ -225,25 +225,33 @@ def _marked(rows: DataFrame, column: str, marks: Marks) -> DataFrame:
     return rows.withColumn("_hash", F.xxhash64(column)).mapInArrow(run, rows.schema)
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("x").alias("class")).unionAll(pairs.select(F.col("y").alias("class")))
+
+
 def _whole_sets(docs: DataFrame, keys: DataFrame, size: int) -> DataFrame:
     """class and tokens (sorted, as bytes) of the classes whose first row is among ``keys``; others may be there too."""
     rows = docs.select(_row_key().alias("key"), F.col("text").cast("string").alias("text"))
+    marks = docs.sparkSession.sparkContext.broadcast(Marks(keys))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            sets = [shingle_hashes(hashes(words_of(text.as_py())), size) for text in batch["text"]]
+            texts = batch["text"].filter(pa.array(marks.value.hit(batch["hash"].to_numpy())))
+            sets = [shingle_hashes(words, size) for words in hashed_words(texts)]
             sets = [x for x in sets if len(x)]
             columns = [pa.array([_signature(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
             yield pa.record_batch(columns, ["class", "tokens"])
 
-    found = _marked(rows, "key", Marks(keys)).mapInArrow(run, "class long, tokens binary")
-    return found.groupBy("class").agg(F.any_value("tokens").alias("tokens"))
+    hashed = rows.select(F.xxhash64("key").alias("hash"), "text")
+    # by class, and so are the joins that follow
+    return hashed.mapInArrow(run, "class long, tokens binary").groupBy("class").agg(F.any_value("tokens").alias("tokens"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) whose whole sets are similar enough."""
-    both = pairs
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (x, y) whose whole sets are similar enough; only sets of a pair are made and shuffled."""
+    both = pairs = stage(pairs, "promising_pairs")
+    keys = classes.join(_ends(pairs).distinct(), "class", "left_semi").select("key")
+    sets = _whole_sets(docs, keys, size)
     for v in ("x", "y"):
         both = both.join(sets.select(F.col("class").alias(v), F.col("tokens").alias(f"tokens_{v}")), v)
 
@@ -285,15 +293,11 @@ def _links(docs: DataFrame, classes: DataFrame, parts: DataFrame, size: int, per
     postings = stage(
         _marked(keys, "token", Marks(long_tokens)).join(long_tokens, "token", "left_semi").dropDuplicates(["token", "class"]), "long_lists"
     )
-    ends = short_pairs.select(F.col("x").alias("class")).unionAll(short_pairs.select(F.col("y").alias("class")))
-    live = stage(ends.unionAll(postings.select("class")).distinct(), "live_classes")
-    heads = stage(
-        _marked(prefixes, "class", Marks(live)).join(live, "class", "left_semi").groupBy("class").agg(
-            *[F.any_value(c).alias(c) for c in ("n", "shared", "prefix")]
-        ),
-        "live_prefixes",
+    sizes = stage(
+        prefixes.groupBy("class").agg(*[F.any_value(c).alias(c) for c in ("n", "shared")], F.any_value(F.size("prefix")).alias("length"))
+        .join(postings.groupBy("class").agg(F.count("*").alias("long")), "class", "left").fillna(0, ["long"]),
+        "sizes",
     )
-    whole = stage(_whole_sets(docs, classes.join(live, "class", "left_semi").select("key"), size), "live_sets")
 
     def alike(common: Column) -> Column:
         """Common tokens are in both prefixes or behind one of them, and have to make up the similarity."""
@@ -304,8 +308,21 @@ def _links(docs: DataFrame, classes: DataFrame, parts: DataFrame, size: int, per
             & ((100 + percent) * (common + after) >= percent * (F.col("n_x") + F.col("n_y")))
         )
 
+    def possible(pairs: DataFrame) -> DataFrame:
+        """Pairs (x, y, short) that can share enough: their common keys are the ``short`` ones, which were counted, some of the
+        long ones, and what their prefixes have been lengthened by."""
+        for v in ("x", "y"):
+            pairs = pairs.join(sizes.select(F.col("class").alias(v), *[F.col(c).alias(f"{c}_{v}") for c in ("n", "shared", "length", "long")]), v)
+        return pairs.where(alike(F.col("short") + F.least("long_x", "long_y") + F.col("shared_x") + F.col("shared_y") - 2)).select("x", "y")
+
+    def prefixes_of(classes_: DataFrame) -> DataFrame:
+        found = _marked(prefixes, "class", Marks(classes_))
+        return found.groupBy("class").agg(*[F.any_value(c).alias(c) for c in ("n", "shared", "prefix")])
+
     def promising(pairs: DataFrame) -> DataFrame:
         """Pairs (x, y) whose prefixes share enough."""
+        pairs = stage(pairs, "possible_pairs")
+        heads = prefixes_of(_ends(pairs))
         for v in ("x", "y"):
             side = [F.col(c).alias(f"{c}_{v}") for c in ("n", "shared", "prefix")]
             pairs = pairs.join(heads.select(F.col("class").alias(v), F.size("prefix").alias(f"length_{v}"), *side), v)
@@ -328,12 +345,14 @@ def _links(docs: DataFrame, classes: DataFrame, parts: DataFrame, size: int, per
             .count()
             .select("x", F.explode("ps.y").alias("y"), "count")
         )
-        met = met.unionAll(open_pairs.select("x", "y", "count")).unionAll(open_pairs.select(F.col("y").alias("x"), F.col("x").alias("y"), "count"))
-        met = met.groupBy("x", "y").agg(F.sum("count").alias("count"))
-        ranked = F.struct((-F.col("count")).alias("less"), F.xxhash64("y").alias("h"), "y")
-        best = met.groupBy("x").agg(*[_nth(ranked, tries).alias("best")]).select("x", F.explode("best.y").alias("y"))
-        near = best.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        found = _verified(promising(near), whole, percent)
+        met = met.select("x", "y", "count", F.lit(0).cast("long").alias("short"))
+        for x, y in (("x", "y"), ("y", "x")):
+            met = met.unionAll(open_pairs.select(F.col(x).alias("x"), F.col(y).alias("y"), "count", F.col("count").alias("short")))
+        met = met.groupBy("x", "y").agg(F.sum("count").alias("count"), F.sum("short").alias("short"))
+        ranked = F.struct((-F.col("count")).alias("less"), F.xxhash64("y").alias("h"), "y", "short")
+        best = met.groupBy("x").agg(_nth(ranked, tries).alias("best")).select("x", F.explode("best").alias("b"))
+        near = best.select(F.least("x", "b.y").alias("x"), F.greatest("x", "b.y").alias("y"), "b.short")
+        found = _verified(promising(possible(near.groupBy("x", "y").agg(F.max("short").alias("short")))), docs, classes, size, percent)
         links = stage(found if links is None else links.unionAll(found), "links")
         groups = stage(components(links), "groups").select(F.col("node").alias("class"), "root")
         # only what lies across components goes on
@@ -347,6 +366,7 @@ def _links(docs: DataFrame, classes: DataFrame, parts: DataFrame, size: int, per
         open_pairs = stage(open_pairs.where(across).select("x", "y", "count"), "open_pairs")
 
     bits = [_bits_of("prefix", k).alias(f"b{k}") for k in range(4)]
+    heads = prefixes_of(open_lists.select("class").distinct())
     rooted = open_lists.groupBy("class").agg(F.any_value("root").alias("root"), F.sort_array(F.collect_list(F.struct("place", "token"))).alias("keys"))
     placed = rooted.join(heads.select("class", "n", "shared", F.size("prefix").alias("length"), *bits), "class").select(
         "*", F.posexplode("keys").alias("at", "key")
@@ -371,8 +391,9 @@ def _links(docs: DataFrame, classes: DataFrame, parts: DataFrame, size: int, per
     enough = (100 + percent) * behind >= percent * (F.col("n_x") + F.col("n_y"))
     first = ~F.arrays_overlap("before_x", "before_y")
     met = left.join(right, (F.col("token") == F.col("token_y")) & ahead & (F.col("root_x") != F.col("root_y")) & enough & alike(at_most) & first)
-    last = promising(met.select("x", "y").unionAll(open_pairs.select("x", "y")).distinct())
-    return components(links.unionAll(_verified(last, whole, percent))).select(F.col("node").alias("class"), "root")
+    short_ones = possible(open_pairs.select("x", "y", F.col("count").alias("short")))
+    last = promising(met.select("x", "y").unionAll(short_ones).distinct())
+    return components(links.unionAll(_verified(last, docs, classes, size, percent))).select(F.col("node").alias("class"), "root")
 
 
 def _bits_of(tokens: str, word: int) -> Column:

@@ -6,7 +6,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -66,3 +69,56 @@ def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
             total += hashes[k : n - width + 1 + k] * factor
             factor = factor * _MIX  # odd, so no word is lost
         return np.unique(mixed(total))
+
+
+_IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: Bytes whose words are hashed together, and the powers that hash them.
+_TOGETHER = 1 << 18
+_LOWER = np.arange(256) + 32 * ((np.arange(256) >= 0x41) & (np.arange(256) <= 0x5A))
+_BYTE = mixed(_MIX * (_LOWER.astype(np.uint64) + np.uint64(1)))
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd factor and of its inverse, kept for texts of usual length."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        up, down = np.full(max(n, 2 * _TOGETHER), _MIX), np.full(max(n, 2 * _TOGETHER), np.uint64(pow(int(_MIX), -1, 1 << 64)))
+        up[0] = down[0] = 1
+        found = [np.cumprod(up), np.cumprod(down)]
+        if n > 2 * _TOGETHER:
+            return found[0], found[1]
+        _POWERS[:] = found
+    return _POWERS[0], _POWERS[1]
+
+
+def hashed_words(texts: pa.Array) -> Iterator[np.ndarray]:
+    """64-bit hashes of the words of each text, A-Z lowered; a null text has none.
+
+    The bytes of many texts are hashed at once: a word's hash is a polynomial of its bytes, from running sums.
+    """
+    held: list[bytes] = []
+    size = 0
+    for text in texts:
+        raw = bytes(text.as_buffer()) if text.is_valid else b""
+        if size and size + len(raw) > _TOGETHER:
+            yield from _hashed(held)
+            held, size = [], 0
+        held.append(raw)
+        size += len(raw) + 1
+    if held:
+        yield from _hashed(held)
+
+
+def _hashed(raws: list[bytes]) -> Iterator[np.ndarray]:
+    data = np.frombuffer(b" ".join([*raws, b""]), np.uint8)
+    space = np.ones(len(data) + 1, bool)
+    space[1:] = _IS_SPACE[data]
+    starts = np.flatnonzero(space[:-1] & ~space[1:])
+    ends = np.flatnonzero(~space[:-1] & space[1:])
+    with np.errstate(over="ignore"):
+        up, down = _powers(len(data) + 1)
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
+        words = mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    cuts = np.searchsorted(starts, np.cumsum([len(r) + 1 for r in raws]))
+    yield from np.split(words, cuts[:-1])
