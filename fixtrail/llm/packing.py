@@ -18,6 +18,7 @@ as they are; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -38,6 +39,11 @@ END_ID = 0
 SHARD_PIECES = 8192
 _MOST_CACHED = 500_000
 _LONGEST_CACHED = 48
+_WORDS_IN_TEXT = 1000
+_SPACE = "Ġ"  # how the vocabulary writes a space (fixed value)
+#: Bytes of text whose new words are encoded together.
+_TOGETHER = 2_000_000
+_BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 #: Marks that the pre-tokenizer cuts off a run of letters when one ends a word.
 _MARKS = frozenset(",.;:!?")
 
@@ -45,9 +51,9 @@ _MARKS = frozenset(",.;:!?")
 class Encoder:
     """Ids of whole texts, with a bounded table of the ids of frequent words.
 
-    The pre-tokenizer never joins text across a single space that follows and precedes other
-    text; such texts are looked up word by word. A text with two spaces in a row is
-    encoded as a whole.
+    The pre-tokenizer always cuts in front of a space that follows other text, so a text is looked up
+    piece by piece; a piece begins with its space, or spaces, and ends before the next. The new pieces of many
+    texts are encoded together.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,6 +63,9 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        vocabulary = self._tokenizer.get_vocab()
+        self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._spaced[[i for token, i in vocabulary.items() if token.startswith(_SPACE)]] = True
         self._known: dict[str, bytes] = {}
         self._marks = dict(zip(sorted(_MARKS), self._encode(sorted(_MARKS)), strict=True))
 
@@ -64,37 +73,67 @@ class Encoder:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word behind a space. Words without another space are encoded as one text, in which only
+        the first token of a word begins with a space."""
+        out: list[bytes] = []
+        for k in range(0, len(words), _WORDS_IN_TEXT):
+            some = words[k : k + _WORDS_IN_TEXT]
+            ids = np.frombuffer(self._encode([" " + " ".join(some)])[0], "<u4")
+            starts = np.flatnonzero(self._spaced[ids])
+            if len(starts) == len(some) and "" not in some:
+                raw = ids.tobytes()
+                ends = [*(4 * starts).tolist(), len(raw)]
+                out += [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+            else:
+                out += self._encode([" " + w for w in some])
+        return out
+
     def _add(self, words: list[str]) -> dict[str, bytes]:
         """Remember new words; those too long to keep are returned. Letters before a mark are a word of their own."""
         known, marks = self._known, self._marks
-        ended = {w for w in words if w[-1:] in _MARKS and w[:-1].isalpha()}
-        plain = list({w[:-1] if w in ended else w for w in words}.difference(known))
-        extra = {}
-        for word, x in zip(plain, self._encode([" " + w for w in plain]), strict=True):
-            (known if len(word) <= _LONGEST_CACHED else extra)[word] = x
+        ended = [w for w in words if w[-1:] in _MARKS and w[:-1].isalpha()]
+        plain = set(words).difference(ended)
+        plain.update([w[:-1] for w in ended])
+        plain = list(plain.difference(known))
+        found = dict(zip(plain, self._encode_words(plain), strict=True))
+        extra = {w: found.pop(w) for w in plain if len(w) > _LONGEST_CACHED}
+        known.update(found)
         for word in ended:
             stem = word[:-1]
             ids = (known[stem] if stem in known else extra[stem]) + marks[word[-1]]
             (known if len(word) <= _LONGEST_CACHED else extra)[word] = ids
         return extra
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.empty(0, "<u4")
-        if "  " in text:
-            return np.frombuffer(self._encode([text])[0], "<u4")
-        first, *rest = text.split(" ")
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        """The pieces of a text; all but the first without their first space."""
+        if "  " not in text:
+            return text.split(" ")
+        first, *rest = _BEFORE_SPACE.split(text)
+        return [first, *(w[1:] for w in rest)]
+
+    def batch(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of every text."""
         known = self._known
-        new = list(set(rest).difference(known))
-        extra = self._add(new) if new else {}
-        head = self._encode([first])[0] if first else b""
-        if extra:
-            joined = head + b"".join([known[w] if w in known else extra[w] for w in rest])
-        else:
-            joined = head + b"".join(map(known.__getitem__, rest))
+        split = [self._words(t) if t else [""] for t in texts]
+        heads = self._encode([w[0] for w in split])
+        new = set().union(*[w[1:] for w in split]).difference(known)
+        extra = self._add(list(new)) if new else {}
+        out = []
+        for head, words in zip(heads, split, strict=True):
+            rest = words[1:]
+            if extra and not extra.keys().isdisjoint(rest):
+                joined = head + b"".join([known[w] if w in known else extra[w] for w in rest])
+            else:
+                joined = head + b"".join(map(known.__getitem__, rest))
+            out.append(np.frombuffer(joined, "<u4"))
         if len(known) > _MOST_CACHED:
             known.clear()
-        return np.frombuffer(joined, "<u4")
+        return out
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        return self.batch([text])[0]
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -104,6 +143,18 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(starts, [*starts[1:], length], strict=True)]
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of a bounded number of characters, or of one text."""
+    for batch in batches:
+        sizes = np.cumsum([len(t.as_buffer()) if t.is_valid else 0 for t in batch["text"]])
+        start = 0
+        while start < batch.num_rows:
+            before = sizes[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(sizes, before + _TOGETHER, side="right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def token_pieces(
     docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, with_ids: bool = True
 ) -> DataFrame:
@@ -114,10 +165,10 @@ def token_pieces(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
-        for batch in batches:
+        for batch in _parts(batches):
             rows: list[tuple] = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = np.append(encoder(text.as_py()), np.uint32(END_ID)).astype("<u4")
+            for doc_id, found in zip(batch["doc_id"].to_pylist(), encoder.batch(batch["text"].to_pylist()), strict=True):
+                ids = np.append(found, np.uint32(END_ID)).astype("<u4")
                 for k, (start, length) in enumerate(cut(len(ids), capacity)):
                     own = ids[start : start + length]
                     row = (doc_id, k, start, length, zlib.crc32(own.tobytes()))
