@@ -56,10 +56,14 @@ _ROWS = "key long, order long, place long, run int"
 
 
 def reach(min_words: int) -> int:
-    """Successive word ends of which the least is a boundary: the most with two boundaries in the middle of a window."""
+    """Successive word ends of which the least is a boundary.
+
+    The middle of a window, ``min_words - 2 r - 5`` word ends, has to hold two boundaries, so 2 r ends. Fewer than the most
+    leave room for several chunks, and adjoining windows share the longest of them.
+    """
     if min_words < _MEMORY + 2:
         raise ValueError(f"passages need at least {_MEMORY + 2} words")
-    return (min_words - _MEMORY + 2) // 4
+    return max(1, (min_words - _MEMORY) // 5)
 
 
 def gear(words: list[bytes]) -> np.ndarray:
