@@ -50,6 +50,8 @@ PIVOTS = 3
 #: Rounds of comparing classes with those they meet most often: pivot orders among the lists, and partners that
 #: a class tries. The last step has no such bound, so this decides how a link is found, never whether.
 ROUNDS = ((1, 1), (8, 4))
+#: Words of 64 bits in the map of a prefix that goes with its keys into the last join: few tokens share a bit.
+MAP_WORDS = 16
 #: Bits of a map by which rows that can't be wanted are left out before a shuffle: 8 MB, whatever the input.
 MARK_BITS = 26
 #: Tokens that a task counts at once.
@@ -365,7 +367,7 @@ def _links(docs: DataFrame, classes: DataFrame, parts: DataFrame, size: int, per
         across = F.coalesce("root_x", "x") != F.coalesce("root_y", "y")
         open_pairs = stage(open_pairs.where(across).select("x", "y", "count"), "open_pairs")
 
-    bits = [_bits_of("prefix", k).alias(f"b{k}") for k in range(4)]
+    bits = [_bits_of("prefix", k).alias(f"b{k}") for k in range(MAP_WORDS)]
     heads = prefixes_of(open_lists.select("class").distinct())
     rooted = open_lists.groupBy("class").agg(F.any_value("root").alias("root"), F.sort_array(F.collect_list(F.struct("place", "token"))).alias("keys"))
     placed = rooted.join(heads.select("class", "n", "shared", F.size("prefix").alias("length"), *bits), "class").select(
@@ -373,7 +375,7 @@ def _links(docs: DataFrame, classes: DataFrame, parts: DataFrame, size: int, per
     )
     placed = stage(
         placed.select(
-            "class", "root", "n", "shared", "length", "b0", "b1", "b2", "b3", F.col("key.place").alias("place"), F.col("key.token").alias("token"),
+            "class", "root", "n", "shared", "length", *[f"b{k}" for k in range(MAP_WORDS)], F.col("key.place").alias("place"), F.col("key.token").alias("token"),
             F.slice(F.col("keys.token"), F.lit(1), F.col("at")).alias("before"),
         ),
         "open_postings",
@@ -383,7 +385,7 @@ def _links(docs: DataFrame, classes: DataFrame, parts: DataFrame, size: int, per
         placed.select(F.col("token").alias("token" if v == "x" else "token_y"), *[F.col(c).alias(v if c == "class" else f"{c}_{v}") for c in kept]) for v in ("x", "y")
     )
     # every mark that only one of both has is a token that only it has
-    only = lambda v, w: sum(F.bit_count(F.col(f"b{k}_{v}").bitwiseAND(F.bitwise_not(f"b{k}_{w}"))) for k in range(4))
+    only = lambda v, w: sum(F.bit_count(F.col(f"b{k}_{v}").bitwiseAND(F.bitwise_not(f"b{k}_{w}"))) for k in range(MAP_WORDS))
     at_most = F.least(F.col("length_x") - only("x", "y"), F.col("length_y") - only("y", "x"))
     # the shorter set on the left, so each pair is met in one direction
     ahead = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("x") < F.col("y")))
@@ -397,12 +399,12 @@ def _links(docs: DataFrame, classes: DataFrame, parts: DataFrame, size: int, per
 
 
 def _bits_of(tokens: str, word: int) -> Column:
-    """One of four words of a bit map of the tokens of an array."""
+    """One of the words of a bit map of the tokens of an array."""
     nothing = F.lit(0).cast("long")
 
     def mark(token: Column) -> Column:
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(63).cast("int"))
-        return F.when(F.shiftright(token, 6).bitwiseAND(3) == word, bit).otherwise(nothing)
+        return F.when(F.shiftright(token, 6).bitwiseAND(MAP_WORDS - 1) == word, bit).otherwise(nothing)
 
     return F.aggregate(tokens, nothing, lambda bits, token: bits.bitwiseOR(mark(token)))
 
