@@ -44,6 +44,7 @@ _PART = re.compile(r"[A-Za-z][a-z]+|[A-Z]+")
 # Fixed values of HTML: which elements hold no text of the page, no content at all, or stay inside a line.
 _DROPPED = frozenset("script style template svg head title textarea select button iframe".split())
 _RAW = frozenset("script style textarea title iframe".split())
+_CODE = frozenset("script style".split())
 # What may stand in a head; any other start tag or text ends it.
 _IN_HEAD = frozenset("base basefont bgsound head html link meta noscript script style template title".split())
 _IN_SELECT = frozenset("option optgroup hr".split())
@@ -102,6 +103,17 @@ def _tokens(attributes: str) -> set[str]:
     return {x.lower() for x in _PART.findall(found)} if found else set()
 
 
+def _ends_skip(skipped: str, tag: str, inside: list[str]) -> bool:
+    """Whether a start tag shows that a skipped element wasn't closed."""
+    if skipped == "head":
+        return tag not in _IN_HEAD
+    if skipped == "select":
+        return tag not in _IN_SELECT
+    if skipped == "button":
+        return tag in _CLOSES_P and tag != "div" or tag in ("html", "body")
+    return skipped == "svg" and tag in _CLOSES_P and "foreignobject" not in inside
+
+
 def parse(page: str | None) -> list[Node]:
     """Nodes in page order; a parent comes before its children."""
     page = page or ""
@@ -150,37 +162,51 @@ def parse(page: str | None) -> list[Node]:
             if links:
                 linked += b - a
 
+    def past_raw(tag: str, b: int) -> int:
+        """Where the content of a raw element ends; without an end tag only code goes on to the end of the page."""
+        end = re.compile(rf"</{tag}[^>]*>", re.IGNORECASE).search(page, b)
+        return end.end() if end else len(page) if tag in _CODE else b
+
     for m in _TOKEN.finditer(page):
         a, b = m.span()
         if a < at:
             continue  # inside a raw element
+        if skip == "head" and page[at:a].strip():
+            skip = None  # text can't stand in a head
         data(at, a)
         at = b
         name = m[2]
         if name is None:
             continue
         tag = name.lower()
+        empty = m[3].endswith("/")
         if skip is not None:
             if tag == skip:
-                skip_depth += -1 if m[1] else 1
+                skip_depth += -1 if m[1] else not empty
                 if skip_depth == 0:
                     skip = None
-            elif skip == "head" and tag == "body":
-                skip = None
-            if skip is not None:
                 continue
-            if m[1]:
+            if m[1] and tag in inside:
+                del inside[len(inside) - 1 - inside[::-1].index(tag) :]
+                continue
+            if not m[1] and tag in _RAW:
+                at = past_raw(tag, b)
+                continue
+            if not (tag in names if m[1] else _ends_skip(skip, tag, inside)):
+                if not (m[1] or empty or tag in _VOID or tag in _INLINE):
+                    inside.append(tag)
                 continue
+            skip = None  # an enclosing block closes, or the tag can't stand there
         if tag in _DROPPED:
-            if m[1] or m[3].endswith("/"):
+            if m[1] or empty:
                 continue
             if tag not in ("button", "svg", "math"):
                 flush()
             if tag in _RAW:
-                end = re.compile(rf"</{tag}[^>]*>", re.IGNORECASE).search(page, b)
-                at = end.end() if end else len(page)
+                at = past_raw(tag, b)
             else:
                 skip, skip_depth = tag, 1
+                inside.clear()
             continue
         if tag == "a":
             links = max(0, links - 1) if m[1] else 1
@@ -215,6 +241,8 @@ def parse(page: str | None) -> list[Node]:
         parts = _tokens(m[3]) if m[3] else set()
         stack.append(add(tag, len(parts & _GOOD), len(parts & _BAD)))
         names.append(tag)
+    if skip == "head" and page[at:].strip():
+        skip = None
     data(at, len(page))
     flush()
     for node in reversed(nodes):
@@ -384,6 +412,14 @@ def _plain(page: str, anonymous: bool) -> str:
     return page
 
 
+_TELLING = re.compile(r"\s(?:class|id|role)\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"']+)", re.IGNORECASE)
+
+
+def _bare(page: str) -> str:
+    """The page without semantic tags, classes and ids, so that only text, links, place and shape tell."""
+    return _TELLING.sub("", re.sub(rf"<(/?)(?:{'|'.join(_PLAIN)})\b[^>]*>", r"<\1div>", page))
+
+
 _PATTERN = (
     "<body><nav><ul><li><a href='/'>One</a></li><li><a href='/b'>Two</a></li></ul></nav><article><h1>A heading</h1>"
     "<p>A first paragraph, which is long enough to look like text, and then some more of it.</p>"
@@ -403,8 +439,9 @@ def fit_extractor(pages: list[str]) -> Boosted:
                 continue
             xs.append(features(nodes))
             ys.append(y)
-            if k == 1:  # the rewriting keeps all nodes in place
-                nodes = parse(_plain(form, number % 2 == 0))
+            # the rewriting keeps all nodes in place
+            for rewritten in [_plain(form, number % 2 == 0)] * k + [_bare(form)] * (k == 0 and number % 3 == 0):
+                nodes = parse(rewritten)
                 if len(nodes) == len(y):
                     xs.append(features(nodes))
                     ys.append(y)

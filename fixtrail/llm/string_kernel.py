@@ -6,9 +6,9 @@ Nystroem features of a text, and one-versus-rest kernel ridge regression on thes
 gives a value for each language. A batch of texts is scored with two matrix products: presence of
 the landmarks' n-grams times the landmarks, and the result times the regression.
 
-Landmarks and regression are fitted on a hash sample of at most about ``PER_LANGUAGE`` training documents of
-each language (``LANDMARKS`` landmarks in all), for at most ``MOST_LANGUAGES`` languages by
-frequency. Texts to label are read whole, in pieces of ``PIECE`` characters whose n-gram sets are merged.
+Landmarks and regression are fitted on a hash sample of at most ``PER_LANGUAGE`` training documents of
+each language, about, and ``SAMPLE_ROWS`` in all: with many languages each has fewer, one at least
+(``LANDMARKS`` landmarks, or one a language). Of a long training text a piece is taken from anywhere. Texts to label are read whole, in pieces of ``PIECE`` characters whose n-gram sets are merged.
 
 A text that is null, empty or without any letter is ``und`` with score 0. Without a training document
 everything is ``und``. Repeated rows and ties get the same answer (ties: the language that
@@ -25,10 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fixtrail.operators.staging import stage
+
 LONGEST = 3
 LANDMARKS = 96
 PER_LANGUAGE = 300
-MOST_LANGUAGES = 200
+SAMPLE_ROWS = 20_000
 RIDGE = 1e-2
 UNDETERMINED = "und"
 #: Characters of a training text that may become a landmark or a regression row.
@@ -130,20 +132,25 @@ def held_out(modulus: int, rest: int = 2) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulus)) == rest
 
 
-def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
-    """(lang, start of text) of a hash sample: at most 2 * per_language rows of each of the most frequent languages."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(4))
-    # a bounded number of languages
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    place = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(0))), F.lit(1_000_000)) / 1_000_000
-    if not counts:
-        return []
-    rate = F.lit(None).cast("double")
-    for r in counts:
-        rate = F.when(F.col("lang") == r["lang"], F.lit(per_language / r["count"])).otherwise(rate)
-    chosen = known.where(place < rate).select("lang", F.substring("text", 1, FIT_CHARS).alias("text"))
-    rows = chosen.limit(2 * per_language * len(counts)).collect()
-    found = sorted({(r["lang"], r["text"]) for r in rows if any(map(str.isalpha, r["text"]))})
+def _piece(chars: int) -> Column:
+    """``chars`` characters of a text from a place drawn by hash, or from its first letter if there is none in them."""
+    length = F.length("text")
+    drawn = F.substring("text", F.pmod(F.xxhash64("text"), F.greatest(length - chars + 1, F.lit(1))).cast("int") + 1, F.lit(chars))
+    return F.when(drawn.rlike(r"\p{L}"), drawn).otherwise(F.substring("text", F.regexp_instr("text", F.lit(r"\p{L}")), F.lit(chars)))
+
+
+def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, rows: int = SAMPLE_ROWS) -> list[tuple[str, str]]:
+    """(lang, piece of text) of a hash sample of every language: ``per_language`` rows, fewer where that makes more than ``rows``."""
+    known = docs.select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    known = known.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(4))
+    # a small table as a rule, which Spark then broadcasts by its size
+    place = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(0))), F.lit(1_000_000)) / 1_000_000
+    counts = stage(known.groupBy("lang").agg(F.count("*").alias("_rows"), F.min(place).alias("_least")), "languages")
+    share = max(1, min(per_language, rows // max(counts.count(), 1)))
+    # of a rare language at least the row of least place
+    chosen = known.join(counts, "lang").where((place < share / F.col("_rows")) | (place == F.col("_least")))
+    found = sorted({(r["lang"], r["text"]) for r in chosen.select("lang", _piece(FIT_CHARS).alias("text")).collect()})
+    found = [(lang, text) for lang, text in found if any(map(str.isalpha, text))]
     order = np.random.default_rng(7).permutation(len(found))
     return [found[k] for k in order]
 

@@ -34,6 +34,8 @@ from fixtrail.operators.staging import scratch_folder, stage
 
 REVISIT_FROM = 100
 BLOCK = 1 << 16
+#: Bytes that a record's head may have.
+MOST_HEAD = 1 << 20
 _GZIP = 31  # zlib's window bits for gzip framing
 _VERSION = b"WARC/1.1"
 # Fixed values of the format.
@@ -89,21 +91,83 @@ def member(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return packer.compress(_VERSION + b"\r\n" + lines + b"\r\n" + block + b"\r\n\r\n") + packer.flush()
 
 
-def _parse(raw: bytes) -> Record:
-    """A decompressed member; its block must have the length that its head gives."""
-    head, end, rest = raw.partition(b"\r\n\r\n")
+class _Member:
+    """The decompressed bytes of one gzip member, taken as far as they are asked for."""
+
+    def __init__(self, stream: BinaryIO, waiting: bytes, block: int) -> None:
+        self._stream, self._block = stream, block
+        self._unpacker = zlib.decompressobj(_GZIP)
+        self._packed, self._ready = waiting, bytearray()
+        self.begun = bool(waiting)
+
+    def _more(self) -> bool:
+        """Decompress a little more; False at the end of the member."""
+        if self._unpacker.eof:
+            return False
+        packed = self._packed or self._unpacker.unconsumed_tail or self._stream.read(self._block)
+        if not packed:
+            if self.begun:
+                raise ValueError("the archive ends inside a record")
+            return False
+        self.begun = True
+        self._ready += self._unpacker.decompress(packed, self._block)
+        self._packed = b""
+        return True
+
+    def until(self, end: bytes, most: int) -> bytes | None:
+        """Up to and without ``end``, which has to come within ``most`` bytes; None before an archive's end."""
+        at = self._ready.find(end)
+        while at < 0:
+            if len(self._ready) > most or not self._more():
+                if not self.begun:
+                    return None
+                raise ValueError("a WARC record's head has no end")
+            at = self._ready.find(end)
+        found = bytes(self._ready[:at])
+        del self._ready[: at + len(end)]
+        return found
+
+    def exactly(self, length: int) -> Iterator[bytes]:
+        """The next ``length`` bytes, in parts."""
+        while length:
+            if not self._ready and not self._more():
+                raise ValueError("a WARC block doesn't have the length its head gives")
+            part = bytes(self._ready[:length])
+            del self._ready[:length]
+            length -= len(part)
+            if part:
+                yield part
+
+    def rest(self) -> bytes:
+        """What of the archive was read behind the member, which has to end here."""
+        while not self._ready and self._more():
+            pass
+        if self._ready or not self._unpacker.eof:
+            raise ValueError("a WARC block doesn't have the length its head gives")
+        return self._unpacker.unused_data
+
+
+def _headers(head: bytes) -> dict[str, str]:
     version, *lines = head.split(b"\r\n")
-    if not end or version != _VERSION:
+    if version != _VERSION:
         raise ValueError("a WARC record must begin with its version line")
     headers = {}
     for line in lines:
         key, _, value = line.partition(b":")
         headers[key.decode().lower()] = value.decode("utf-8").strip()
-    length = int(headers["content-length"])
-    if len(rest) != length + 4 or rest[length:] != b"\r\n\r\n":
+    return headers
+
+
+def _framed(member: _Member, headers: dict[str, str]) -> Record:
+    """The block that the head announces; its digest is taken while it is read."""
+    digest, parts = hashlib.sha256(), []
+    for part in member.exactly(int(headers["content-length"])):
+        digest.update(part)
+        parts.append(part)
+    if b"".join(member.exactly(4)) != b"\r\n\r\n":
         raise ValueError("a WARC block doesn't have the length its head gives")
-    record = Record(headers, rest[:length])
-    if "warc-block-digest" in headers and _sha256(record.block) != headers["warc-block-digest"]:
+    record = Record(headers, b"".join(parts))
+    if headers.get("warc-block-digest", found := "sha256:" + digest.hexdigest()) != found:
         raise ValueError(f"block digest of {headers.get('warc-record-id')} differs")
     if headers["warc-type"] == "response" and _sha256(record.payload) != headers.get("warc-payload-digest"):
         raise ValueError(f"payload digest of {headers.get('warc-record-id')} differs")
@@ -111,22 +175,16 @@ def _parse(raw: bytes) -> Record:
 
 
 def records(stream: BinaryIO, block: int = BLOCK) -> Iterator[Record]:
-    """Records of one archive, in order, with one member in memory at a time."""
-    waiting, unpacker, parts = b"", zlib.decompressobj(_GZIP), []
-    begun = False
+    """Records of one archive, in order: the head as soon as it is there, then as many bytes as it announces."""
+    waiting = b""
     while True:
-        data = waiting or stream.read(block)
-        waiting = b""
-        if not data:
-            if begun:
-                raise ValueError("the archive ends inside a record")
+        member = _Member(stream, waiting, block)
+        head = member.until(b"\r\n\r\n", MOST_HEAD)
+        if head is None:
             return
-        begun = True
-        parts.append(unpacker.decompress(data))
-        if unpacker.eof:
-            waiting = unpacker.unused_data
-            yield _parse(b"".join(parts))
-            unpacker, parts, begun = zlib.decompressobj(_GZIP), [], False
+        record = _framed(member, _headers(head))
+        waiting = member.rest()
+        yield record
 
 
 def _page(urn: str) -> int | None:
@@ -152,8 +210,12 @@ def with_first_copy(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataF
         .drop("_n")
     )
     revisit = ~F.col("page_id").eqNullSafe(F.col("_first"))
-    return rows.join(repeated, F.col("digest") == F.col("_digest"), "left").select(
-        "page_id", "url", "payload", "digest", F.when(revisit, F.col("_first")).alias("refers_to")
+    columns = ("page_id", "url", "payload", "digest")
+    large = F.octet_length("payload") >= revisit_from
+    joined = rows.where(large).join(repeated, F.col("digest") == F.col("_digest"), "left")
+    # small payloads, of which many are equal, take no part in the join
+    return joined.select(*columns, F.when(revisit, F.col("_first")).alias("refers_to")).unionAll(
+        rows.where(~large).select(*columns, F.lit(None).cast("long").alias("refers_to"))
     )
 
 
