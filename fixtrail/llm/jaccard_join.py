@@ -15,7 +15,9 @@ longer prefix is for counting only, so that lengthening never adds frequent keys
    lists still hold several components, with a few more pivots. These links join most of a group of near copies.
 4. Lists that still hold several components give all pairs across components, each pair once, at the first key both
    have: no earlier key may be common, and what is left of both sets behind that key has to be enough. So no link between
-   components is missed, and pairs that are already connected are never made.
+   components is missed, and pairs that are already connected are never made. The pairs of a list are looked through inside a
+   task, by maps of bits of prefix and whole set; only what these can't rule out becomes a row. Long lists are cut into blocks,
+   and each pair of blocks is a group of its own.
 5. Components of all links; a component is named by its smallest doc_id.
 
 Sets are 64-bit hashes of the n-grams; a class is known by 64 bits of a hash of its set. Words are
@@ -50,8 +52,11 @@ PIVOTS = 3
 #: Rounds of comparing classes with those they meet most often: pivot orders among the lists, and partners that
 #: a class tries. The last step has no such bound, so this decides how a link is found, never whether.
 ROUNDS = ((1, 1), (8, 4))
-#: Words of 64 bits in the map of a prefix that goes with its keys into the last join: few tokens share a bit.
+#: Words of 64 bits in the map of a prefix, and in that of a whole set, which go with its keys into the last step: few
+#: tokens share a bit.
 MAP_WORDS = 16
+#: Rows of a list that a task compares with each other; longer lists are cut into blocks.
+LIST_ROWS = 4096
 #: Bits of a map by which rows that can't be wanted are left out before a shuffle: 8 MB, whatever the input.
 MARK_BITS = 26
 #: Tokens that a task counts at once.
@@ -168,15 +173,25 @@ def _token_order(parts: DataFrame, total: int) -> Order:
     return Order(levels.ravel(), total)
 
 
-def _prefixes(docs: DataFrame, order: Order, size: int, percent: int) -> DataFrame:
-    """class, n, shared and prefix (tokens from rare to frequent) of every set, once a partition."""
-    shared_order = docs.sparkSession.sparkContext.broadcast(order)
+def _bit_map(tokens: np.ndarray) -> bytes:
+    bits = np.zeros(64 * MAP_WORDS, bool)
+    bits[tokens & np.uint64(64 * MAP_WORDS - 1)] = True
+    return np.packbits(bits).tobytes()
+
+
+def _prefixes(docs: DataFrame, keys: DataFrame, order: Order, size: int, percent: int) -> DataFrame:
+    """class, n, shared, prefix (tokens from rare to frequent) and maps (of prefix and set) of every set.
+
+    Read from the rows among ``keys``, the first of every class. Few other rows are there too, so a list hardly
+    counts a class twice.
+    """
+    shared_order, marks = (docs.sparkSession.sparkContext.broadcast(x) for x in (order, Marks(keys)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
-            names, sizes, needed, prefixes = [], [], [], []
-            for words in hashed_words(batch["text"]):
+            names, sizes, needed, prefixes, maps = [], [], [], [], []
+            for words in hashed_words(batch["text"].filter(pa.array(marks.value.hit(batch["hash"].to_numpy())))):
                 tokens = shingle_hashes(words, size)
                 name = _signature(tokens) if len(tokens) else None
                 if name is None or name in seen:
@@ -187,13 +202,15 @@ def _prefixes(docs: DataFrame, order: Order, size: int, percent: int) -> DataFra
                 sizes.append(len(tokens))
                 needed.append(shared)
                 prefixes.append(prefix.view(np.int64))
+                maps.append(_bit_map(prefix) + _bit_map(tokens))
             ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
             columns = [pa.array(c, pa.int64()) for c in (names, sizes, needed)]
-            yield pa.record_batch([*columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["class", "n", "shared", "prefix"])
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            yield pa.record_batch([*columns, lists, pa.array(maps, pa.binary())], ["class", "n", "shared", "prefix", "maps"])
 
-    texts = docs.select(F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "class long, n long, shared long, prefix array<long>")
+    texts = docs.select(F.xxhash64(_row_key()).alias("hash"), F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(run, "class long, n long, shared long, prefix array<long>, maps binary")
 
 
 class Marks:
@@ -274,7 +291,7 @@ def _links(docs: DataFrame, classes: DataFrame, parts: DataFrame, size: int, per
     total, sets = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     if sets < 2:
         return None
-    prefixes = stage(_prefixes(docs, _token_order(parts, total), size, percent), "prefixes")
+    prefixes = stage(_prefixes(docs, classes.select("key"), _token_order(parts, total), size, percent), "prefixes")
     base = F.size("prefix") - F.col("shared").cast("int") + 1
     keys = prefixes.select("class", F.posexplode(F.slice("prefix", F.lit(1), base)).alias("place", "token"))
     lists = stage(
@@ -319,7 +336,7 @@ def _links(docs: DataFrame, classes: DataFrame, parts: DataFrame, size: int, per
 
     def prefixes_of(classes_: DataFrame) -> DataFrame:
         found = _marked(prefixes, "class", Marks(classes_))
-        return found.groupBy("class").agg(*[F.any_value(c).alias(c) for c in ("n", "shared", "prefix")])
+        return found.groupBy("class").agg(*[F.any_value(c).alias(c) for c in ("n", "shared", "prefix", "maps")])
 
     def promising(pairs: DataFrame) -> DataFrame:
         """Pairs (x, y) whose prefixes share enough."""
@@ -367,46 +384,97 @@ def _links(docs: DataFrame, classes: DataFrame, parts: DataFrame, size: int, per
         across = F.coalesce("root_x", "x") != F.coalesce("root_y", "y")
         open_pairs = stage(open_pairs.where(across).select("x", "y", "count"), "open_pairs")
 
-    bits = [_bits_of("prefix", k).alias(f"b{k}") for k in range(MAP_WORDS)]
     heads = prefixes_of(open_lists.select("class").distinct())
     rooted = open_lists.groupBy("class").agg(F.any_value("root").alias("root"), F.sort_array(F.collect_list(F.struct("place", "token"))).alias("keys"))
-    placed = rooted.join(heads.select("class", "n", "shared", F.size("prefix").alias("length"), *bits), "class").select(
+    placed = rooted.join(heads.select("class", "n", "shared", F.size("prefix").cast("long").alias("length"), "maps"), "class").select(
         "*", F.posexplode("keys").alias("at", "key")
     )
-    placed = stage(
-        placed.select(
-            "class", "root", "n", "shared", "length", *[f"b{k}" for k in range(MAP_WORDS)], F.col("key.place").alias("place"), F.col("key.token").alias("token"),
-            F.slice(F.col("keys.token"), F.lit(1), F.col("at")).alias("before"),
-        ),
-        "open_postings",
+    placed = placed.select(
+        "class", "root", "n", "shared", "length", "maps", F.col("key.place").cast("long").alias("place"), F.col("key.token").alias("token"),
+        F.slice(F.col("keys.token"), F.lit(1), F.col("at")).alias("before"),
     )
-    kept = ["class", *[c for c in placed.columns if c not in ("class", "token")]]
-    left, right = (
-        placed.select(F.col("token").alias("token" if v == "x" else "token_y"), *[F.col(c).alias(v if c == "class" else f"{c}_{v}") for c in kept]) for v in ("x", "y")
-    )
-    # every mark that only one of both has is a token that only it has
-    only = lambda v, w: sum(F.bit_count(F.col(f"b{k}_{v}").bitwiseAND(F.bitwise_not(f"b{k}_{w}"))) for k in range(MAP_WORDS))
-    at_most = F.least(F.col("length_x") - only("x", "y"), F.col("length_y") - only("y", "x"))
-    # the shorter set on the left, so each pair is met in one direction
-    ahead = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("x") < F.col("y")))
-    behind = F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))  # this key and what may follow
-    enough = (100 + percent) * behind >= percent * (F.col("n_x") + F.col("n_y"))
-    first = ~F.arrays_overlap("before_x", "before_y")
-    met = left.join(right, (F.col("token") == F.col("token_y")) & ahead & (F.col("root_x") != F.col("root_y")) & enough & alike(at_most) & first)
+    met = _pairs_across(placed, open_lists.groupBy("token").count(), percent)
     short_ones = possible(open_pairs.select("x", "y", F.col("count").alias("short")))
-    last = promising(met.select("x", "y").unionAll(short_ones).distinct())
+    last = promising(met.unionAll(short_ones).distinct())
     return components(links.unionAll(_verified(last, docs, classes, size, percent))).select(F.col("node").alias("class"), "root")
 
 
-def _bits_of(tokens: str, word: int) -> Column:
-    """One of the words of a bit map of the tokens of an array."""
-    nothing = F.lit(0).cast("long")
+def _pairs_across(placed: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of different roots that meet in a list and may be similar, each at its first common key.
+
+    ``placed`` has a row for each class of a list, ``counts`` the rows of each list (token). A task compares up to
+    ``LIST_ROWS`` rows of a list with each other, or two blocks of a longer list.
+    """
+    sizes = counts.select("token", F.ceil(F.col("count") / LIST_ROWS).cast("long").alias("blocks"))
+    own = placed.join(sizes, "token").withColumn("block", F.pmod(F.xxhash64("class"), "blocks"))
+    blocks = own.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    groups = blocks.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("blocks", "other")
+    by = ("token", "low", "high")
+    names = [f.name for f in groups.schema if f.dataType.simpleString() == "bigint"]
+
+    def compared(rows: pa.Table) -> pa.RecordBatch:
+        c = {name: rows[name].to_numpy() for name in names}
+        own, root, n, shared, length = (c[x] for x in ("class", "root", "n", "shared", "length"))
+        behind = n - c["place"]  # this key and what may follow
+        maps = np.frombuffer(b"".join(rows["maps"].to_pylist()), np.uint64).reshape(-1, 2, MAP_WORDS)
+        before = rows["before"].combine_chunks()
+        group = np.cumsum(_changes(rows, by))
+        sets: dict[int, set[int]] = {}
+
+        def keys_before(k: int) -> set[int]:
+            if k not in sets:
+                sets[k] = set(before[k].as_py())
+            return sets[k]
+
+        def enough(common: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            return (100 + percent) * common >= percent * (n[i] + n[j])
+
+        found: list[tuple[int, int]] = []
+        i = np.arange(len(own))
+        for step in range(1, len(own)):
+            i = i[: np.searchsorted(i, len(own) - step)]
+            i = i[group[i] == group[i + step]]
+            if not len(i):
+                break
+            j = i + step
+            ok = (root[i] != root[j]) & ((c["low"][i] == c["high"][i]) | (c["block"][i] != c["block"][j]))
+            ok &= (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & enough(np.minimum(behind[i], behind[j]), i, j)
+            a, b = i[ok], j[ok]
+            # every mark that only one of both has is a token that only it has
+            only_a, only_b = (np.bitwise_count(maps[v] & ~maps[w]).sum(axis=2, dtype=np.int64) for v, w in ((a, b), (b, a)))
+            common = np.minimum(length[a] - only_a[:, 0], length[b] - only_b[:, 0])
+            after = np.maximum(n[a] - length[a], n[b] - length[b])
+            ok = (common >= np.minimum(shared[a], shared[b])) & enough(common + after, a, b)
+            ok &= enough(np.minimum(n[a] - only_a[:, 1], n[b] - only_b[:, 1]), a, b)
+            pairs = zip(a[ok].tolist(), b[ok].tolist(), strict=True)
+            found += [(x, y) for x, y in pairs if keys_before(x).isdisjoint(keys_before(y))]
+        ends = own[np.array(found, np.int64).reshape(-1, 2)]
+        return pa.record_batch([pa.array(ends.min(axis=1)), pa.array(ends.max(axis=1))], ["x", "y"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            rows = pa.Table.from_batches([*held, batch])
+            held = [batch]
+            if rows.num_rows:
+                last = int(np.flatnonzero(_changes(rows, by))[-1])  # its list may go on in the next batch
+                if last:
+                    yield compared(rows.slice(0, last))
+                held = rows.slice(last).to_batches()
+        if held:
+            yield compared(pa.Table.from_batches(held))
+
+    return groups.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "x long, y long")
 
-    def mark(token: Column) -> Column:
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(63).cast("int"))
-        return F.when(F.shiftright(token, 6).bitwiseAND(MAP_WORDS - 1) == word, bit).otherwise(nothing)
 
-    return F.aggregate(tokens, nothing, lambda bits, token: bits.bitwiseOR(mark(token)))
+def _changes(rows: pa.Table, by: tuple[str, ...]) -> np.ndarray:
+    """Where a row differs from the one before it; the first one does."""
+    out = np.zeros(rows.num_rows, bool)
+    out[:1] = True
+    for name in by:
+        values = rows[name].to_numpy()
+        out[1:] |= values[1:] != values[:-1]
+    return out
 
 
 def _nth(ranked: Column, n: int) -> Column:

@@ -243,6 +243,50 @@ def test_copies_in_large_groups_are_joined(spark):
         assert [rows[k] for k in range(len(texts))] == roots
 
 
+def _rows_staged(monkeypatch):
+    """Counts the rows of what the similarity join stages, by name."""
+    counted, stage = {}, jaccard_join.stage
+
+    def counting(df, name, **options):
+        out = stage(df, name, **options)
+        counted.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stage", counting)
+    return counted
+
+
+@pytest.mark.parametrize("list_rows", [None, 16])
+def test_pairs_below_the_threshold_are_ruled_out_inside_a_list(spark, monkeypatch, list_rows):
+    rng = np.random.default_rng(12)
+    base = prose(600, 150).split()
+    ends = [f"end{k}" for k in range(4)]
+    texts = []
+    for k in range(120):  # any two differ by some words more than links allow, all share rare ones
+        own = list(base)
+        for at in rng.choice(len(own), int(rng.integers(2, 7)), replace=False):
+            own[at] = f"y{k}x{at}"
+        texts.append(" ".join([*own, *ends]))
+    if list_rows:
+        monkeypatch.setattr(jaccard_join, "LIST_ROWS", list_rows)
+    counted = _rows_staged(monkeypatch)
+    from tests.llm.test_corpus import jaccard_components
+
+    roots, _ = jaccard_components(texts, 4, 85)
+    rows = {r["doc_id"]: r["component_id"] for r in jaccard_join.similar_groups(docs_of(spark, texts).repartition(4)).collect()}
+    assert [rows[k] for k in range(len(texts))] == roots
+    assert len(set(roots)) > 40
+    assert counted["possible_pairs"][-1] < len(texts)
+
+
+def test_copies_in_other_partitions_do_not_make_lists_long(spark, monkeypatch):
+    texts = [prose(700, 120), prose(700, 120) + " more", prose(701, 90)] * 8
+    counted = _rows_staged(monkeypatch)
+    rows = jaccard_join.similar_groups(docs_of(spark, texts).repartition(8)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {k: 2 if k % 3 == 2 else 0 for k in range(24)}
+    assert counted["prefixes"] == [3] and counted["long_lists"] == [0]
+
+
 def test_words_hashed_together_match_words_split_alone():
     rng = np.random.default_rng(5)
     parts = ["a", "B", "ab", "Ab", " ", "\t", "\n", "\r\x0b\x0c ", "\x1c", "é", "É", "日本", "\xa0", "x" * 40]
