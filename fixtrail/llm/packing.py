@@ -22,6 +22,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -37,7 +38,9 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces packed together by one task.
 SHARD_PIECES = 8192
-_MOST_CACHED = 500_000
+#: Words with known ids; when there are more, those met lately stay, if they are few enough.
+_MOST_CACHED = 750_000
+_MOST_KEPT = _MOST_CACHED * 3 // 4
 _LONGEST_CACHED = 48
 _WORDS_IN_TEXT = 1000
 _SPACE = "Ġ"  # how the vocabulary writes a space (fixed value)
@@ -67,6 +70,7 @@ class Encoder:
         self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self._spaced[[i for token, i in vocabulary.items() if token.startswith(_SPACE)]] = True
         self._known: dict[str, bytes] = {}
+        self._late: set[str] = set()  # known words met since the table is half full
         self._marks = dict(zip(sorted(_MARKS), self._encode(sorted(_MARKS)), strict=True))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -118,7 +122,8 @@ class Encoder:
         known = self._known
         split = [self._words(t) if t else [""] for t in texts]
         heads = self._encode([w[0] for w in split])
-        new = set().union(*[w[1:] for w in split]).difference(known)
+        met = set().union(*[w[1:] for w in split])
+        new = met.difference(known)
         extra = self._add(list(new)) if new else {}
         out = []
         for head, words in zip(heads, split, strict=True):
@@ -128,14 +133,23 @@ class Encoder:
             else:
                 joined = head + b"".join(map(known.__getitem__, rest))
             out.append(np.frombuffer(joined, "<u4"))
+        if len(known) > _MOST_CACHED // 2:
+            self._late |= met.difference(extra)
         if len(known) > _MOST_CACHED:
-            known.clear()
+            self._known = {w: known[w] for w in self._late} if len(self._late) <= _MOST_KEPT else {}
+            self._late = set()
         return out
 
     def __call__(self, text: str | None) -> np.ndarray:
         return self.batch([text])[0]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this Python worker, which its tasks share: frequent words stay known from one to the next."""
+    return Encoder(path)
+
+
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of each piece of a document: full ones from the end, the rest in front."""
     first = length % capacity or capacity
@@ -164,7 +178,7 @@ def token_pieces(
     schema += ", ids array<int>" if with_ids else ""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for batch in _parts(batches):
             rows: list[tuple] = []
             for doc_id, found in zip(batch["doc_id"].to_pylist(), encoder.batch(batch["text"].to_pylist()), strict=True):

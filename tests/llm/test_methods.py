@@ -161,6 +161,23 @@ def test_ids_equal_the_tokenizer_on_any_spacing():
             assert ids.tolist() == plain.encode(text or "", add_special_tokens=False).ids
 
 
+def test_words_met_lately_stay_known_when_the_table_is_full(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.encoder_of(path) is packing.encoder_of(path)  # tasks of a worker share it
+    monkeypatch.setattr(packing, "_MOST_CACHED", 40)
+    monkeypatch.setattr(packing, "_MOST_KEPT", 30)
+    plain, encoder, encoded = Tokenizer.from_file(path), packing.Encoder(path), []
+    encode_words = encoder._encode_words
+    monkeypatch.setattr(encoder, "_encode_words", lambda ws: encoded.extend(ws) or encode_words(ws))
+    for k in range(60):
+        text = f"x often, again {' '.join(f'rare{k}n{j}' for j in range(5))} {'y' * 60} often again."
+        assert encoder(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert len(encoder._known) <= 40 and len(encoder._late) <= 40
+    assert encoded.count("again") == 1 and encoded.count("rare0n0") == 1
+    crowd = " ".join(f"w{j}" for j in range(100))  # too many at once to stay
+    assert encoder(crowd).tolist() == plain.encode(crowd, add_special_tokens=False).ids and not encoder._known
+
+
 def test_sum_of_squares_against_a_plain_version():
     rng = np.random.default_rng(6)
     capacity = 40
