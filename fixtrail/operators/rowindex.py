@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,11 +53,13 @@ def with_row_id(
     part = F.shiftright("_slot", _POSITION_BITS)
     # one row per range partition
     sizes = staged.groupBy(part.alias("_part")).count().orderBy("_part").collect()
-    offsets, total = [], 0
+    parts, offsets, total = [], [], 0
     for size in sizes:
-        offsets.append((size["_part"], total))
+        parts.append(size["_part"])
+        offsets.append(total)
         total += size["count"]
-    starts = df.sparkSession.createDataFrame(offsets, "_part long, _start long")
+    # an Arrow table goes to the executors as it is; a list of rows would start Python workers there
+    starts = df.sparkSession.createDataFrame(pa.table({"_part": pa.array(parts, pa.int64()), "_start": pa.array(offsets, pa.int64())}))
     rows = (
         staged.withColumn("_part", part)
         .join(F.broadcast(starts), "_part")

@@ -76,6 +76,13 @@ def test_sample_windows(sample, gap, rule, want):
     assert flagged(sample, 3, gap, rule).where("window_valid").count() == want
 
 
+def test_row_offsets_start_no_python_workers(spark, sample):
+    for df in (sample, sample.limit(0)):
+        rows = with_row_id(df).rows
+        assert "ExistingRDD" not in rows._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["row_id"] for r in rows.select("row_id").collect()) == list(range(df.count()))
+
+
 def test_microsecond_above_the_limit(spark):
     late = timedelta(seconds=10, microseconds=1)
     df = spark.createDataFrame([("A", T0), ("A", T0 + late)], "placa string, timestamp timestamp_ntz")
